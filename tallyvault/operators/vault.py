@@ -19,12 +19,14 @@ all rows) from landing whole in one task.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hk
-from ..schemas import VAULT, VAULT_KEYS
+from ..schemas import HUBS, LINKS, SATELLITES, VAULT, VAULT_KEYS
 
 # Status filters live in the mart; here only the bounds used
 # by the loads (sender >= 0, receiver >= 1 for the transaction hub).
@@ -171,32 +173,40 @@ def _stamp(df: DataFrame, table: str, load_dt) -> DataFrame:
     return df.select(*cols)
 
 
-def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = None) -> dict[str, DataFrame]:
-    """All 11 vault tables from staging rows of any number of days."""
+def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = None,
+                persist: Callable[[str, DataFrame], DataFrame] | None = None,
+                parallel: int = 4) -> dict[str, DataFrame]:
+    """All 11 vault tables from staging rows of any number of days.
+
+    ``persist(name, df)`` (optional) stores an intermediate and returns the
+    stored table.  The pipeline passes one that writes Parquet to the shared
+    checkpoint folder: hubs are then read back by the links instead of
+    being recomputed, and the hub-filtered staging rows are written once
+    for the four operation links and the satellite.  Without it the result
+    is one lazy plan per table.
+    """
+    def keep_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        # Tables of one phase do not depend on each other: store them as
+        # concurrent Spark jobs when a persister is given.
+        if persist is None:
+            return tables
+        if len(tables) == 1 or parallel <= 1:
+            return {n: persist(n, df) for n, df in tables.items()}
+        with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
+            futures = {n: pool.submit(persist, n, df) for n, df in tables.items()}
+            return {n: f.result() for n, f in futures.items()}
+
     t = prepare_transactions(tx)
     c = prepare_currencies(cur)
-    out: dict[str, DataFrame] = {}
-
-    out["h_transactions"] = first_loaded(hub_transactions_candidates(t), VAULT_KEYS["h_transactions"])
-    out["h_countries"] = first_loaded(hub_countries_candidates(t), VAULT_KEYS["h_countries"])
-    out["h_currencies"] = first_loaded(hub_currencies_candidates(t), VAULT_KEYS["h_currencies"])
-    out["h_accounts"] = first_loaded(hub_accounts_candidates(t), VAULT_KEYS["h_accounts"])
+    out: dict[str, DataFrame] = keep_all({
+        name: _stamp(first_loaded(fn(t), VAULT_KEYS[name]), name, load_dt)
+        for name, fn in (("h_transactions", hub_transactions_candidates),
+                         ("h_countries", hub_countries_candidates),
+                         ("h_currencies", hub_currencies_candidates),
+                         ("h_accounts", hub_accounts_candidates))})
 
     # Rows whose operation is in the transaction hub by the row's own day.
     op_first = out["h_transactions"].select("hk_operation_id", F.col("ds").alias("op_ds")).distinct()
-    t_in_hub = (t.join(op_first, "hk_operation_id")
-                .where(F.col("op_ds") <= F.col("day")).drop("op_ds"))
-
-    out["l_accounts_transactions"] = first_loaded(
-        link_accounts_candidates(t_in_hub), VAULT_KEYS["l_accounts_transactions"])
-    out["l_countries_transactions"] = first_loaded(
-        link_countries_transactions_candidates(t_in_hub), VAULT_KEYS["l_countries_transactions"])
-    out["l_currency_transaction"] = first_loaded(
-        link_currency_transaction_candidates(t_in_hub), VAULT_KEYS["l_currency_transaction"])
-    # The reference also requires the operation in its hub for this link.
-    out["l_countries_currencies"] = first_loaded(
-        link_countries_currencies_candidates(t_in_hub), VAULT_KEYS["l_countries_currencies"])
-
     # Rates need both currencies in the hub by the rate's day.
     cur_first = out["h_currencies"].select("currency_code", F.col("ds").alias("cur_ds")).distinct()
     c_in_hub = (c.join(cur_first, "currency_code")
@@ -204,15 +214,33 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
                 .join(cur_first.withColumnRenamed("currency_code", "currency_code_with")
                       .withColumnRenamed("cur_ds", "with_ds"), "currency_code_with")
                 .where(F.col("with_ds") <= F.col("day")).drop("with_ds"))
-    out["l_currency_ratio"] = first_loaded(
-        link_currency_ratio_candidates(c_in_hub), VAULT_KEYS["l_currency_ratio"])
-
-    out["s_transactions"] = sat_transactions_candidates(t_in_hub).distinct().withColumnRenamed("day", "ds")
+    phase2 = keep_all({
+        "_tx_in_hub": t.join(op_first, "hk_operation_id").where(F.col("op_ds") <= F.col("day")).drop("op_ds"),
+        "l_currency_ratio": _stamp(first_loaded(link_currency_ratio_candidates(c_in_hub),
+                                                VAULT_KEYS["l_currency_ratio"]), "l_currency_ratio", load_dt)})
+    t_in_hub = phase2.pop("_tx_in_hub")
+    out.update(phase2)
+
+    # Operation-keyed links: the window key carries the operation key too
+    # (the link key determines it), so grouping and windowing reuse the
+    # partitioning by operation instead of shuffling again.
     link_first = out["l_currency_ratio"].select("hk_l_currency_ratio", F.col("ds").alias("l_ds")).distinct()
-    out["s_l_currency_ratio"] = (sat_rate_candidates(c).join(link_first, "hk_l_currency_ratio")
-                                 .where(F.col("l_ds") <= F.col("day")).drop("l_ds")
-                                 .distinct().withColumnRenamed("day", "ds"))
-    return {k: _stamp(v, k, load_dt) for k, v in out.items()}
+    phase3 = {
+        name: _stamp(first_loaded(fn(t_in_hub), VAULT_KEYS[name] + extra), name, load_dt)
+        for name, fn, extra in (
+            ("l_accounts_transactions", link_accounts_candidates, ["hk_operation_id"]),
+            ("l_countries_transactions", link_countries_transactions_candidates, ["hk_operation_id"]),
+            ("l_currency_transaction", link_currency_transaction_candidates, ["hk_operation_id"]),
+            # The reference also requires the operation in its hub here.
+            ("l_countries_currencies", link_countries_currencies_candidates, []))}
+    phase3["s_transactions"] = _stamp(
+        sat_transactions_candidates(t_in_hub).distinct().withColumnRenamed("day", "ds"), "s_transactions", load_dt)
+    phase3["s_l_currency_ratio"] = _stamp(
+        sat_rate_candidates(c).join(link_first, "hk_l_currency_ratio")
+        .where(F.col("l_ds") <= F.col("day")).drop("l_ds").distinct().withColumnRenamed("day", "ds"),
+        "s_l_currency_ratio", load_dt)
+    out.update(keep_all(phase3))
+    return {name: out[name] for name in VAULT}
 
 
 # ---------------------------------------------------------------- one day
@@ -224,46 +252,53 @@ def _new_keys(cands: DataFrame, existing: DataFrame, key: list[str], ds) -> Data
 
 
 def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame], ds,
-             load_dt: _dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Rows one daily run appends, given the stored vault before the run.
+             load_dt: _dt.datetime | None = None, phase: str | None = None) -> dict[str, DataFrame]:
+    """Rows one daily run appends, given the stored vault before it.
 
     Statement order matters as in the reference: hubs, then links (which
-    see this run's hub rows), then satellites (which see this run's links).
+    see this run's hub rows), then satellites (which see this run's
+    links).  With ``phase`` = "hubs" / "links" / "satellites" only that
+    group is computed against ``vault`` as stored (the pipeline writes each
+    group before computing the next); with ``phase=None`` all groups are
+    computed at once, later groups seeing the earlier groups' new rows.
     """
     ds = _dt.date.fromisoformat(str(ds)) if not isinstance(ds, _dt.date) else ds
     t = prepare_transactions(tx_day).where(F.col("day") == F.lit(ds))
     c = prepare_currencies(cur_day).where(F.col("day") == F.lit(ds))
     new: dict[str, DataFrame] = {}
-    for name, fn in (("h_transactions", hub_transactions_candidates),
-                     ("h_countries", hub_countries_candidates),
-                     ("h_currencies", hub_currencies_candidates),
-                     ("h_accounts", hub_accounts_candidates)):
-        new[name] = _new_keys(fn(t), vault[name], VAULT_KEYS[name], ds)
-
-    def hub_now(name: str, cols: list[str]) -> DataFrame:
-        return vault[name].select(*cols).unionByName(new[name].select(*cols))
-
-    ops = hub_now("h_transactions", ["operation_id"])
-    t_in_hub = t.join(ops, "operation_id", "left_semi")
-    for name, fn in (("l_accounts_transactions", link_accounts_candidates),
-                     ("l_countries_transactions", link_countries_transactions_candidates),
-                     ("l_currency_transaction", link_currency_transaction_candidates),
-                     ("l_countries_currencies", link_countries_currencies_candidates)):
-        new[name] = _new_keys(fn(t_in_hub), vault[name], VAULT_KEYS[name], ds)
-
-    codes = hub_now("h_currencies", ["currency_code"])
-    c_in_hub = (c.join(codes, "currency_code", "left_semi")
-                .join(codes.withColumnRenamed("currency_code", "currency_code_with"),
-                      "currency_code_with", "left_semi"))
-    new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(c_in_hub),
-                                        vault["l_currency_ratio"], VAULT_KEYS["l_currency_ratio"], ds)
-
-    new["s_transactions"] = (sat_transactions_candidates(t_in_hub).drop("day").distinct()
-                             .withColumn("ds", F.lit(ds).cast("date")))
-    links = hub_now("l_currency_ratio", ["hk_l_currency_ratio"])
-    new["s_l_currency_ratio"] = (sat_rate_candidates(c).join(links, "hk_l_currency_ratio", "left_semi")
-                                 .drop("day").distinct().withColumn("ds", F.lit(ds).cast("date")))
-    return {k: _stamp(v, k, load_dt) for k, v in new.items()}
+    if phase in (None, "hubs"):
+        for name, fn in (("h_transactions", hub_transactions_candidates),
+                         ("h_countries", hub_countries_candidates),
+                         ("h_currencies", hub_currencies_candidates),
+                         ("h_accounts", hub_accounts_candidates)):
+            new[name] = _new_keys(fn(t), vault[name], VAULT_KEYS[name], ds)
+
+    def now(name: str, cols: list[str]) -> DataFrame:
+        stored = vault[name].select(*cols)
+        return stored.unionByName(new[name].select(*cols)) if name in new else stored
+
+    if phase in (None, "links"):
+        t_in_hub = t.join(now("h_transactions", ["operation_id"]), "operation_id", "left_semi")
+        for name, fn in (("l_accounts_transactions", link_accounts_candidates),
+                         ("l_countries_transactions", link_countries_transactions_candidates),
+                         ("l_currency_transaction", link_currency_transaction_candidates),
+                         ("l_countries_currencies", link_countries_currencies_candidates)):
+            new[name] = _new_keys(fn(t_in_hub), vault[name], VAULT_KEYS[name], ds)
+        codes = now("h_currencies", ["currency_code"])
+        c_in_hub = (c.join(codes, "currency_code", "left_semi")
+                    .join(codes.withColumnRenamed("currency_code", "currency_code_with"),
+                          "currency_code_with", "left_semi"))
+        new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(c_in_hub),
+                                            vault["l_currency_ratio"], VAULT_KEYS["l_currency_ratio"], ds)
+    if phase in (None, "satellites"):
+        t_in_hub = t.join(now("h_transactions", ["operation_id"]), "operation_id", "left_semi")
+        new["s_transactions"] = (sat_transactions_candidates(t_in_hub).drop("day").distinct()
+                                 .withColumn("ds", F.lit(ds).cast("date")))
+        links = now("l_currency_ratio", ["hk_l_currency_ratio"])
+        new["s_l_currency_ratio"] = (sat_rate_candidates(c).join(links, "hk_l_currency_ratio", "left_semi")
+                                     .drop("day").distinct().withColumn("ds", F.lit(ds).cast("date")))
+    wanted = {None: VAULT, "hubs": HUBS, "links": LINKS, "satellites": SATELLITES}[phase]
+    return {k: _stamp(new[k], k, load_dt) for k in wanted}
 
 
 def empty_vault(spark) -> dict[str, DataFrame]:

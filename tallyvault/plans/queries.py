@@ -24,7 +24,7 @@ from ..operators import vault as V
 from ..schemas import VAULT, VAULT_ORDER
 from ..sources import fixture, staging
 from .oracle import AS_OF_DATES, SLICE_DAY, UPSERT_FROM_DAY, VAULT_COLUMNS
-from .storage import materialize, scratch_path
+from .storage import parquet_persister, scratch_path
 
 _VAULTS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -43,7 +43,7 @@ def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if k not in _VAULTS:
         tx, cur = staging_tables(spark, sf_dir)
         tag = hashlib.sha1(k[1].encode()).hexdigest()[:10]
-        _VAULTS[k] = materialize(V.build_vault(tx, cur), scratch_path(spark, "vault", tag))
+        _VAULTS[k] = V.build_vault(tx, cur, persist=parquet_persister(scratch_path(spark, "vault", tag)))
     return _VAULTS[k]
 
 

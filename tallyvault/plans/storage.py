@@ -41,3 +41,10 @@ def materialize(tables: dict[str, DataFrame], path: str,
     for name, df in tables.items():
         out[name] = write_read(df, f"{path}/{name}", (partition_by or {}).get(name))
     return out
+
+
+def parquet_persister(path: str, partition_by: dict[str, list[str]] | None = None):
+    """``persist`` callback for ``build_vault``: write to ``path/<name>``."""
+    def persist(name: str, df: DataFrame) -> DataFrame:
+        return write_read(df, f"{path}/{name}", (partition_by or {}).get(name))
+    return persist
