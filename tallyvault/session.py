@@ -30,6 +30,8 @@ def build_session(master: str | None = None, app: str = "tallyvault",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.csv.parser.columnPruning.enabled", "false")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     )
     spark = b.getOrCreate()

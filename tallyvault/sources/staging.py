@@ -79,6 +79,10 @@ def load_extract(spark: SparkSession, root: str, table: str, ds=None, load_dt=No
     """Read CSV extracts (one day, or all) -> (good staging rows, rejects)."""
     _, cols, schema = SOURCES[table]
     path = f"{root.rstrip('/')}/{table}"
+    # With parser column pruning a line's field count is only checked for
+    # the columns a query reads, so a long or short line could load under
+    # one query and be rejected under another: parse every field.
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = (spark.read.schema(_raw_schema(table).add("ds", T.DateType()))
               .options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
