@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import cents_to_units, half_up_ratio, round_money
+from ..session import ensure_checkpoint_dir
 from .asof import asof_lookup
 
 # Fixed values from the mart definition.
@@ -46,6 +47,15 @@ def _as_date(v):
     return _dt.date.fromisoformat(str(v))
 
 
+def _materialize_small(df: DataFrame) -> DataFrame:
+    """Cut lineage of a small derived table (one row per day and currency,
+    or per day and dollar code) with a reliable checkpoint in the shared
+    checkpoint folder, so the plans that use it several times do not
+    recompute the transaction joins behind it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def satellite_days(vault: dict[str, DataFrame], ds_from=None, ds_to=None) -> DataFrame:
     st = vault["s_transactions"].withColumn("day", F.to_date("transaction_dt"))
     ds_from, ds_to = _as_date(ds_from), _as_date(ds_to)
@@ -116,14 +126,14 @@ def joined_rows(vault: dict[str, DataFrame], ds_from=None, ds_to=None) -> DataFr
             .distinct())
 
 
-def dollar_by_day(vault: dict[str, DataFrame], days: DataFrame) -> DataFrame:
+def dollar_by_day(vault: dict[str, DataFrame], days: DataFrame, ds_to=None) -> DataFrame:
     """(day, dollar code, dollar key) for every day up to the last of ``days``.
 
     The dollar set only grows; each dollar row is spread over the days from
     its first day to the last day in play (a scalar subquery), so the
     per-day attachment is an equi-join on the day.
     """
-    last_day = days.agg(F.max("day")).scalar()
+    last_day = F.lit(_as_date(ds_to)) if ds_to is not None else days.agg(F.max("day")).scalar()
     d = dollar_currencies(vault).where(F.col("dollar_ds") <= last_day)
     return d.select(F.explode(F.sequence("dollar_ds", last_day)).alias("day"),
                     "currency_code_dollar", "hk_currency_code_dollar")
@@ -133,10 +143,7 @@ def reference_rates(vault: dict[str, DataFrame], ds_from=None, ds_to=None, bucke
     """(day, currency_code, rate, missing): the rate the reference's window
     gives each currency-day, and whether it fell back to 1 for want of a
     rate (for a currency that is not itself a dollar currency that day)."""
-    rows = joined_rows(vault, ds_from, ds_to)
-    dollars = dollar_by_day(vault, rows)
-    sums = rows.groupBy("day", "currency_code", "hk_currency_code").agg(
-        F.min("transaction_dt").alias("mn"), F.max("transaction_dt").alias("mx"))
+    _rows, sums, dollars = _day_currency_frames(vault, ds_from, ds_to)
     r = _reference_rates(sums, dollars, rate_history(vault), bucket, keep_missing=True)
     is_dollar = dollars.select("day", F.col("currency_code_dollar").alias("currency_code")).distinct() \
         .withColumn("_is_dollar", F.lit(True))
@@ -145,6 +152,17 @@ def reference_rates(vault: dict[str, DataFrame], ds_from=None, ds_to=None, bucke
                     ((F.col("missing") == 1) & F.col("_is_dollar").isNull()).alias("missing")))
 
 
+def _day_currency_frames(vault: dict[str, DataFrame], ds_from=None, ds_to=None):
+    """(rows, per day-currency sums, dollar set per day); the last two are
+    small and materialized once."""
+    rows = joined_rows(vault, ds_from, ds_to)
+    sums = _materialize_small(rows.groupBy("day", "currency_code", "hk_currency_code").agg(
+        F.sum("amount").alias("s"), F.countDistinct("account").alias("n"),
+        F.min("transaction_dt").alias("mn"), F.max("transaction_dt").alias("mx")))
+    dollars = _materialize_small(dollar_by_day(vault, sums, ds_to))
+    return rows, sums, dollars
+
+
 def _reference_rates(sums: DataFrame, dollars: DataFrame, rates: DataFrame, bucket: str,
                      keep_missing: bool = False) -> DataFrame:
     """(day, currency_code) -> rate, as the reference's descending window picks it."""
@@ -165,13 +183,10 @@ def _reference_rates(sums: DataFrame, dollars: DataFrame, rates: DataFrame, buck
 def join_result(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode: str = "reference",
                 bucket: str = "day") -> DataFrame:
     """M5: the reference's ``join_result`` rows (one per row and dollar code)."""
-    rows = joined_rows(vault, ds_from, ds_to)
-    dollars = dollar_by_day(vault, rows)
+    rows, sums, dollars = _day_currency_frames(vault, ds_from, ds_to)
     rates = rate_history(vault)
     with_d = rows.join(dollars, "day")
     if rate_mode == "reference":
-        sums = rows.groupBy("day", "currency_code", "hk_currency_code").agg(
-            F.min("transaction_dt").alias("mn"), F.max("transaction_dt").alias("mx"))
         rate = _reference_rates(sums, dollars, rates, bucket)
         out = with_d.join(rate, ["day", "currency_code"])
     else:
@@ -189,20 +204,15 @@ def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_m
     """M6: one row per (day, currency) with the four measures."""
     if rate_mode not in RATE_MODES:
         raise ValueError(f"rate_mode must be one of {RATE_MODES}")
-    rows = joined_rows(vault, ds_from, ds_to)
-    dollars = dollar_by_day(vault, rows)
-    k = dollars.groupBy("day").agg(F.countDistinct("currency_code_dollar").alias("k"))
+    rows, sums, dollars = _day_currency_frames(vault, ds_from, ds_to)
     rates = rate_history(vault)
 
     if rate_mode == "reference":
         # The rate is constant per (day, currency), so it factors out of the
         # sum; every row counts k times (once per dollar code).
-        sums = rows.groupBy("day", "currency_code", "hk_currency_code").agg(
-            F.sum("amount").alias("s"), F.countDistinct("account").alias("n"),
-            F.min("transaction_dt").alias("mn"), F.max("transaction_dt").alias("mx"))
-        sums = sums.join(k, "day")
+        k = dollars.groupBy("day").agg(F.countDistinct("currency_code_dollar").alias("k"))
         rate = _reference_rates(sums, dollars, rates, bucket)
-        m = sums.join(rate, ["day", "currency_code"]).select(
+        m = sums.join(k, "day").join(rate, ["day", "currency_code"]).select(
             "day", "currency_code", "n",
             (F.col("s") * F.col("k")).alias("vol"),
             (F.col("s") * F.col("k") * F.col("rate")).alias("usd"))
