@@ -19,6 +19,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import mart as M
 from ..operators import upsert as U
@@ -53,7 +54,8 @@ def read_vault(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_staging(spark: SparkSession, root: str, table: str, ds=None) -> DataFrame:
-    schema = STG_SCHEMAS[table].add("ds", "date") if "ds" not in STG_SCHEMAS[table].fieldNames() else STG_SCHEMAS[table]
+    # A new StructType: ``StructType.add`` would modify the shared schema.
+    schema = T.StructType(STG_SCHEMAS[table].fields + [T.StructField("ds", T.DateType(), True)])
     df = read_table(spark, f"{root}/stg/{table}", schema)
     return df if ds is None else df.where(F.col("ds") == F.lit(_day(ds)))   # partition pruning
 
@@ -75,7 +77,7 @@ def stage_day(spark: SparkSession, root: str, sources: dict[str, DataFrame], ds,
         staging.write_extract(day, f"{root}/extract", table, date_col)
         good, bad = staging.load_extract(spark, f"{root}/extract", table, ds=ds, load_dt=load_dt)
         staging.append_staging(good, f"{root}/stg/{table}")
-        bad.write.mode("overwrite").partitionBy("ds").parquet(f"{root}/rejects/{table}")
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(f"{root}/rejects/{table}")
 
 
 def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None) -> None:
@@ -124,7 +126,7 @@ def backfill(spark: SparkSession, root: str, sources: dict[str, DataFrame], star
         good, bad = staging.load_extract(spark, f"{root}/extract", table, load_dt=load_dt)
         good = good.where((F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e)))
         staging.append_staging(good, f"{root}/stg/{table}", replace_slice=True)
-        bad.write.mode("overwrite").partitionBy("ds").parquet(f"{root}/rejects/{table}")
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(f"{root}/rejects/{table}")
     tx = read_staging(spark, root, "transactions").where((F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e)))
     cur = read_staging(spark, root, "currencies").where((F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e)))
     V.build_vault(tx, cur, load_dt, persist=_vault_writer(root))

@@ -28,6 +28,7 @@ CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"',
                "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "encoding": "UTF-8"}
 MAX_BYTES = {"operation_id": 120, "country": 60, "status": 60, "transaction_type": 60, "load_src": 40}
 CORRUPT = "_corrupt_record"
+MAX_RECORDS_PER_FILE = 5_000_000
 
 SOURCES = {
     "transactions": ("transaction_dt", TRANSACTION_COLUMNS, STG_TRANSACTIONS),
@@ -47,9 +48,13 @@ def write_extract(df: DataFrame, root: str, table: str, date_col: str) -> str:
     """Write ``df``'s source columns as CSV under ``root/table/ds=<day>``."""
     cols = SOURCES[table][1]
     path = f"{root.rstrip('/')}/{table}"
+    # No repartition by day: a day of a large table must not funnel into
+    # one task.  Every task writes its rows into the day folders it holds;
+    # files are capped in size for the readers downstream.
     (df.select(*cols, F.to_date(F.col(date_col)).alias("ds"))
-     .repartition("ds")                       # one file per day folder
-     .write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("ds").csv(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**CSV_OPTIONS)
+     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("ds").csv(path))
     return path
 
 
@@ -131,4 +136,5 @@ def append_staging(df: DataFrame, path: str, replace_slice: bool = False) -> Non
     ``replace_slice=True`` overwrites just the days present instead.
     """
     w = df.write.partitionBy("ds")
-    (w.mode("overwrite") if replace_slice else w.mode("append")).parquet(path)
+    (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace_slice
+     else w.mode("append")).parquet(path)

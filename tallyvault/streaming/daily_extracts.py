@@ -25,7 +25,7 @@ from ..sources import staging
 
 def start(spark: SparkSession, root: str, checkpoint: str, load_dt=None,
           rate_mode: str = "reference", available_now: bool = True) -> StreamingQuery:
-    schema = staging._raw_schema("transactions").add("ds", "date")  # noqa: SLF001 - same layout as batch
+    schema = staging._raw_schema("transactions").add("ds", "date")  # noqa: SLF001 - fresh object, same layout as batch
     files = (spark.readStream.schema(schema).options(**staging.CSV_OPTIONS)
              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", staging.CORRUPT)
              .option("maxFilesPerTrigger", 64)
@@ -37,7 +37,7 @@ def start(spark: SparkSession, root: str, checkpoint: str, load_dt=None,
         for ds in days:
             good, bad = staging.load_extract(spark, f"{root}/extract", "transactions", ds=ds, load_dt=load_dt)
             staging.append_staging(good, f"{root}/stg/transactions", replace_slice=True)
-            bad.write.mode("overwrite").partitionBy("ds").parquet(f"{root}/rejects/transactions")
+            bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(f"{root}/rejects/transactions")
             P.load_vault_day(spark, root, ds, load_dt)
             P.load_mart_day(spark, root, ds, rate_mode)
 

@@ -67,9 +67,10 @@ def test_streaming_catch_up_equals_replay(spark, scratch):
 
 def test_mart_plan_has_no_cartesian_product_and_keeps_anti_join(spark):
     v = V.build_vault(*_sources(spark).values())
-    plan = M.global_metrics(v)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "LeftAnti" in plan
+    for df in (M.global_metrics(v), M.global_metrics(v, rate_mode="per_transaction"), M.join_result(v)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "LeftAnti" in M.joined_rows(v)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_currency_aggregates_before_shuffle(spark):
