@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyvault.llm import line_dedup, quality_rules, sentencepieces
+from tallyvault.llm import decontamination, jaccard_join, line_dedup, quality_rules, sentencepieces
 from tallyvault.llm.common import documents, stored
 from tallyvault.llm.queries import tokenizer_path
 
@@ -21,12 +21,28 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_frequent_lines(docs, keep="first")
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 5-word shingle sets of Jaccard similarity 0.8 or more, the first stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage like a benchmark item go."""
+    return decontamination.without_leaks(docs, documents(spark, sf_dir, "benchmark"))
+
+
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded text."""
     return sentencepieces.encode_and_decode(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
-STAGES = [("quality rules", quality), ("line dedup", lines), ("sentencepiece", pieces)]
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", leaks),
+    ("SentencePiece encoding and decoding", pieces),
+]
 
 ORACLE_SQL = None  # SQL can't express the later stages; tests/llm holds run() against a plain version
 
@@ -34,5 +50,5 @@ ORACLE_SQL = None  # SQL can't express the later stages; tests/llm holds run() a
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

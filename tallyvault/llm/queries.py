@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, pii, quality_rules, sentencepieces, token_files
+from . import decontamination, html_extract, jaccard_join, license_scan, line_dedup, pii, quality_rules, sentencepieces, substring_dedup, token_files
 from .common import documents
 
 _W = r"[^\x20\x09-\x0D]+"
@@ -23,14 +23,30 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_and_decode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(documents(spark, sf_dir))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_report(documents(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_report(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(documents(spark, sf_dir))
 
@@ -39,9 +55,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(documents(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_sentencepiece, op4_pii, op6_token_files, op8_quality_rules, op9_line_dedup)}
+        op1_sentencepiece, op2_decontamination, op3_license_scan, op4_pii, op5_jaccard_join, op6_token_files,
+        op7_substring_dedup, op8_quality_rules, op9_line_dedup, op10_html_extraction)}
 
 
 OP9_SQL = """
@@ -115,5 +136,34 @@ FROM judged
 """
 
 
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical form of licence texts as SQL, from the same fixed values."""
+    c = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [(license_scan.COPYRIGHT_LINE, ""), (license_scan.PUNCTUATION, " "), *license_scan.SPELLINGS]
+    for pattern, replacement in steps:
+        c = f"regexp_replace({c}, {_sql_text(pattern)}, {_sql_text(replacement.replace('$', chr(92)))}, 'g')"
+    return f"trim({c})"
+
+
+def op3_sql() -> str:
+    known = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in license_scan.KNOWN)
+    return f"""
+WITH known AS (
+  SELECT DISTINCT license, {_canonical_sql("text")} AS c FROM (VALUES {known}) v(license, text)),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+units AS (
+  SELECT r, doc_id, text, true AS whole FROM d
+  UNION ALL
+  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS text, false AS whole FROM d),
+formed AS (SELECT r, doc_id, whole, {_canonical_sql("text")} AS c FROM units)
+SELECT doc_id, license, bool_or(whole) AS whole_text, count(*) FILTER (NOT whole) AS n_lines
+FROM formed JOIN known USING (c) WHERE c != '' GROUP BY r, doc_id, license
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op3_license_scan": op3_sql(), "op8_quality_rules": OP8_SQL, "op9_line_dedup": OP9_SQL}
