@@ -1,9 +1,11 @@
 """Exact n-gram Jaccard self-join in metric space: pivots, their regions, windows, recursion.
 
 Jaccard distance is a metric.  Documents become shingle sets; equal sets are one class.  Two
-sets that link share one of the first ``n - ceil(t n) + 1`` shingles of each in any common
-order of all shingles, so every shingle that heads two or more sets is a place where links
-may be, and its smallest class is the pivot there.  A pivot's region holds every class that
+sets that link share ``COMMON`` of the first ``n - ceil(t n) + COMMON`` shingles of each in
+any common order of all shingles (all that very small sets have), so every shingle that heads
+two or more sets is a place where links may be.  Classes that share too few places with
+classes of a size that could link are put aside; the smallest class left at a place is the
+pivot there.  A pivot's region holds every class that
 meets it at some shingle; a class at a border stands in several regions.  The order puts rare
 shingles first (frequent ones, counted over all documents, last; among the others the longest
 first); it decides the cost only, never the result.
@@ -23,11 +25,12 @@ an empty one.  Sets are told apart by 64-bit fingerprints.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import packed, ship, stored, whole_text
@@ -38,6 +41,10 @@ from .shingles import shingle_set, shingle_set_with_lengths
 FREQUENT = 4
 #: The most frequent shingles that the order knows by count (8 bytes each, sent to every task).
 KNOWN = 400_000
+#: Each head has so many shingles more than one common shingle would need; linked sets share at least as many.
+COMMON = 5
+#: Rounds in which classes without enough shared places go, and places that they leave alone.
+PEELS = 2
 MEMBERS = 4096
 SHINGLES = 2_000_000
 FLUSH = 4_000_000
@@ -114,7 +121,7 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 n = len(s)
                 ids.append(class_id(s) if n else None)
                 ns.append(n)
-                heads.append(_long(order.head(s, lengths, n - -(-percent * n // 100) + 1)) if n else np.zeros(0, np.int64))
+                heads.append(_long(order.head(s, lengths, n - -(-percent * n // 100) + COMMON)) if n else np.zeros(0, np.int64))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").to_numpy(), "digest": batch["digest"].to_numpy(), "n": ns,
                                 "class_id": pd.array(ids, "Int64"), "head": heads})
 
@@ -122,16 +129,38 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return stored(rows.mapInPandas(run, "doc_id long, digest long, n long, class_id long, head array<long>"), "signatures")
 
 
-def region_members(signs: DataFrame) -> DataFrame:
+def _least_common(n: Column, percent: int) -> Column:
+    """How many of its first shingles a set of size ``n`` shares at least with whatever it links to."""
+    least = F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * n / 100) / 100)
+    return F.least(least, F.lit(COMMON)).cast("int")
+
+
+def _without_strays(places: DataFrame, percent: int) -> DataFrame:
+    """Without classes that can't link: too few places shared with classes of a like size."""
+    step = math.log(100 / percent) + 1e-9  # sizes that may link lie in the same or the next class of sizes
+    rows = places.withColumn("b", F.floor(F.log("n") / F.lit(step)))
+    counts = rows.groupBy("key", "b").agg(F.count("*").alias("c"))
+    near = (counts.select(F.col("key").alias("n_key"), F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("n_b"), "c")
+            .groupBy("n_key", "n_b").agg(F.sum("c").alias("c")).where("c > 1"))
+    rows = rows.join(near, (F.col("key") == F.col("n_key")) & (F.col("b") == F.col("n_b"))).select("key", "class_id", "n")
+    strong = (rows.groupBy("class_id", "n").agg(F.count("*").alias("c"))
+              .where(F.col("c") >= _least_common(F.col("n"), percent)).select(F.col("class_id").alias("s_id")))
+    return rows.join(strong, F.col("class_id") == F.col("s_id"), "left_semi")
+
+
+def region_members(signs: DataFrame, percent: int) -> DataFrame:
     """(region, i, j, class_id): the classes of each pivot's region, cut into pairs of blocks where large."""
     one = signs.where("n > 0").groupBy("class_id").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
     heads = (signs.join(one.select(F.col("class_id").alias("c"), "first"), F.col("class_id") == F.col("c"))
              .where(F.struct("doc_id", "digest").eqNullSafe(F.col("first")))
              .select("class_id", "n", F.explode("head").alias("key")))
-    heads = stored(heads, "heads")
-    places = (heads.groupBy("key").agg(F.count("*").alias("c"), F.min("class_id").alias("pivot"))
-              .where("c > 1").select(F.col("key").alias("p_key"), "pivot"))
-    members = heads.join(places, F.col("key") == F.col("p_key")).select("pivot", "class_id", "n").distinct()
+    shared = heads.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most")).where("least != most")
+    places = heads.join(shared.select(F.col("key").alias("p_key")), F.col("key") == F.col("p_key"), "left_semi")
+    places = stored(places.dropDuplicates(["key", "class_id"]), "places")  # rows that repeat id and text
+    for _ in range(PEELS):
+        places = stored(_without_strays(places, percent), "places")
+    pivots = places.groupBy("key").agg(F.min("class_id").alias("pivot")).withColumnRenamed("key", "p_key")
+    members = places.join(pivots, F.col("key") == F.col("p_key")).select("pivot", "class_id", "n").distinct()
     members = stored(members, "members")
     blocks = members.groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / MEMBERS, F.sum("n") / SHINGLES)).cast("int").alias("blocks"))
     cut = members.join(blocks.withColumnRenamed("pivot", "b_pivot"), F.col("pivot") == F.col("b_pivot"))
@@ -154,7 +183,7 @@ def live_sets(docs: DataFrame, signs: DataFrame, members: DataFrame, size: int)
         for batch in batches:
             yield pd.DataFrame({"class_id": batch["c"].to_numpy(), "shingles": [shingle_set(t, size).tobytes() for t in batch["text"]]})
 
-    return rows.mapInPandas(run, "class_id long, shingles binary").dropDuplicates(["class_id"])
+    return rows.mapInPandas(run, "class_id long, shingles binary")
 
 
 class Region:
@@ -213,11 +242,12 @@ def region_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, in
 
 def similar_classes(docs: DataFrame, signs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between classes whose sets are similar enough: a spanning set for each region."""
-    members = stored(region_members(signs), "regions")
+    members = stored(region_members(signs, percent), "regions")
     sets = stored(live_sets(docs, signs, members, size), "sets")
     rows = members.join(sets.withColumnRenamed("class_id", "c"), F.col("class_id") == F.col("c")).select("region", "i", "j", "class_id", "shingles")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("class_id")  # rows that repeat id and text
         ids = group["class_id"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
         links = [(ids[a], ids[b]) for a, b in region_links(sets, percent)]
