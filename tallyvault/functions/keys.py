@@ -2,9 +2,11 @@
 
 The reference hashes business keys with its database's HASH().  We need
 a key that (a) both Spark and DuckDB compute identically, (b) keeps
-argument order and nulls significant, and (c) stays inside codegen.  The
-key is the first 15 hex digits of md5 over the arguments rendered as text
-and joined by a separator, read as a non-negative 60-bit integer.
+argument order and nulls significant, and (c) stays inside codegen.  Each
+argument is written as its length, a colon and its text (a null as a bare
+mark), so different argument lists never give the same text; the key is the
+first 15 hex digits of the md5 of that, read as a non-negative 60-bit
+integer.  Joins that must not depend on hash collisions use business keys.
 """
 
 from __future__ import annotations
@@ -12,29 +14,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Separator between arguments and the text standing for NULL.
-HK_SEPARATOR = "||"
-HK_NULL = "\\N"
+# The mark standing for NULL and the digits kept.
+HK_NULL = "N"
 HK_HEX_DIGITS = 15
 
 
 def _text(c: Column | str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(col.cast("string"), F.lit(HK_NULL))
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(HK_NULL))
 
 
 def hk(*cols: Column | str) -> Column:
     """60-bit md5 key over ``cols`` (order and nulls significant)."""
-    joined = F.concat_ws(HK_SEPARATOR, *[_text(c) for c in cols])
+    joined = F.concat(*[_text(c) for c in cols])
     return F.conv(F.substring(F.md5(joined), 1, HK_HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def hk_wide(*cols: Column | str) -> Column:
-    """Full 128-bit md5 as text, for key spaces where 60 bits is too few."""
-    return F.md5(F.concat_ws(HK_SEPARATOR, *[_text(c) for c in cols]))
-
-
 def hk_sql_duckdb(*exprs: str) -> str:
     """The same key as a DuckDB SQL expression (used by the oracle)."""
-    parts = ", ".join(f"coalesce(CAST({e} AS VARCHAR), '{HK_NULL}')" for e in exprs)
-    return f"CAST(('0x' || substr(md5(concat_ws('{HK_SEPARATOR}', {parts})), 1, {HK_HEX_DIGITS})) AS BIGINT)"
+    parts = [f"coalesce(length(CAST({e} AS VARCHAR)) || ':' || CAST({e} AS VARCHAR), '{HK_NULL}')" for e in exprs]
+    return f"CAST(('0x' || substr(md5({' || '.join(parts)}), 1, {HK_HEX_DIGITS})) AS BIGINT)"

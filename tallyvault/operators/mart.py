@@ -59,13 +59,20 @@ def _materialize_small(df: DataFrame) -> DataFrame:
 def satellite_days(vault: dict[str, DataFrame], ds_from=None, ds_to=None) -> DataFrame:
     st = vault["s_transactions"].withColumn("day", F.to_date("transaction_dt"))
     ds_from, ds_to = _as_date(ds_from), _as_date(ds_to)
+    # A satellite row is loaded by the run of its own day, so the partition
+    # column prunes what the day filter asks for.
     if ds_from is not None:
-        st = st.where(F.col("day") >= F.lit(ds_from))
+        st = st.where((F.col("day") >= F.lit(ds_from)) & (F.col("ds") >= F.lit(ds_from)))
     if ds_to is not None:
-        st = st.where(F.col("day") <= F.lit(ds_to))
+        st = st.where((F.col("day") <= F.lit(ds_to)) & (F.col("ds") <= F.lit(ds_to)))
     return st
 
 
+def _loaded_by(table: DataFrame, ds_to) -> DataFrame:
+    """Rows of a hub or link loaded by a day (partitions after it are not opened)."""
+    return table if ds_to is None else table.where(F.col("ds") <= F.lit(_as_date(ds_to)))
+
+
 def bad_operations(st: DataFrame) -> DataFrame:
     """M1: (operation, day) pairs with a blocked/chargeback/authorization row."""
     return (st.where(F.col("status").isin(*BAD_STATUSES) | (F.col("transaction_type") == BAD_TYPE))
@@ -114,9 +121,9 @@ def joined_rows(vault: dict[str, DataFrame], ds_from=None, ds_to=None) -> DataFr
     before the dollar set and the rate are attached."""
     st = satellite_days(vault, ds_from, ds_to)
     clean = clean_transactions(st)
-    lct = vault["l_currency_transaction"].select("hk_operation_id", "hk_currency_code", F.col("ds").alias("_lct_ds"))
-    hc = vault["h_currencies"].select("hk_currency_code", "currency_code", F.col("ds").alias("_hc_ds"))
-    lac = vault["l_accounts_transactions"].select(
+    lct = _loaded_by(vault["l_currency_transaction"], ds_to).select("hk_operation_id", "hk_currency_code", F.col("ds").alias("_lct_ds"))
+    hc = _loaded_by(vault["h_currencies"], ds_to).select("hk_currency_code", "currency_code", F.col("ds").alias("_hc_ds"))
+    lac = _loaded_by(vault["l_accounts_transactions"], ds_to).select(
         "hk_operation_id", F.col("hk_account_number_from").alias("account"), F.col("ds").alias("_lac_ds"))
     return (clean.join(lct, "hk_operation_id").where(F.col("_lct_ds") <= F.col("day"))
             .join(lac, "hk_operation_id").where(F.col("_lac_ds") <= F.col("day"))
@@ -180,12 +187,24 @@ def _reference_rates(sums: DataFrame, dollars: DataFrame, rates: DataFrame, buck
     return out if keep_missing else out.drop("missing")
 
 
+def _with_dollars(rows: DataFrame, sums: DataFrame, dollars: DataFrame) -> DataFrame:
+    """``rows`` once per dollar currency of their day.
+
+    The dollars are first spread over the (day, currency) pairs that occur, a
+    small table, so the rows are joined by day and currency: a day's rows are
+    not one key, Spark broadcasts the pairs when it measures them as small, and
+    splits a currency-day that holds much of the rows otherwise.
+    """
+    pairs = sums.select("day", "currency_code").join(dollars, "day")
+    return rows.join(pairs, ["day", "currency_code"])
+
+
 def join_result(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode: str = "reference",
                 bucket: str = "day") -> DataFrame:
     """M5: the reference's ``join_result`` rows (one per row and dollar code)."""
     rows, sums, dollars = _day_currency_frames(vault, ds_from, ds_to)
     rates = rate_history(vault)
-    with_d = rows.join(dollars, "day")
+    with_d = _with_dollars(rows, sums, dollars)
     if rate_mode == "reference":
         rate = _reference_rates(sums, dollars, rates, bucket)
         out = with_d.join(rate, ["day", "currency_code"])
@@ -217,7 +236,7 @@ def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_m
             (F.col("s") * F.col("k")).alias("vol"),
             (F.col("s") * F.col("k") * F.col("rate")).alias("usd"))
     else:
-        with_d = rows.join(dollars, "day")
+        with_d = _with_dollars(rows, sums, dollars)
         looked = asof_lookup(with_d.withColumnRenamed("hk_currency_code", "hk_currency_from")
                              .withColumnRenamed("hk_currency_code_dollar", "hk_currency_to"),
                              rates, ["hk_currency_from", "hk_currency_to"], "transaction_dt",

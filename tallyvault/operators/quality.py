@@ -65,13 +65,14 @@ MAX_LENGTHS = {
 for _t in VAULT:
     MAX_LENGTHS.setdefault(_t, {})["load_src"] = 40
 MAX_LENGTHS["h_transactions"]["operation_id"] = 120
+MAX_LENGTHS["h_countries"]["country_name"] = 60
 MAX_LENGTHS["s_transactions"].update({"status": 60, "transaction_type": 60})
 
 
 def row_rules(table: str) -> list[tuple[str, str]]:
     """(rule name, SQL expression counting a violation) for one table."""
     rules = [(f"not_null:{f.name}", f"{f.name} IS NULL")
-             for f in SCHEMAS[table].fields if not f.nullable and f.name != "load_dt"]
+             for f in SCHEMAS[table].fields if not f.nullable or f.name == "load_dt"]
     rules += [(f"check:{expr}", f"NOT ({expr})") for t, expr in CHECKS if t == table]
     rules += [(f"length:{c}<={n}", f"octet_length({c}) > {n}")
               for c, n in MAX_LENGTHS.get(table, {}).items()]
@@ -133,11 +134,11 @@ def quality_report(vault: dict[str, DataFrame], stg_transactions: DataFrame | No
     return out
 
 
-def rule_sql(tables: list[str], with_missing_rate: bool = False) -> str:
-    """The same report as portable SQL over views named like the tables."""
+def rule_sql(tables: list[str], with_missing_rate: bool = False, prefix: str = "") -> str:
+    """The same report as portable SQL over views named like the tables (after ``prefix``)."""
     sel = []
     for t in tables:
-        view = t
+        view = prefix + t
         for name, cond in row_rules(t):
             q = name.replace("'", "''")
             cond = cond.replace("octet_length(", "strlen(")      # byte length in DuckDB
@@ -151,7 +152,7 @@ def rule_sql(tables: list[str], with_missing_rate: bool = False) -> str:
     for child, col, parent, pcol in FOREIGN_KEYS:
         if child in tables and parent in tables:
             sel.append(f"SELECT '{child}', 'foreign_key:{col}->{parent}.{pcol}', CAST(count(*) AS BIGINT) "
-                       f"FROM {child} x WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = x.{col})")
+                       f"FROM {prefix}{child} x WHERE NOT EXISTS (SELECT 1 FROM {prefix}{parent} p WHERE p.{pcol} = x.{col})")
     if with_missing_rate:
         sel.append("SELECT 'global_metrics', 'missing_rate', CAST(count(*) AS BIGINT) FROM missing_rate")
     return "\nUNION ALL\n".join(sel)

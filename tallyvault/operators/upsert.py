@@ -12,7 +12,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import GLOBAL_METRICS, MART_KEY
 
@@ -24,33 +23,36 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str] = MART_KEY) -> D
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: list[str] = MART_KEY,
-                 partition_col: str = "date_update", staging_root: str | None = None) -> None:
+                 partition_col: str = "date_update") -> None:
     """Merge ``source`` into the Parquet table at ``path``.
 
-    Only the partitions present in ``source`` are read and rewritten.  The
-    merged rows are first written to a staging folder, so the overwrite
-    never reads the files it replaces, and a failed run can be repeated.
+    The source is computed once, into a folder beside the target.  Only the
+    partitions present in it are read and rewritten; the merged rows are
+    written beside the target too before they replace it, so the overwrite
+    never reads the files it replaces, and a failed run can be repeated.  An
+    empty source changes nothing.
     """
-    from ..plans.storage import scratch_path
+    from ..plans.storage import remove, write_read
 
-    fs_exists = _exists(spark, path)
-    if fs_exists:
+    work = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex[:12]}"
+    cols = GLOBAL_METRICS.fieldNames()
+    try:
+        staged = write_read(source.select(*cols), f"{work}/source")
         # Semi join on the partition column: dynamic partition pruning reads
         # only the days the source touches.
-        touched = source.select(partition_col).distinct()
-        target = spark.read.parquet(path).select(*GLOBAL_METRICS.fieldNames()) \
-            .join(touched, partition_col, "left_semi")
-    else:
-        target = spark.createDataFrame([], GLOBAL_METRICS)
-    merged = upsert(target, source.select(*GLOBAL_METRICS.fieldNames()), key)
-    stage = staging_root or scratch_path(spark, "upsert", uuid.uuid4().hex[:8])
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage).select(*GLOBAL_METRICS.fieldNames())
-    (staged.repartition(partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm  # noqa: SLF001 - Hadoop FileSystem check, no data read
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+        touched = staged.select(partition_col).distinct()
+        target = read_mart(spark, path).join(touched, partition_col, "left_semi")
+        merged = write_read(upsert(target, staged, key).select(*cols), f"{work}/merged")
+        (merged.repartition(partition_col).sortWithinPartitions(*key).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    finally:
+        remove(spark, work)
+
+
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """The stored mart, empty when nothing was ever written."""
+    from ..plans.storage import exists
+
+    if not exists(spark, path):
+        return spark.createDataFrame([], GLOBAL_METRICS)
+    return spark.read.schema(GLOBAL_METRICS).parquet(path).select(*GLOBAL_METRICS.fieldNames())

@@ -34,6 +34,8 @@ MIN_ACCOUNT = 0
 MIN_RECEIVER_FOR_TX_HUB = 1
 MIN_CURRENCY = 0
 MIN_RATE = 0
+#: Stands for the load day of rows that were stored before the days of a run.
+BEFORE_ALL = _dt.date(1000, 1, 1)
 
 
 def _day(col: str) -> Column:
@@ -148,17 +150,26 @@ def sat_rate_candidates(c: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- set-based
 
-def first_loaded(cands: DataFrame, key: list[str]) -> DataFrame:
+def first_loaded(cands: DataFrame, key: list[str], cluster_by: list[str] | None = None,
+                 stored: DataFrame | None = None) -> DataFrame:
     """Rows a day-by-day insert-if-absent replay would have kept.
 
     A key is inserted on its first qualifying day, with every distinct row
-    of that day; later days add nothing for it.  The groupBy pre-combines
-    duplicates map-side (skew-safe); the window then sees at most one row
-    per distinct (key, attributes) and runs on already-reduced data.
+    of that day; later days add nothing for it, and a key of ``stored`` is
+    never inserted.  The groupBy pre-combines duplicates map-side
+    (skew-safe); the window then sees at most one row per distinct (key,
+    attributes) and runs on already-reduced data.  Tables with a row or two
+    per operation gain nothing from that: with ``cluster_by`` their rows are
+    shuffled once by the operation, which the grouping, the window and the
+    test against the stored keys then share.
     """
+    if cluster_by:
+        cands = cands.repartition(*cluster_by)
+    if stored is not None:
+        cands = cands.join(stored.select(*{*key, *(cluster_by or [])}), [*{*key, *(cluster_by or [])}], "left_anti")
     attrs = [c for c in cands.columns if c != "day"]
     per_row = cands.groupBy(*attrs).agg(F.min("day").alias("ds"))
-    first = F.min("ds").over(Window.partitionBy(*key))
+    first = F.min("ds").over(Window.partitionBy(*key, *[c for c in cluster_by or [] if c not in key]))
     return per_row.withColumn("_first", first).where(F.col("ds") == F.col("_first")).drop("_first")
 
 
@@ -175,8 +186,12 @@ def _stamp(df: DataFrame, table: str, load_dt) -> DataFrame:
 
 def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = None,
                 persist: Callable[[str, DataFrame], DataFrame] | None = None,
-                parallel: int = 4) -> dict[str, DataFrame]:
-    """All 11 vault tables from staging rows of any number of days.
+                parallel: int = 4, stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All 11 vault tables' new rows from staging rows of any number of days.
+
+    ``stored`` (optional) is what the vault holds already, outside the days
+    loaded here: its keys are not inserted again, and its hubs and links
+    count as present from the start, as they do for a replay of these days.
 
     ``persist(name, df)`` (optional) stores an intermediate and returns the
     stored table.  The pipeline passes one that writes Parquet to the shared
@@ -196,43 +211,52 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
             futures = {n: pool.submit(persist, n, df) for n, df in tables.items()}
             return {n: f.result() for n, f in futures.items()}
 
+    def new_rows(name: str, cands: DataFrame, cluster_by: list[str] | None = None) -> DataFrame:
+        return _stamp(first_loaded(cands, VAULT_KEYS[name], cluster_by, stored and stored[name]), name, load_dt)
+
+    def present(name: str, col: str, since: str) -> DataFrame:
+        """(col, since): the day from which each key is there; stored ones always were."""
+        rows = out[name].select(col, F.col("ds").alias(since)).distinct()
+        if stored is None:
+            return rows
+        old = stored[name].select(col, F.lit(BEFORE_ALL).alias(since)).distinct()
+        return rows.unionByName(old)
+
     t = prepare_transactions(tx)
     c = prepare_currencies(cur)
-    out: dict[str, DataFrame] = keep_all({
-        name: _stamp(first_loaded(fn(t), VAULT_KEYS[name]), name, load_dt)
-        for name, fn in (("h_transactions", hub_transactions_candidates),
-                         ("h_countries", hub_countries_candidates),
-                         ("h_currencies", hub_currencies_candidates),
-                         ("h_accounts", hub_accounts_candidates))})
+    by_op = ["hk_operation_id"]
+    out: dict[str, DataFrame] = {}
+    out.update(keep_all({
+        name: new_rows(name, fn(t), cluster)
+        for name, fn, cluster in (("h_transactions", hub_transactions_candidates, by_op),
+                                  ("h_countries", hub_countries_candidates, None),
+                                  ("h_currencies", hub_currencies_candidates, None),
+                                  ("h_accounts", hub_accounts_candidates, None))}))
 
     # Rows whose operation is in the transaction hub by the row's own day.
-    op_first = out["h_transactions"].select("hk_operation_id", F.col("ds").alias("op_ds")).distinct()
+    op_first = present("h_transactions", "operation_id", "op_ds")
     # Rates need both currencies in the hub by the rate's day.
-    cur_first = out["h_currencies"].select("currency_code", F.col("ds").alias("cur_ds")).distinct()
+    cur_first = present("h_currencies", "currency_code", "cur_ds")
     c_in_hub = (c.join(cur_first, "currency_code")
                 .where(F.col("cur_ds") <= F.col("day")).drop("cur_ds")
                 .join(cur_first.withColumnRenamed("currency_code", "currency_code_with")
                       .withColumnRenamed("cur_ds", "with_ds"), "currency_code_with")
                 .where(F.col("with_ds") <= F.col("day")).drop("with_ds"))
     phase2 = keep_all({
-        "_tx_in_hub": t.join(op_first, "hk_operation_id").where(F.col("op_ds") <= F.col("day")).drop("op_ds"),
-        "l_currency_ratio": _stamp(first_loaded(link_currency_ratio_candidates(c_in_hub),
-                                                VAULT_KEYS["l_currency_ratio"]), "l_currency_ratio", load_dt)})
+        "_tx_in_hub": t.join(op_first, "operation_id").where(F.col("op_ds") <= F.col("day")).drop("op_ds"),
+        "l_currency_ratio": new_rows("l_currency_ratio", link_currency_ratio_candidates(c_in_hub))})
     t_in_hub = phase2.pop("_tx_in_hub")
     out.update(phase2)
 
-    # Operation-keyed links: the window key carries the operation key too
-    # (the link key determines it), so grouping and windowing reuse the
-    # partitioning by operation instead of shuffling again.
-    link_first = out["l_currency_ratio"].select("hk_l_currency_ratio", F.col("ds").alias("l_ds")).distinct()
+    link_first = present("l_currency_ratio", "hk_l_currency_ratio", "l_ds")
     phase3 = {
-        name: _stamp(first_loaded(fn(t_in_hub), VAULT_KEYS[name] + extra), name, load_dt)
-        for name, fn, extra in (
-            ("l_accounts_transactions", link_accounts_candidates, ["hk_operation_id"]),
-            ("l_countries_transactions", link_countries_transactions_candidates, ["hk_operation_id"]),
-            ("l_currency_transaction", link_currency_transaction_candidates, ["hk_operation_id"]),
+        name: new_rows(name, fn(t_in_hub), cluster)
+        for name, fn, cluster in (
+            ("l_accounts_transactions", link_accounts_candidates, by_op),
+            ("l_countries_transactions", link_countries_transactions_candidates, by_op),
+            ("l_currency_transaction", link_currency_transaction_candidates, by_op),
             # The reference also requires the operation in its hub here.
-            ("l_countries_currencies", link_countries_currencies_candidates, []))}
+            ("l_countries_currencies", link_countries_currencies_candidates, None))}
     phase3["s_transactions"] = _stamp(
         sat_transactions_candidates(t_in_hub).distinct().withColumnRenamed("day", "ds"), "s_transactions", load_dt)
     phase3["s_l_currency_ratio"] = _stamp(
@@ -243,6 +267,11 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
     return {name: out[name] for name in VAULT}
 
 
+def in_transaction_hub(t: DataFrame, hub: DataFrame) -> DataFrame:
+    """Rows whose operation is in the hub (by business key, as the reference joins)."""
+    return t.join(hub.select("operation_id"), "operation_id", "left_semi")
+
+
 # ---------------------------------------------------------------- one day
 
 def _new_keys(cands: DataFrame, existing: DataFrame, key: list[str], ds) -> DataFrame:
@@ -252,14 +281,16 @@ def _new_keys(cands: DataFrame, existing: DataFrame, key: list[str], ds) -> Data
 
 
 def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame], ds,
-             load_dt: _dt.datetime | None = None, phase: str | None = None) -> dict[str, DataFrame]:
+             load_dt: _dt.datetime | None = None, phase: str | None = None,
+             tx_in_hub: DataFrame | None = None) -> dict[str, DataFrame]:
     """Rows one daily run appends, given the stored vault before it.
 
     Statement order matters as in the reference: hubs, then links (which
     see this run's hub rows), then satellites (which see this run's
     links).  With ``phase`` = "hubs" / "links" / "satellites" only that
     group is computed against ``vault`` as stored (the pipeline writes each
-    group before computing the next); with ``phase=None`` all groups are
+    group before computing the next, and passes the day's rows that are in the
+    transaction hub as ``tx_in_hub``); with ``phase=None`` all groups are
     computed at once, later groups seeing the earlier groups' new rows.
     """
     ds = _dt.date.fromisoformat(str(ds)) if not isinstance(ds, _dt.date) else ds
@@ -278,7 +309,7 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
         return stored.unionByName(new[name].select(*cols)) if name in new else stored
 
     if phase in (None, "links"):
-        t_in_hub = t.join(now("h_transactions", ["operation_id"]), "operation_id", "left_semi")
+        t_in_hub = tx_in_hub if tx_in_hub is not None else in_transaction_hub(t, now("h_transactions", ["operation_id"]))
         for name, fn in (("l_accounts_transactions", link_accounts_candidates),
                          ("l_countries_transactions", link_countries_transactions_candidates),
                          ("l_currency_transaction", link_currency_transaction_candidates),
@@ -291,7 +322,7 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
         new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(c_in_hub),
                                             vault["l_currency_ratio"], VAULT_KEYS["l_currency_ratio"], ds)
     if phase in (None, "satellites"):
-        t_in_hub = t.join(now("h_transactions", ["operation_id"]), "operation_id", "left_semi")
+        t_in_hub = tx_in_hub if tx_in_hub is not None else in_transaction_hub(t, now("h_transactions", ["operation_id"]))
         new["s_transactions"] = (sat_transactions_candidates(t_in_hub).drop("day").distinct()
                                  .withColumn("ds", F.lit(ds).cast("date")))
         links = now("l_currency_ratio", ["hk_l_currency_ratio"])

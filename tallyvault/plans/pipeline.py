@@ -16,6 +16,8 @@ yields the same vault (see ``operators/vault.py``).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +28,10 @@ from ..operators import upsert as U
 from ..operators import vault as V
 from ..schemas import LAYOUT, STG_CURRENCIES, STG_TRANSACTIONS, VAULT
 from ..sources import staging
-from .storage import parquet_persister
+from .storage import clear_days, exists, remove, write_read
 
 STG_SCHEMAS = {"transactions": STG_TRANSACTIONS, "currencies": STG_CURRENCIES}
+PARALLEL_WRITES = 4
 DATE_COLUMNS = {"transactions": "transaction_dt", "currencies": "date_update"}
 
 
@@ -36,17 +39,11 @@ def _day(ds) -> _dt.date:
     return ds if isinstance(ds, _dt.date) else _dt.date.fromisoformat(str(ds))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
-
-
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A stored table, or an empty one of that schema when absent."""
-    if not _exists(spark, path):
+    """A stored table, or an empty one of that schema when absent or without rows."""
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path).select(*schema.fieldNames())
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def read_vault(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -60,34 +57,77 @@ def read_staging(spark: SparkSession, root: str, table: str, ds=None) -> DataFra
     return df if ds is None else df.where(F.col("ds") == F.lit(_day(ds)))   # partition pruning
 
 
+def _clustered(name: str, df: DataFrame) -> DataFrame:
+    _part, sort_cols, dist = LAYOUT[name]
+    return df.repartition("ds", *dist).sortWithinPartitions(*sort_cols)
+
+
 def write_vault_rows(tables: dict[str, DataFrame], root: str) -> None:
-    """Append one run's rows, clustered and sorted like the reference's tables."""
-    for name, df in tables.items():
-        _part, sort_cols, dist = LAYOUT[name]
-        (df.repartition("ds", *dist).sortWithinPartitions(*sort_cols)
-         .write.mode("append").partitionBy("ds").parquet(f"{root}/dds/{name}"))
+    """Append one run's rows, clustered and sorted like the reference's tables.
+
+    The tables of a phase don't read each other, so their jobs run side by side.
+    """
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, df = item
+        _clustered(name, df).write.mode("append").partitionBy("ds").parquet(f"{root}/dds/{name}")
+
+    with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
+        list(pool.map(write, tables.items()))
+
+
+def load_days(spark: SparkSession, root: str, table: str, days: list[_dt.date], load_dt=None,
+              replace_slice: bool = False) -> None:
+    """Load the extracts of some days of one table into staging; their rejects replace earlier ones."""
+    for day in days if replace_slice else []:
+        remove(spark, f"{root}/stg/{table}/ds={day.isoformat()}")
+    clear_days(spark, f"{root}/rejects/{table}", days)
+    good, bad = staging.load_extract(spark, f"{root}/extract", table, days=days, load_dt=_run_time(load_dt))
+    _clustered(f"stg_{table}", good).write.mode("append").partitionBy("ds").parquet(f"{root}/stg/{table}")
+    bad.write.mode("append").partitionBy("ds").parquet(f"{root}/rejects/{table}")
 
 
 def stage_day(spark: SparkSession, root: str, sources: dict[str, DataFrame], ds, load_dt=None) -> None:
-    """Extract one day of each source to CSV, then load it into staging."""
+    """Extract one day of each source to CSV, then load it into staging.
+
+    The day's extract is made anew even if the source has no rows for it any more.
+    """
     ds = _day(ds)
     for table, src in sources.items():
         date_col = DATE_COLUMNS[table]
         day = staging.slice_by_day(src, date_col, ds)
+        clear_days(spark, f"{root}/extract/{table}", [ds])
         staging.write_extract(day, f"{root}/extract", table, date_col)
-        good, bad = staging.load_extract(spark, f"{root}/extract", table, ds=ds, load_dt=load_dt)
-        staging.append_staging(good, f"{root}/stg/{table}")
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(f"{root}/rejects/{table}")
+        load_days(spark, root, table, [ds], load_dt)
+
+
+def _run_time(load_dt) -> _dt.datetime:
+    """The load time of a run, to the second: now, unless the caller gives one."""
+    return load_dt or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None) -> None:
+def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None, replace_slice: bool = False) -> None:
     """One daily vault run: hubs, links, satellites, each group written
-    before the next reads the stored vault (the reference's statement order)."""
-    ds = _day(ds)
+    before the next reads the stored vault (the reference's statement order).
+
+    The hub join of the day's staging rows is computed once, and stored for the
+    links and the satellite.  ``replace_slice`` makes a repeated load of the
+    day give the same satellites (the reference's own re-run adds them again).
+    """
+    ds, load_dt = _day(ds), _run_time(load_dt)
     tx = read_staging(spark, root, "transactions", ds)
     cur = read_staging(spark, root, "currencies", ds)
-    for phase in ("hubs", "links", "satellites"):
-        write_vault_rows(V.load_day(tx, cur, read_vault(spark, root), ds, load_dt, phase=phase), root)
+    work = f"{root}/_work/{uuid.uuid4().hex[:12]}"
+    try:
+        write_vault_rows(V.load_day(tx, cur, read_vault(spark, root), ds, load_dt, phase="hubs"), root)
+        hubs = read_table(spark, f"{root}/dds/h_transactions", VAULT["h_transactions"])
+        in_hub = write_read(V.in_transaction_hub(V.prepare_transactions(tx), hubs), work)
+        for phase in ("links", "satellites"):
+            rows = V.load_day(tx, cur, read_vault(spark, root), ds, load_dt, phase=phase, tx_in_hub=in_hub)
+            for name in rows if replace_slice and phase == "satellites" else ():
+                clear_days(spark, f"{root}/dds/{name}", [ds])
+            write_vault_rows(rows, root)
+    finally:
+        remove(spark, work)
 
 
 def load_mart_day(spark: SparkSession, root: str, ds, rate_mode: str = "reference") -> None:
@@ -117,32 +157,38 @@ def run_range(spark: SparkSession, root: str, sources: dict[str, DataFrame], sta
 
 def backfill(spark: SparkSession, root: str, sources: dict[str, DataFrame], start, end, load_dt=None,
              rate_mode: str = "reference") -> None:
-    """Load [start, end] set-based: one pass per table instead of one per day."""
-    s, e = _day(start), _day(end)
+    """Load [start, end] set-based: one pass per table instead of one per day.
+
+    What the vault holds for these days is replaced; what it holds for other
+    days stays, and its keys are not inserted again, as in a replay of the
+    days on that vault.
+    """
+    s, e, load_dt = _day(start), _day(end), _run_time(load_dt)
+    days = days_between(s, e)
+    inside = (F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e))
     for table, src in sources.items():
         col = F.to_date(F.col(DATE_COLUMNS[table]))
         rows = src.where((col >= F.lit(s)) & (col <= F.lit(e)))
+        clear_days(spark, f"{root}/extract/{table}", days)
         staging.write_extract(rows, f"{root}/extract", table, DATE_COLUMNS[table])
-        good, bad = staging.load_extract(spark, f"{root}/extract", table, load_dt=load_dt)
-        good = good.where((F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e)))
-        staging.append_staging(good, f"{root}/stg/{table}", replace_slice=True)
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(f"{root}/rejects/{table}")
-    tx = read_staging(spark, root, "transactions").where((F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e)))
-    cur = read_staging(spark, root, "currencies").where((F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e)))
-    V.build_vault(tx, cur, load_dt, persist=_vault_writer(root))
-    metrics = M.global_metrics(read_vault(spark, root), ds_from=s, ds_to=e, rate_mode=rate_mode)
-    U.upsert_table(spark, f"{root}/mart/global_metrics", metrics)
-
-
-def _vault_writer(root: str):
-    scratch = parquet_persister(f"{root}/_work")
+        load_days(spark, root, table, days, load_dt, replace_slice=True)
+    tx = read_staging(spark, root, "transactions").where(inside)
+    cur = read_staging(spark, root, "currencies").where(inside)
+    for name in VAULT:
+        clear_days(spark, f"{root}/dds/{name}", days)
+    work = f"{root}/_work/{uuid.uuid4().hex[:12]}"
+    old = {name: df.where(~inside) for name, df in read_vault(spark, root).items()}
 
     def persist(name: str, df: DataFrame) -> DataFrame:
         if name.startswith("_"):
-            return scratch(name, df)
-        _part, sort_cols, dist = LAYOUT[name]
+            return write_read(df, f"{work}/{name}")
         path = f"{root}/dds/{name}"
-        (df.repartition("ds", *dist).sortWithinPartitions(*sort_cols)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(path))
-        return df.sparkSession.read.parquet(path).select(*VAULT[name].fieldNames())
-    return persist
+        _clustered(name, df).write.mode("append").partitionBy("ds").parquet(path)
+        return read_table(spark, path, VAULT[name]).where(inside)
+
+    try:
+        V.build_vault(tx, cur, load_dt, persist=persist, stored=old)
+    finally:
+        remove(spark, work)
+    metrics = M.global_metrics(read_vault(spark, root), ds_from=s, ds_to=e, rate_mode=rate_mode)
+    U.upsert_table(spark, f"{root}/mart/global_metrics", metrics)

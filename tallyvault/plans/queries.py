@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_hierarchy_key
 from ..functions.keys import hk
-from ..functions.money import cents_to_units
+from ..functions.money import cents_to_units, half_up_ratio, round_money
 from ..operators import mart as M
 from ..operators import upsert as U
 from ..operators import quality as Q
@@ -24,7 +24,8 @@ from ..operators import vault as V
 from ..schemas import VAULT, VAULT_ORDER
 from ..sources import fixture, staging
 from .oracle import AS_OF_DATES, SLICE_DAY, UPSERT_FROM_DAY, VAULT_COLUMNS
-from .storage import parquet_persister, scratch_path
+from . import pipeline as P
+from .storage import parquet_persister, remove, scratch_path
 
 _VAULTS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -104,25 +105,173 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 def q_csv_rejects(spark, sf_dir):
-    tx, _ = staging_tables(spark, sf_dir)
+    """A line of CSV for every event, one in two broken: the rejects with their reasons."""
     root = scratch_path(spark, "csv-rejects", hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
-    staging.write_extract(tx, root, "transactions", "transaction_dt")
+    fixture.csv_lines(spark, sf_dir).write.mode("overwrite").partitionBy("ds").text(f"{root}/transactions")
     _good, bad = staging.load_extract(spark, root, "transactions")
     return bad
 
 
 def q_stg_replay_dedup(spark, sf_dir):
-    """Staging appended twice (a re-run without truncate): the vault is unchanged."""
+    """Every day appended to staging twice, without a truncate between: the vault built from it is unchanged."""
     tx, cur = staging_tables(spark, sf_dir)
-    v = V.build_vault(tx.unionByName(tx), cur.unionByName(cur))
+    root = scratch_path(spark, "replay", hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
+    remove(spark, root)
+    for _ in range(2):
+        for table, df in (("transactions", tx), ("currencies", cur)):
+            rows = df.withColumn("ds", F.to_date(P.DATE_COLUMNS[table])).drop("load_dt")
+            rows.write.mode("append").partitionBy("ds").parquet(f"{root}/{table}")
+    again = [spark.read.parquet(f"{root}/{t}").drop("ds") for t in ("transactions", "currencies")]
+    v = V.build_vault(*again, persist=parquet_persister(f"{root}/vault"))
     counts = [v[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
               for t in VAULT_ORDER]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    counts += [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(f"stg_{t}").alias("table_name"), "row_count")
+               for t, df in zip(("transactions", "currencies"), again)]
+    return _union(counts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+REPLAYED_DAYS = 2
+
+
+def q_backfill_equals_replay(spark, sf_dir):
+    """The first days replayed one by one, the rest backfilled onto that vault, against one set-based build."""
+    tx, cur = staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "mixed", hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
+    remove(spark, root)
+    sources = {"transactions": tx, "currencies": cur}
+    ends = tx.agg(F.min("transaction_dt").cast("date"), F.max("transaction_dt").cast("date")).first()
+    days = P.days_between(*ends)
+    for ds in days[:REPLAYED_DAYS]:
+        P.run_day(spark, root, sources, ds)
+    P.backfill(spark, root, sources, days[REPLAYED_DAYS], days[-1])
+    mixed, whole = P.read_vault(spark, root), stored_vault(spark, sf_dir)
+    parts = []
+    for t in VAULT_ORDER:
+        cols = [c.strip() for c in VAULT_COLUMNS[t].split(",")]
+        if "transaction_dt" in cols or "date_update" in cols:   # staged times keep milliseconds
+            time = "transaction_dt" if "transaction_dt" in cols else "date_update"
+            a, b = (d.withColumn(time, F.date_trunc("millisecond", time).cast("timestamp_ntz")).select(*cols).distinct()
+                    for d in (mixed[t], whole[t]))
+        else:
+            a, b = mixed[t].select(*cols), whole[t].select(*cols)
+        both = a.withColumn("side", F.lit(1)).unionByName(b.withColumn("side", F.lit(-1)))
+        diff = both.groupBy(*cols).agg(F.sum("side").alias("d"), F.count_if(F.col("side") == 1).alias("n"))
+        parts.append(diff.agg(F.sum("n").cast("bigint").alias("row_count"),
+                              F.count_if(F.col("d") > 0).alias("only_replay"), F.count_if(F.col("d") < 0).alias("only_backfill"))
+                     .select(F.lit(t).alias("table_name"), "row_count", "only_replay", "only_backfill"))
+    return _union(parts)
+
+
+def q_filters_day_slice(spark, sf_dir):
+    """Day equality, bounds, IN, equality and null tests of the loads and the mart in one filter."""
+    tx, _ = staging_tables(spark, sf_dir)
+    return (staging.slice_by_day(tx, "transaction_dt", SLICE_DAY)
+            .where((F.col("account_number_from") >= V.MIN_ACCOUNT) & (F.col("account_number_to") >= V.MIN_RECEIVER_FOR_TX_HUB)
+                   & F.col("country").isNotNull()
+                   & (F.col("status").isin(*M.BAD_STATUSES) | (F.col("transaction_type") == M.BAD_TYPE)))
+            .select("operation_id", "status", "transaction_type", "transaction_dt"))
+
+
+def q_join_hub_using(spark, sf_dir):
+    v = stored_vault(spark, sf_dir)
+    return (v["l_currency_transaction"].join(v["h_transactions"].select("hk_operation_id", "operation_id"), "hk_operation_id")
+            .join(v["h_currencies"].select("hk_currency_code", "currency_code"), "hk_currency_code")
+            .select("operation_id", "currency_code").distinct())
+
+
+def q_anti_join_new_keys(spark, sf_dir):
+    """Operations that a run of one day would insert: candidates of the day without an earlier hub row."""
+    tx, _ = staging_tables(spark, sf_dir)
+    hub = stored_vault(spark, sf_dir)["h_transactions"].where(F.col("ds") < F.lit(_dt.date.fromisoformat(SLICE_DAY)))
+    cands = V.hub_transactions_candidates(V.prepare_transactions(tx)).where(F.col("day") == F.lit(_dt.date.fromisoformat(SLICE_DAY)))
+    return cands.join(hub.select("operation_id"), "operation_id", "left_anti").select("operation_id").distinct()
+
+
+def q_anti_join_bad_ops(spark, sf_dir):
+    """Operations with a satellite row but without a bad one on the same day."""
+    st = M.satellite_days(stored_vault(spark, sf_dir))
+    return st.select("hk_operation_id", "day").distinct().join(M.bad_operations(st), ["hk_operation_id", "day"], "left_anti")
+
+
+def q_rate_asof_per_tx(spark, sf_dir):
+    """Every joined row's own rate: the newest at or before its time, 1 when there is none."""
+    rows = M.join_result(stored_vault(spark, sf_dir), rate_mode="per_transaction")
+    return rows.select("hk_operation_id", "transaction_dt", F.col("currency_code").cast("bigint").alias("currency_code"),
+                       "account", "currency_code_dollar", "amount_in_dollar")
+
+
+def q_mart_rates(spark, sf_dir):
+    return M.rate_history(stored_vault(spark, sf_dir)).select("hk_currency_from", "hk_currency_to", "date_update", "currency_with_div")
+
+
+def q_distinct_rows(spark, sf_dir):
+    tx, _ = staging_tables(spark, sf_dir)
+    return tx.select("country", "currency_code", "status").distinct()
+
+
+def _by_currency(spark, sf_dir):
+    return M.joined_rows(stored_vault(spark, sf_dir)).groupBy(F.col("currency_code").cast("bigint").alias("currency_code"))
+
+
+def q_agg_sum_by_currency(spark, sf_dir):
+    return _by_currency(spark, sf_dir).agg(round_money(F.sum("amount")).alias("volume"))
+
+
+def q_agg_count_distinct_accounts(spark, sf_dir):
+    return _by_currency(spark, sf_dir).agg(F.countDistinct("account").alias("accounts"))
+
+
+def q_agg_ratio_rounded(spark, sf_dir):
+    return _by_currency(spark, sf_dir).agg(
+        half_up_ratio(F.sum("amount") * F.lit(100), F.countDistinct("account")).alias("average"))
+
+
+def q_fn_lower_country(spark, sf_dir):
+    tx, _ = staging_tables(spark, sf_dir)
+    return tx.select("country", F.lower("country").alias("country_name")).distinct()
+
+
+def q_fn_coalesce_rate(spark, sf_dir):
+    """Each transaction currency's day with a rate to currency 400 that day, 1 where there is none."""
+    tx, cur = staging_tables(spark, sf_dir)
+    days = tx.where("currency_code is not null").select(F.to_date("transaction_dt").alias("day"), "currency_code").distinct()
+    rates = (cur.where("currency_code_with = 400")
+             .groupBy(F.to_date("date_update").alias("day"), "currency_code").agg(F.max("currency_with_div").alias("rate")))
+    return days.join(rates, ["day", "currency_code"], "left").select(
+        "day", "currency_code", F.coalesce("rate", F.lit(1).cast("decimal(5,3)")).alias("rate"))
+
+
+def q_dq_injected(spark, sf_dir):
+    """The quality report over tables with violations of every kind put in; the rules that found any."""
+    tx, cur = staging_tables(spark, sf_dir)
+    v = dict(stored_vault(spark, sf_dir))
+    number = F.col("account_number_from")
+    tx = tx.select(*[
+        F.when(number % 10 == 3, F.lit(None)).otherwise(F.col("country")).alias("country") if c == "country" else
+        F.when(number % 10 == 4, F.repeat(F.col("status"), 20)).otherwise(F.col("status")).alias("status") if c == "status" else
+        F.lit(_dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("load_dt") if c == "load_dt" else F.col(c)
+        for c in tx.columns])
+    stamp = F.lit(_dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    v = {t: df.withColumn("load_dt", stamp) for t, df in v.items()}
+    acc = v["h_accounts"]
+    v["h_accounts"] = acc.unionByName(acc.where("account_number % 10 = 5").withColumn("load_src", F.lit("again"))) \
+        .unionByName(acc.where("account_number % 10 = 6").withColumn("hk_account_number", -F.col("hk_account_number"))
+                     .withColumn("account_number", F.lit(-5).cast("bigint")))
+    ratio = v["l_currency_ratio"]
+    v["l_currency_ratio"] = ratio.unionByName(ratio.withColumn("hk_l_currency_ratio", -F.col("hk_l_currency_ratio")))
+    sat = v["s_transactions"]
+    v["s_transactions"] = sat.unionByName(sat.where("status = 'blocked'").withColumn("hk_operation_id", -F.col("hk_operation_id"))) \
+        .withColumn("load_dt", F.when(F.col("status") == "queued", F.lit(None)).otherwise(F.col("load_dt")))
+    return Q.quality_report(v, tx, cur.withColumn("load_dt", stamp)).where("violations > 0")
+
+
 def q_mart_upsert(spark, sf_dir):
     v = stored_vault(spark, sf_dir)
     target = M.global_metrics(v, rate_mode="per_transaction")
@@ -172,7 +321,9 @@ def q_fn_money_scaling(spark, sf_dir):
 
 def q_dq_report(spark, sf_dir):
     tx, cur = staging_tables(spark, sf_dir)
-    v = stored_vault(spark, sf_dir)
+    stamp = F.lit(_dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    v = {t: df.withColumn("load_dt", stamp) for t, df in stored_vault(spark, sf_dir).items()}
+    tx, cur = tx.withColumn("load_dt", stamp), cur.withColumn("load_dt", stamp)
     missing = M.reference_rates(v).where("missing")
     return Q.quality_report(v, tx, cur, M.global_metrics(v), missing)
 
@@ -202,5 +353,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fn_hash_keys": q_fn_hash_keys,
         "fn_money_scaling": q_fn_money_scaling,
         "dq_report": q_dq_report,
+        "dq_injected": q_dq_injected,
+        "backfill_equals_replay": q_backfill_equals_replay,
+        "filters_day_slice": q_filters_day_slice,
+        "join_hub_using": q_join_hub_using,
+        "anti_join_new_keys": q_anti_join_new_keys,
+        "anti_join_bad_ops": q_anti_join_bad_ops,
+        "rate_asof_per_tx": q_rate_asof_per_tx,
+        "mart_rates": q_mart_rates,
+        "distinct_rows": q_distinct_rows,
+        "agg_sum_by_currency": q_agg_sum_by_currency,
+        "agg_count_distinct_accounts": q_agg_count_distinct_accounts,
+        "agg_ratio_rounded": q_agg_ratio_rounded,
+        "fn_lower_country": q_fn_lower_country,
+        "fn_coalesce_rate": q_fn_coalesce_rate,
     })
     return q

@@ -25,22 +25,44 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def write_read(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` (overwrite) and return the stored table."""
+    """Write ``df`` as Parquet at ``path`` (overwrite) and return the stored table.
+
+    The read names the schema, so a write of no rows reads back as no rows.
+    """
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by else \
-        df.sparkSession.read.parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop file system, no data read
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def has_days(spark: SparkSession, path: str, column: str = "ds") -> bool:
+    """Whether a table's folder holds a day partition (one without rows has none)."""
+    fs, p = _path(spark, f"{path}/{column}=*")
+    return len(fs.globStatus(p) or ()) > 0
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own tables, if it is there."""
+    fs, p = _path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
-def materialize(tables: dict[str, DataFrame], path: str,
-                partition_by: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
-    """Write every table under ``path/<name>`` and return the stored versions."""
-    out = {}
-    for name, df in tables.items():
-        out[name] = write_read(df, f"{path}/{name}", (partition_by or {}).get(name))
-    return out
+def clear_days(spark: SparkSession, table_path: str, days, column: str = "ds") -> None:
+    """Empty the day partitions of a table: a dynamic overwrite leaves days without new rows as they were."""
+    for day in days:
+        remove(spark, f"{table_path}/{column}={day.isoformat()}")
 
 
 def parquet_persister(path: str, partition_by: dict[str, list[str]] | None = None):

@@ -45,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that
     setting always wins.  Only a bare local session (tests) gets a fresh
-    scratch folder.
+    scratch folder; on a cluster a folder that only one machine sees would
+    lose data, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     path = tempfile.mkdtemp(prefix="tallyvault-ckpt-")
     sc.setCheckpointDir(path)
     return path

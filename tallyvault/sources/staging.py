@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.storage import has_days
 from ..schemas import CURRENCY_COLUMNS, STG_CURRENCIES, STG_TRANSACTIONS, TRANSACTION_COLUMNS
 
 # Fixed values of the load.
@@ -58,15 +59,19 @@ def write_extract(df: DataFrame, root: str, table: str, date_col: str) -> str:
     return path
 
 
-def _raw_schema(table: str) -> T.StructType:
+def _line_schema(table: str) -> T.StructType:
+    """What a CSV line parses into: times as text (their fraction is optional), and the line if it doesn't fit."""
     _, cols, schema = SOURCES[table]
-    fields = [T.StructField(c, schema[c].dataType, True) for c in cols]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    text = lambda c: T.StringType() if isinstance(schema[c].dataType, T.TimestampNTZType) else schema[c].dataType
+    return T.StructType([T.StructField(c, text(c), True) for c in cols] + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 def _reject_reason(table: str) -> Column:
     _, cols, schema = SOURCES[table]
-    checks: list[tuple[Column, str]] = [(F.col(CORRUPT).isNotNull(), "malformed")]
+    checks: list[tuple[Column, str]] = [(F.col(f"line.{CORRUPT}").isNotNull(), "malformed")]
+    for c in cols:
+        if isinstance(schema[c].dataType, T.TimestampNTZType):
+            checks.append((F.col(f"line.{c}").isNotNull() & F.col(c).isNull(), "malformed"))
     for c in cols:
         if not schema[c].nullable:
             checks.append((F.col(c).isNull(), f"null:{c}"))
@@ -80,44 +85,62 @@ def _reject_reason(table: str) -> Column:
 
 
 def load_extract(spark: SparkSession, root: str, table: str, ds=None, load_dt=None,
-                 load_src: str = DEFAULT_LOAD_SRC) -> tuple[DataFrame, DataFrame]:
-    """Read CSV extracts (one day, or all) -> (good staging rows, rejects)."""
+                 load_src: str = DEFAULT_LOAD_SRC, days=None) -> tuple[DataFrame, DataFrame]:
+    """Read CSV extracts (one day, some, or all) -> (good staging rows, rejects).
+
+    A line is read as text and parsed once, whole, into a struct, so which
+    rows are good can't depend on the columns that a query goes on to read,
+    and a reject keeps its line as it stood.  Times lose what is finer than a
+    millisecond.  ``load_dt`` is the run's time; by default that of the read.
+    """
     _, cols, schema = SOURCES[table]
     path = f"{root.rstrip('/')}/{table}"
-    # With parser column pruning a line's field count is only checked for
-    # the columns a query reads, so a long or short line could load under
-    # one query and be rejected under another: parse every field.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    reader = (spark.read.schema(_raw_schema(table).add("ds", T.DateType()))
-              .options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
-    raw = reader.csv(path)
-    if ds is not None:
-        raw = raw.where(F.col("ds") == F.lit(_as_date(ds)))      # partition pruning
+    lines = T.StructType([T.StructField("value", T.StringType()), T.StructField("ds", T.DateType())])
+    raw = spark.read.schema(lines).text(path) if has_days(spark, path) else spark.createDataFrame([], lines)
+    wanted = [_as_date(d) for d in (days if days is not None else [ds] if ds is not None else [])]
+    if wanted:
+        raw = raw.where(F.col("ds").isin(wanted))                # partition pruning
+    raw = raw.where((F.col("value") != ",".join(cols)) & (F.length("value") > 0))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k in ("sep", "quote", "escape")}
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    raw = raw.withColumn("line", _parsed(table, options))
+    for c in cols:
+        parsed = F.col(f"line.{c}")
+        if isinstance(schema[c].dataType, T.TimestampNTZType):
+            parsed = F.date_trunc("millisecond", parsed.try_cast("timestamp_ntz")).cast("timestamp_ntz")
+        raw = raw.withColumn(c, parsed.cast(schema[c].dataType))
     raw = raw.withColumn("_reason", _reject_reason(table))
+    stamp = F.lit(load_dt) if load_dt is not None else F.localtimestamp()
     good = (raw.where(F.col("_reason").isNull())
-            .select(*[F.col(c).cast(schema[c].dataType) for c in cols],
-                    F.lit(load_dt).cast("timestamp_ntz").alias("load_dt"),
+            .select(*cols, F.date_trunc("second", stamp.cast("timestamp_ntz")).cast("timestamp_ntz").alias("load_dt"),
                     F.lit(load_src).alias("load_src"), "ds"))
-    record = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                                          for c in cols]))
     bad = raw.where(F.col("_reason").isNotNull()).select(
-        "ds", F.col("_reason").alias("reason"), record.alias("raw_record"))
+        "ds", F.col("_reason").alias("reason"), F.col("value").alias("raw_record"))
     return good, bad
 
 
+def _parsed(table: str, options: dict[str, str]) -> Column:
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _line_schema(table).fields)
+    return F.from_csv("value", ddl, options)
+
+
 def jdbc_slice_options(url: str, table: str, date_col: str, ds, user: str | None = None,
                        password: str | None = None, sslmode: str = "require",
-                       fetchsize: int = 10000, **extra: str) -> dict[str, str]:
+                       fetchsize: int = 10000, tasks: int = 8, **extra: str) -> dict[str, str]:
     """Options for ``spark.read.format("jdbc")`` reading one day of ``table``.
 
     The date predicate travels inside the query text so the source filters
-    before rows cross the network.  Secrets are passed in by the caller.
+    before rows cross the network; the day is read in ``tasks`` ranges of its
+    time.  Secrets are passed in by the caller.
     """
     ds = _as_date(ds)
     opts = {
         "url": url if "sslmode=" in url else f"{url}{'&' if '?' in url else '?'}sslmode={sslmode}",
-        "query": f"SELECT * FROM {table} WHERE CAST({date_col} AS DATE) = DATE '{ds.isoformat()}'",
+        "dbtable": f"(SELECT * FROM {table} WHERE CAST({date_col} AS DATE) = DATE '{ds.isoformat()}') day_slice",
+        "partitionColumn": date_col,
+        "lowerBound": f"{ds.isoformat()} 00:00:00",
+        "upperBound": f"{(ds + _dt.timedelta(days=1)).isoformat()} 00:00:00",
+        "numPartitions": str(tasks),
         "fetchsize": str(fetchsize),
     }
     if user is not None:
@@ -128,13 +151,6 @@ def jdbc_slice_options(url: str, table: str, date_col: str, ds, user: str | None
     return opts
 
 
-def append_staging(df: DataFrame, path: str, replace_slice: bool = False) -> None:
-    """Append a loaded day to the staging table (partitioned by ``ds``).
-
-    The reference appends (its truncate is commented out), so re-running a
-    day duplicates staging rows; the vault's DISTINCT absorbs that.
-    ``replace_slice=True`` overwrites just the days present instead.
-    """
-    w = df.write.partitionBy("ds")
-    (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace_slice
-     else w.mode("append")).parquet(path)
+def jdbc_slice(spark: SparkSession, table: str, ds, **connection) -> DataFrame:
+    """One day of a source table in a relational database, for ``stage_day``."""
+    return spark.read.format("jdbc").options(**jdbc_slice_options(table=table, date_col=SOURCES[table][0], ds=ds, **connection)).load()
