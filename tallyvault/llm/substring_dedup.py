@@ -174,6 +174,8 @@ def _symbols(texts: list[list[bytes]], known: dict[bytes, int], add: bool) -> li
 
 def first_owners(texts: list[list[bytes]], owners: np.ndarray, window: int = WINDOW, indexed: int = INDEXED) -> tuple[np.ndarray, np.ndarray]:
     """The least owner of a text that has it, for each window of each text; and where each text's windows begin."""
+    if not texts:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
     counts = np.array([max(0, len(t) - window + 1) for t in texts])
     starts = np.concatenate([[0], np.cumsum(counts)])
     least = np.full(starts[-1], LAST)
