@@ -2,7 +2,7 @@
 
 1. Copies: of documents with the same words only the first is looked at further.
 2. Anchors: among the ``WINDOW - ANCHOR + 1`` shingles of ``ANCHOR`` words in a window the one
-   with the least hash is its anchor, so equal windows have equal anchors, about one in five
+   with the least hash is its anchor, so equal windows have equal anchors, about one in four
    words is one, and a window can only repeat where its anchor does.  Anchors go in packed
    batches to the task of their hash range, which says which of them stand in two documents.
    Within a batch an anchor is told once however many documents have it.
@@ -20,6 +20,7 @@ other; a null doc_id counts as larger than any other; an empty table gives an em
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.storage import remove, scratch_path
 from .common import shuffle_partitions, ship, stored, whole_text
 from .fm_index import FMIndex, least_in
 from .shingles import windows, word_hashes
 
-WINDOW, ANCHOR = 13, 5
+WINDOW, ANCHOR = 13, 7
 #: Anchors held by a task before it sends them; words of different stretches in one index.
 HELD, INDEXED = 1_000_000, 1_000_000
 LAST = (1 << 63) - 1
@@ -264,7 +266,9 @@ def substring_report(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select("doc_id", "text")
-    done = stored(first_pass(docs, max(64, 2 * shuffle_partitions(spark))), "words")
+    work = scratch_path(spark, "llm", f"anchors-{uuid.uuid4().hex[:12]}")
+    first_pass(docs, max(64, 2 * shuffle_partitions(spark))).write.parquet(work)
+    done = spark.read.schema(PASS).parquet(work)
     each = done.where("n_words is not null").select("row_id", "doc_id", "digest", "n_words", "words_sha")
     order = F.coalesce("doc_id", F.lit(LAST))
     first = each.groupBy("words_sha").agg(F.min(F.struct(order.alias("owner"), "row_id")).alias("first"))
@@ -278,6 +282,8 @@ def substring_report(docs: DataFrame) -> DataFrame:
     known = (done.where("n_words is null and bucket is null").groupBy(F.col("row_id").alias("k_row")).agg(F.collect_list("keys").alias("known")))
     live = (each.where("leads").join(told, F.col("row_id") == F.col("t_row"), "left").join(known, F.col("row_id") == F.col("k_row"), "left")
             .where("keys is not null or known is not null").select("row_id", "doc_id", "digest", "keys", "known"))
+    live = stored(live, "live")
+    remove(spark, work)  # all that is needed of it stands in the two stored tables
     gone = (repeated_intervals(stretches(docs, live))
             .groupBy(F.col("row_id").alias("g_row")).agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends")))
     # rows with the same id and words as a leading one lose the same words
