@@ -48,11 +48,14 @@ def line_rows(docs: DataFrame) -> DataFrame:
     )
 
 
+def _salted(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
+
+
 def frequent_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     """(h1, h2, first) of the lines found in ``min_docs`` documents or more."""
     n = shuffle_partitions(lines.sparkSession)
-    salted = lines.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
-    ranged = (salted.repartitionByRange(n, "h1", "h2", "salt")
+    ranged = (_salted(lines).repartitionByRange(n, "h1", "h2", "salt")
               .sortWithinPartitions("h1", "h2", "salt", "doc_id", "digest", "pos"))
     stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "digest", "pos")
     new_doc = (F.row_number().over(stream) == 1) | ~F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))
@@ -73,7 +76,9 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, keep: str = "none")
     occurrence (by document, then position) stays.  Documents that lose nothing have no row.
     """
     lines = stored(line_rows(docs), "lines")
-    hits = lines.join(frequent_lines(lines, min_docs), ["h1", "h2"])
+    # every frequent line once per salt, so that the rows of a hot one are many keys
+    frequent = frequent_lines(lines, min_docs).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = _salted(lines).join(frequent, ["h1", "h2", "salt"])
     if keep == "first":
         hits = hits.where(~F.col("first").eqNullSafe(F.struct("doc_id", "digest", "pos")))
     word = F.floor(F.col("pos") / BITS).cast("int")
