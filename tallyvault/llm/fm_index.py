@@ -37,7 +37,7 @@ class FMIndex:
         width = 1
         while width < depth + 1:
             ahead = np.zeros(n, np.int64)
-            ahead[:n - width] = rank[width:]
+            ahead[:max(0, n - width)] = rank[width:]
             both = rank * (int(rank.max()) + 1) + ahead
             order = np.argsort(both, kind="stable")
             ranks = np.cumsum(np.concatenate([[0], np.diff(both[order]) != 0]))

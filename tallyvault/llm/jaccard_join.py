@@ -280,7 +280,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id (then text digest)."""
     parts = with_components(docs, size, percent)
     first = (parts.where("n_shingles > 0").groupBy("component_id")
-             .agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("first"))
              .select(F.col("first.doc_id").alias("k_id"), F.col("first.digest").alias("k_digest")))
     bare = parts.where("n_shingles = 0").select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))
     keep = first.unionByName(bare.distinct())
