@@ -3,7 +3,8 @@
 Prints one JSON line: {"metric", "value" (sum of query seconds), "unit",
 "queries": {name: seconds}, "sf", ...}.  Inputs: $BENCH_SF_DIR (default
 /root/testdata/sf0.1), cores $BENCH_CPUS (default 8).  One warm-up pass of
-the whole set runs first; each timing is the median of $BENCH_REPEAT runs.
+the whole set runs first; each timing is the median of $BENCH_REPEAT runs
+(5), except the day-by-day replay of all days, which runs once.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ import sys
 import time
 import uuid
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tallyvault.operators import mart as M  # noqa: E402
 from tallyvault.operators import quality as Q  # noqa: E402
 from tallyvault.operators import upsert as U  # noqa: E402
 from tallyvault.operators import vault as V  # noqa: E402
+from tallyvault.plans import pipeline as P  # noqa: E402
 from tallyvault.plans.storage import parquet_persister, scratch_path  # noqa: E402
 from tallyvault.session import build_session  # noqa: E402
 from tallyvault.sources import fixture  # noqa: E402
@@ -34,7 +38,7 @@ def _noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
     tx = fixture.transactions(spark, sf_dir)
     cur = fixture.currencies(spark, sf_dir)
@@ -61,7 +65,22 @@ def main() -> None:
         v = state["vault"]
         _noop(Q.quality_report(v, tx, cur, M.global_metrics(v)))
 
-    jobs = [vault_backfill, mart_reference, mart_per_transaction, mart_upsert_day, dq_report]
+    sources = {"transactions": tx, "currencies": cur}
+    days = P.days_between(*tx.agg(F.min("transaction_dt").cast("date"), F.max("transaction_dt").cast("date")).first())
+    daily = scratch_path(spark, "bench", uuid.uuid4().hex[:8], "daily")
+    P.backfill(spark, daily, sources, days[0], days[-2])
+    P.stage_day(spark, daily, sources, days[-1])
+
+    def vault_day():
+        P.load_vault_day(spark, daily, days[-1], replace_slice=True)
+
+    def mart_day():
+        P.load_mart_day(spark, daily, days[-1])
+
+    def replay_all_days():
+        P.run_range(spark, scratch_path(spark, "bench", uuid.uuid4().hex[:8], "replay"), sources, days[0], days[-1])
+
+    jobs = [vault_backfill, mart_reference, mart_per_transaction, mart_upsert_day, dq_report, vault_day, mart_day]
     for job in jobs:                       # warm-up (JIT, codegen caches)
         job()
     times: dict[str, float] = {}
@@ -72,6 +91,9 @@ def main() -> None:
             job()
             runs.append(time.perf_counter() - t0)
         times[job.__name__] = round(statistics.median(runs), 3)
+    t0 = time.perf_counter()
+    replay_all_days()
+    times["replay_all_days"] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "pipeline_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

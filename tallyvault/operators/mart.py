@@ -29,7 +29,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import cents_to_units, half_up_ratio, round_money
+from ..functions.money import cents_to_units, half_up_ratio, one_rate, round_money, scale_rate
 from ..session import ensure_checkpoint_dir
 from .asof import asof_lookup
 
@@ -182,7 +182,7 @@ def _reference_rates(sums: DataFrame, dollars: DataFrame, rates: DataFrame, buck
         F.max(F.col("r_first").isNull().cast("int")).alias("missing"),
         F.max("r_last").alias("best"))
     out = per.select("day", "currency_code",
-                     F.when(F.col("missing") == 1, F.lit(1).cast("decimal(5,3)"))
+                     F.when(F.col("missing") == 1, one_rate())
                      .otherwise(F.col("best._v")).alias("rate"), "missing")
     return out if keep_missing else out.drop("missing")
 
@@ -213,7 +213,7 @@ def join_result(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode
                           .withColumnRenamed("hk_currency_code_dollar", "hk_currency_to"),
                           rates, ["hk_currency_from", "hk_currency_to"], "transaction_dt",
                           "date_update", "currency_with_div", "r", bucket) \
-            .withColumn("rate", F.coalesce(F.col("r._v"), F.lit(1).cast("decimal(5,3)")))
+            .withColumn("rate", scale_rate(F.col("r._v")))
     return out.select("hk_operation_id", "amount", (F.col("amount") * F.col("rate")).alias("amount_in_dollar"),
                       "transaction_dt", "currency_code", "account", "currency_code_dollar")
 
@@ -241,7 +241,7 @@ def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_m
                              .withColumnRenamed("hk_currency_code_dollar", "hk_currency_to"),
                              rates, ["hk_currency_from", "hk_currency_to"], "transaction_dt",
                              "date_update", "currency_with_div", "r", bucket)
-        rate = F.coalesce(F.col("r._v"), F.lit(1).cast("decimal(5,3)"))
+        rate = scale_rate(F.col("r._v"))
         m = looked.groupBy("day", "currency_code").agg(
             F.countDistinct("account").alias("n"),
             F.sum("amount").alias("vol"),

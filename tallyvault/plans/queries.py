@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_hierarchy_key
 from ..functions.keys import hk
-from ..functions.money import cents_to_units, half_up_ratio, round_money
+from ..functions.money import cents_to_units, half_up_ratio, round_money, scale_rate
 from ..operators import mart as M
 from ..operators import upsert as U
 from ..operators import quality as Q
@@ -245,7 +245,7 @@ def q_fn_coalesce_rate(spark, sf_dir):
     rates = (cur.where("currency_code_with = 400")
              .groupBy(F.to_date("date_update").alias("day"), "currency_code").agg(F.max("currency_with_div").alias("rate")))
     return days.join(rates, ["day", "currency_code"], "left").select(
-        "day", "currency_code", F.coalesce("rate", F.lit(1).cast("decimal(5,3)")).alias("rate"))
+        "day", "currency_code", scale_rate(F.col("rate")).alias("rate"))
 
 
 def q_dq_injected(spark, sf_dir):

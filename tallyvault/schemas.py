@@ -95,8 +95,6 @@ GLOBAL_METRICS = _st(
     ("cnt_accounts_make_transactions", L, True),
 )
 MART_KEY = ["date_update", "currency_from"]
-MART_VALUES = ["amount_total", "cnt_transactions", "avg_transactions_per_account",
-               "cnt_accounts_make_transactions"]
 
 # Physical layout per table: (partition column, sort columns, distribution key).
 LAYOUT = {

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tallyvault.plans.compare import compare, duckdb_connection
+from compare import compare, duckdb_connection
 
 from conftest import SF_SMALL
 
