@@ -100,33 +100,46 @@ class RareFirst:
         self.maybe = np.zeros(1 << self.BITS, bool)
         self.maybe[(keys >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
 
-    def head(self, s: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
+    def head(self, s: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+        """The first ``n`` shingles in the order, and the order's rank of the last one."""
         weight = np.zeros(len(s), np.int64)
         hits = np.flatnonzero(self.maybe[(s >> np.uint64(64 - self.BITS)).astype(np.int64)])
         if len(hits):
             at = np.minimum(np.searchsorted(self.keys, s[hits]), len(self.keys) - 1)
             weight[hits] = np.where(self.keys[at] == s[hits], self.counts[at], 0)
-        return s[np.lexsort((s, -lengths, weight))[:n]]
+        first = np.lexsort((s, -lengths, weight))[:n]
+        last = first[-1]
+        return s[first], int(weight[last] << 32) - int(lengths[last])
 
 
 def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, digest, n, class_id, head) of every document; head: its first shingles in the common order."""
+    """(doc_id, digest, n, class_id, head, last_rank) of every document.
+
+    ``head``: its first shingles in the common order, the last of which has ``last_rank`` (ties by fingerprint).
+    """
     order = RareFirst(*frequent_shingles(docs, size))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, ns, heads = [], [], []
+            ids, ns, heads, ranks = [], [], [], []
             for text in batch["text"]:
                 s, lengths = shingle_set_with_lengths(text, size)
                 n = len(s)
                 ids.append(class_id(s) if n else None)
                 ns.append(n)
-                heads.append(_long(order.head(s, lengths, n - -(-percent * n // 100) + COMMON)) if n else np.zeros(0, np.int64))
+                head, rank = order.head(s, lengths, _head_size(n, percent)) if n else (s, 0)
+                heads.append(_long(head))
+                ranks.append(rank)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").to_numpy(), "digest": batch["digest"].to_numpy(), "n": ns,
-                                "class_id": pd.array(ids, "Int64"), "head": heads})
+                                "class_id": pd.array(ids, "Int64"), "head": heads, "last_rank": ranks})
 
     rows = docs.select("doc_id", whole_text().alias("text")).withColumn("digest", F.xxhash64("text"))
-    return stored(rows.mapInPandas(run, "doc_id long, digest long, n long, class_id long, head array<long>"), "signatures")
+    return stored(rows.mapInPandas(run, "doc_id long, digest long, n long, class_id long, head array<long>, last_rank long"), "signatures")
+
+
+def _head_size(n, percent: int):
+    """Shingles in the head of a set of ``n`` (an int or an array)."""
+    return np.minimum(n, n - -(-percent * n // 100) + COMMON)
 
 
 def _least_common(n: Column, percent: int) -> Column:
@@ -149,10 +162,16 @@ def _without_strays(places: DataFrame, percent: int) -> DataFrame:
 
 
 def region_members(signs: DataFrame, percent: int) -> DataFrame:
-    """(region, i, j, class_id): the classes of each pivot's region, cut into pairs of blocks where large."""
-    one = signs.where("n > 0").groupBy("class_id").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    """(region, i, j, class_id): the classes of each pivot's region, cut into pairs of blocks where large.
+
+    Of a region's members only those go on that could link to another one by what their heads
+    say: of two heads the one that ends first in the common order holds all shingles of its set
+    up to there, so what it doesn't share with the other head the other set doesn't have.
+    """
+    last = F.element_at("head", -1).alias("last")
+    one = signs.where("n > 0").groupBy("class_id").agg(F.min(F.struct("doc_id", "digest", last, "last_rank")).alias("first"))
     heads = (signs.join(one.select(F.col("class_id").alias("c"), "first"), F.col("class_id") == F.col("c"))
-             .where(F.struct("doc_id", "digest").eqNullSafe(F.col("first")))
+             .where(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")))
              .select("class_id", "n", F.explode("head").alias("key")))
     shared = heads.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("most")).where("least != most")
     places = heads.join(shared.select(F.col("key").alias("p_key")), F.col("key") == F.col("p_key"), "left_semi")
@@ -165,9 +184,33 @@ def region_members(signs: DataFrame, percent: int) -> DataFrame:
     blocks = members.groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / MEMBERS, F.sum("n") / SHINGLES)).cast("int").alias("blocks"))
     cut = members.join(blocks.withColumnRenamed("pivot", "b_pivot"), F.col("pivot") == F.col("b_pivot"))
     own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    return (cut.withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(F.col("pivot").alias("region"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class_id"))
+    cut = (cut.withColumn("own", own)
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .select(F.col("pivot").alias("region"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class_id", "n"))
+    ends = one.select(F.col("class_id").alias("e_id"), F.col("first.last").alias("last"), F.col("first.last_rank").alias("last_rank"))
+    keys = places.groupBy(F.col("class_id").alias("k_id")).agg(F.collect_list("key").alias("keys"))
+    keys = keys.join(ends, F.col("k_id") == F.col("e_id")).drop("e_id")
+    rows = cut.join(keys, F.col("class_id") == F.col("k_id")).drop("k_id")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        r = Region([np.unique(np.asarray(x, np.int64).view(np.uint64)) for x in group["keys"]])
+        n, ids = group["n"].to_numpy(), group["class_id"].to_numpy()
+        size = _head_size(n, percent)
+        ends_at = np.empty(len(n), np.int64)
+        ends_at[np.lexsort((group["last"].to_numpy(np.int64).view(np.uint64), group["last_rank"].to_numpy()))] = np.arange(len(n))
+        links = np.zeros(len(n), bool)
+        for k in range(len(n)):
+            common = r.common(k)
+            first = ends_at <= ends_at[k]  # the other head ends first
+            most = np.where(first, n - size, n[k] - size[k]) + common
+            most = np.minimum(most, np.minimum(n, n[k]))
+            near = (common > 0) & (100 * most >= percent * (n + n[k] - most)) & (ids != ids[k])
+            if near.any():
+                links[k] = True
+                links |= near
+        return group.loc[links, ["region", "i", "j", "class_id"]]
+
+    return rows.groupBy("region", "i", "j").applyInPandas(run, "region long, i int, j int, class_id long")
 
 
 def live_sets(docs: DataFrame, signs: DataFrame, members: DataFrame, size: int) -> DataFrame:
