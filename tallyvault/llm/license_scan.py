@@ -89,10 +89,17 @@ def canonical(text: Column) -> Column:
     return F.trim(c)
 
 
+#: Every known text has one of these in a word of its canonical form, so it stands in any text that matches.
+MARKERS = ("licen", "permission", "redistribution", "rights", "cc0")
+
+
 def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null if nothing is left."""
-    c = canonical(text)
-    return F.when(F.length(c) > 0, F.sha2(c, 256))
+    """SHA-256 of the canonical form; null for texts without a marker, which match nothing known."""
+    low = F.lower(text)
+    marked = F.contains(low, F.lit(MARKERS[0]))
+    for m in MARKERS[1:]:
+        marked = marked | F.contains(low, F.lit(m))
+    return F.when(marked, F.sha2(canonical(text), 256))
 
 
 def known_digests(spark) -> DataFrame:
@@ -113,9 +120,14 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def _units(docs: DataFrame) -> DataFrame:
-    """(row_id, doc_id, digest, whole) of every whole text and every line that has a canonical form."""
+    """(row_id, doc_id, digest, whole) of every whole text and every line that has a marker.
+
+    The digests are taken inside the array, before it is spread: a filter that the join adds
+    then tests them and doesn't take them again.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", whole_text().alias("text"))
-    parts = F.concat(F.array(F.struct(F.col("text").alias("t"), F.lit(True).alias("whole"))),
+    units = F.concat(F.array(F.struct(F.col("text").alias("t"), F.lit(True).alias("whole"))),
                      F.transform(F.split("text", "\n", -1), lambda x: F.struct(x.alias("t"), F.lit(False).alias("whole"))))
-    return (rows.select("row_id", "doc_id", F.explode(parts).alias("u"))
-            .select("row_id", "doc_id", digest(F.col("u.t")).alias("digest"), "u.whole").where("digest is not null"))
+    digests = F.filter(F.transform(units, lambda u: F.struct(digest(u["t"]).alias("digest"), u["whole"].alias("whole"))),
+                       lambda u: u["digest"].isNotNull())
+    return rows.select("row_id", "doc_id", F.explode(digests).alias("u")).select("row_id", "doc_id", "u.digest", "u.whole")

@@ -110,6 +110,7 @@ def test_multi_index_gives_every_item_within_the_radius():
 
 
 def test_op3_canonical_forms(spark):
+    assert all(any(m in text.lower() for m in license_scan.MARKERS) for _, text in license_scan.KNOWN)
     mit = license_scan.KNOWN[0][1]
     rows = [(1, "Copyright (c) 2020 Someone\n\n" + mit.upper().replace(", ", " ,\n  ")), (2, "text\nLICENSED under the Apache Licence -- version 2.0\nmore"),
             (3, mit + " and more"), (4, None), (5, ""), (6, "All rights reserved.\nall rights RESERVED"), (6, "All rights reserved."), (None, "Licensed under the GNU GPL v3.")]
