@@ -300,7 +300,11 @@ def similar_classes(docs: DataFrame, signs: DataFrame, size: int, percent: int)
 
 
 def with_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, digest, n_shingles, component_id) of every document."""
+    """(doc_id, digest, n_shingles, component_id, group) of every document.
+
+    ``component_id`` is what a group reports, its least doc_id, which other groups may share;
+    ``group`` names it: the least class id in it, null without a set.
+    """
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     signs = signatures(docs, size, percent)
@@ -308,11 +312,12 @@ def with_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     classes = signs.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("least"))
     linked = labels.join(classes, F.col("id") == F.col("class_id")).select("id", "label", "least")
     groups = linked.groupBy("label").agg(F.min("least").alias("component")).withColumnRenamed("label", "g")
-    found = linked.join(groups, F.col("label") == F.col("g")).select(F.col("id").alias("l_id"), "component")
+    found = linked.join(groups, F.col("label") == F.col("g")).select(F.col("id").alias("l_id"), "label", "component")
     found = (classes.join(found, F.col("class_id") == F.col("l_id"), "left")
-             .select(F.col("class_id").alias("c"), F.coalesce("component", "least").alias("component")))
+             .select(F.col("class_id").alias("c"), F.coalesce("component", "least").alias("component"),
+                     F.coalesce("label", "class_id").alias("group")))
     return (signs.join(found, F.col("class_id") == F.col("c"), "left")
-            .select("doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+            .select("doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "group"))
 
 
 def jaccard_report(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
@@ -322,7 +327,7 @@ def jaccard_report(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id (then text digest)."""
     parts = with_components(docs, size, percent)
-    first = (parts.where("n_shingles > 0").groupBy("component_id")
+    first = (parts.where("n_shingles > 0").groupBy("group")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("first"))
              .select(F.col("first.doc_id").alias("k_id"), F.col("first.digest").alias("k_digest")))
     bare = parts.where("n_shingles = 0").select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))

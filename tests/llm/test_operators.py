@@ -149,6 +149,16 @@ def test_op5_links_as_all_pairs_do(spark, docs, rows, odd):
     assert left.columns == odd.columns and as_set(r.doc_id for r in left.collect()) == [1, 3, 4, 5, 6, 7]
 
 
+def test_one_of_each_keeps_one_of_every_group_whatever_the_ids(spark):
+    texts = [" ".join(f"t{n}w{k}" for k in range(40)) for n in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " end"), (7, texts[2]), (7, texts[3]), (8, texts[3] + " end"),
+            (9, texts[4]), (9, texts[4]), (None, texts[4] + " end"), (None, texts[5]), (None, texts[5]), (None, None), (7, "")]
+    left = [(r.doc_id, r.text) for r in jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    one = [x for x in left if x[1] not in (texts[1], texts[1] + " end")]
+    assert as_set(one) == as_set([(None, texts[0]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (None, texts[5]), (None, None), (7, "")])
+    assert len(left) == len(one) + 1
+
+
 def test_regions_join_as_all_pairs_do():
     rng = np.random.default_rng(1)
     for _ in range(40):
