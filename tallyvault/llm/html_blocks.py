@@ -2,7 +2,9 @@
 
 A block is the text between two block-level tags; inline tags and ``<br>`` don't end it.
 Character references are decoded and runs of white space become one space.  Scripts, styles
-and the like, comments and tags give no text.
+and the like, comments and tags give no text; they run to the page's end if nothing ends
+them.  Pictures, players and selections give none up to their own end tag or, if that is
+first, their parent's; one without an end tag hides nothing.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ import re
 from html import unescape
 from typing import NamedTuple
 
-#: Elements whose content is never text of the page.
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|audio|video"
+#: Elements whose content is never text of the page, nor tags.
+RAW = "script|style|template|textarea"
+#: Elements whose content isn't shown as text, but may hold tags.
+HIDDEN = frozenset("svg iframe select canvas audio video".split())
 #: Elements that end the block before them.
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre
@@ -25,10 +29,11 @@ CONTAINERS = frozenset("""html body article aside div footer form header main na
 fieldset figure details""".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>]|\Z).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>|([^<]+|<)", re.S | re.I)
 _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HIDES = re.compile(rf"</(?:{'|'.join(sorted(HIDDEN))})[\s/>]", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -47,6 +52,22 @@ def _element(tag: str, attributes: str) -> str:
     return " ".join([tag, *parts])
 
 
+def _hidden_ends(tokens: list[re.Match]) -> dict[int, int]:
+    """Place of the end tag for each place of a hidden element's start tag that has one."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {tag: [] for tag in HIDDEN}
+    for k, m in enumerate(tokens):
+        tag = (m[3] or m[6] or "").lower()
+        if tag not in HIDDEN:
+            continue
+        if m[2] or m[5]:
+            if opened[tag]:
+                ends[opened[tag].pop()] = k
+        elif not (tag == "svg" and (m[4] or m[7] or "").endswith("/")):
+            opened[tag].append(k)
+    return ends
+
+
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     names: list[str] = []
@@ -67,7 +88,27 @@ def blocks(html: str) -> list[Block]:
     def close(depth: int) -> None:
         del names[depth:], path[depth:]
 
-    for m in _TOKEN.finditer(html):
+    tokens, ends = _TOKEN.finditer(html), {}
+    if _HIDES.search(html):
+        tokens = list(tokens)
+        ends = _hidden_ends(tokens)
+    hidden = -1  # place of the end tag of the hidden element that is open
+    inside: list[str] = []  # block elements open in it
+    for k, m in enumerate(tokens):
+        if hidden >= 0:
+            tag, ending = (m[3] or m[6] or "").lower(), bool(m[2] or m[5])
+            if k < hidden and not (ending and tag in names and tag not in inside):
+                if tag in BLOCK:
+                    if not ending:
+                        inside.append(tag)
+                    elif tag in inside:
+                        del inside[len(inside) - 1 - inside[::-1].index(tag):]
+                continue
+            hidden = -1
+            inside.clear()
+        elif k in ends:
+            hidden = ends[k]
+            continue
         if (text := m[8]) is not None:
             pieces.append(text)
             linked += len(text) * (links > 0)
@@ -88,10 +129,10 @@ def blocks(html: str) -> list[Block]:
             if tag in names:
                 close(len(names) - 1 - names[::-1].index(tag))
             continue
-        for k in range(len(names) - 1, -1, -1):
-            if names[k] == "p" or names[k] in CLOSES.get(tag, ()):
-                close(k)
-            elif names[k] in CONTAINERS:
+        for d in range(len(names) - 1, -1, -1):
+            if names[d] == "p" or names[d] in CLOSES.get(tag, ()):
+                close(d)
+            elif names[d] in CONTAINERS:
                 break
         if tag == "body" and "head" in names:
             close(names.index("head"))

@@ -280,6 +280,18 @@ def test_op10_labels_held_out_pages():
     assert right / sum(len(b) for _, b in test) > 0.99
 
 
+def test_op10_hidden_elements_take_no_text_of_the_page():
+    def texts(html):
+        return [b.text for b in html_blocks.blocks(html)]
+    for start in ("<video-player src=x>", "<object-viewer>", "<svg viewBox='0 0 1 1'/>", "<math/>", "<object data=x />", "<select>", "<canvas>", "<audio src=x>",
+                  "<script-x>", "<canvas><canvas>no</canvas>"):
+        assert texts(f"<article><p>one {start} two</p><p>three</p></article><p>four <video>no</video>") == ["one two", "three", "four"], start
+    assert texts("<p>a <math><mi>x</mi>=<mn>2</mn></math> <object><b>fallback</b></object> <noscript>plain</noscript> z") == ["a x=2 fallback plain z"]
+    assert texts("<p>a <select><option>no<option>no</select><svg><svg><text>no</text></svg>no</svg> b") == ["a b"]
+    assert texts("<div>a <video>no <p>no</p> no</div><p>b</p></video><p>c") == ["a", "b", "c"]
+    assert texts("<p>a<script>if (x) '<canvas>'</script ><p>b<style>no</style>c<textarea>no</textarea><template><p>no</template>d<script>no") == ["a", "bcd"]
+
+
 def test_op10_text_of_pages(spark):
     for r in spark.read.parquet(f"{plain.SF}/pages.parquet").collect()[:30]:
         page = html_blocks.blocks(r.html)
