@@ -1,13 +1,18 @@
 """Benchmark decontamination: item-sized windows, SimHash, multi-index blocks, exact verification.
 
 Every item of the benchmark has a fingerprint: the SimHash of its 5-word shingles, weighted by
-how few items have them.  A document is read in windows of the items' own sizes.  A window
+how few items have them (with the roots of the weights, so that the angle follows the weighted
+overlap).  A document is read in windows of the items' own sizes.  A window
 that shares no shingle with an item has similarity zero to it, so fingerprints are taken of
 the windows around shared shingles only.  Two 64-bit fingerprints within ``RADIUS`` bits agree
 within ``RADIUS // 4`` bits in one of four 16-bit blocks; tables of all such block values give
 every item within the radius.  The candidates' weighted Jaccard similarity is then computed
 exactly, and ``THRESHOLD`` percent or more is a leak.
 
+Fingerprints may miss windows.  An item that leaks has as much of its weight in the document,
+so the items of which that holds are swept: running sums bound the similarity of every window
+from above, and windows whose bound is over the best one found are computed exactly.
+
 The items go to the tasks in slices of bounded size (``SLICE_BYTES`` of text); a benchmark of
 many slices takes as many passes.
 
@@ -83,12 +88,16 @@ class Benchmark:
                 self.sets.append(np.unique(windows(word_hashes(words), SIZE), return_counts=True))
         every = np.concatenate([s for s, _ in self.sets]) if self.sets else np.zeros(0, np.uint64)
         self.keys, self.having = np.unique(every, return_counts=True)
-        self.owners = np.split(np.repeat(np.arange(len(self.sets)), [len(s) for s, _ in self.sets])[np.argsort(every, kind="stable")],
-                               np.cumsum(self.having)[:-1]) if self.sets else []
+        order = np.argsort(every, kind="stable")
+        self.owner = np.repeat(np.arange(len(self.sets)), [len(s) for s, _ in self.sets])[order]
+        self.owners = np.split(self.owner, np.cumsum(self.having)[:-1]) if self.sets else []
         self.maybe = np.zeros(1 << FILTER_BITS, bool)
         self.maybe[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         self.short = sorted({n for n in self.sizes if n < SIZE})
-        marks = [fingerprints(s, self.weight(s) * c, np.zeros(1, np.int64), len(s))[0] for s, c in self.sets]
+        marks = [fingerprints(s, np.sqrt(self.weight(s)) * c, np.zeros(1, np.int64), len(s))[0] for s, c in self.sets]
+        each = [self.weight(s) * c for s, c in self.sets]
+        self.weights = np.array([x.sum() for x in each])
+        self.parts = np.concatenate([np.zeros(0), *each])[order]  # weight in its item of each of ``owner``
         self.by_size = {n: SameSize(k := [i for i, m in enumerate(self.sizes) if m == n], np.array([marks[i] for i in k], np.uint64))
                         for n in set(self.sizes)}
 
@@ -134,6 +143,7 @@ class Benchmark:
             for n in sizes:
                 if (n if n < SIZE else SIZE) == size:
                     self._windows(shingles, hits, n, len(hashes), 1 if n < SIZE else n - SIZE + 1, best)
+            self._sweep(shingles, hits, np.unique(at[hits]), len(hashes), best)
         if 0 < len(hashes) < SIZE and len(hashes) not in self.short:
             return []
         return sorted(((self.ids[i], s, a, b) for i, (s, a, b) in best.items()), key=lambda x: (x[2], str(x[0])))
@@ -154,13 +164,44 @@ class Benchmark:
         for k in range(0, len(starts), CHUNK):
             some = starts[k:k + CHUNK]
             low, high = some[0], some[-1] + width
-            marks = fingerprints(shingles[low:high], self.weight(shingles[low:high]), some - low, width)
+            marks = fingerprints(shingles[low:high], np.sqrt(self.weight(shingles[low:high])), some - low, width)
             for w, i in zip(*index.within_radius(marks)):
                 item, start = int(index.items[i]), int(some[w])
                 s = self.similarity(shingles[start:start + width], item)
                 if 100 * s >= THRESHOLD - 1e-9 and (item not in best or s > best[item][0]):
                     best[item] = (s, start, min(start + n, words))
 
+    def _sweep(self, shingles: np.ndarray, hits: np.ndarray, met: np.ndarray, words: int, best: dict) -> None:
+        """The best window of every item that has enough of its weight among the shingles ``met``."""
+        ends = np.cumsum(self.having)
+        lengths = self.having[met]
+        rows = np.repeat(ends[met] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
+        held = np.bincount(self.owner[rows], self.parts[rows], len(self.sets))
+        some = np.flatnonzero((held > 0) & (100 * held >= (THRESHOLD - 1e-6) * self.weights))
+        if not len(some):
+            return
+        weights = self.weight(shingles)
+        total = np.concatenate([[0], np.cumsum(weights)])
+        for item in some.tolist():
+            n = self.sizes[item]
+            width = min(1 if n < SIZE else n - SIZE + 1, len(shingles))
+            own = hits[np.isin(shingles[hits], self.sets[item][0])]
+            over = np.zeros(len(shingles) + 1)
+            over[own + 1] = weights[own]
+            over = np.cumsum(over)
+            common = over[width:] - over[:-width]
+            most = common / (total[width:] - total[:-width] + self.weights[item] - common)
+            starts = np.flatnonzero(100 * most >= THRESHOLD - 1e-6)
+            for start in starts[np.argsort(-np.round(most[starts], 9), kind="stable")].tolist():
+                s, first, _ = best.get(item, (0.0, 0, 0))
+                if most[start] < s - 1e-9:
+                    break
+                if most[start] < s + 1e-9 and start >= first:
+                    continue
+                now = self.similarity(shingles[start:start + width], item)
+                if 100 * now >= THRESHOLD - 1e-9 and (now > s or now == s and start < first):
+                    best[item] = (now, start, min(start + n, words))
+
 
 @lru_cache(maxsize=4)
 def _benchmark(items: tuple[tuple[int | None, str], ...]) -> Benchmark:

@@ -100,6 +100,25 @@ def test_op2_finds_leaks_and_only_leaks(spark, docs, rows, odd):
     assert decontamination.find_leaks(odd, bench.limit(0)).count() == 0
 
 
+def _benchmark_of(items):
+    return decontamination.Benchmark(tuple(items))
+
+
+def test_op2_finds_leaks_of_text_that_many_items_share():
+    r = random.Random(5)
+    for k, n in ((10, 229), (5, 134), (3, 100), (1, 60)):
+        base = [f"w{k}x{j}" for j in range(n)]
+        items = [(i, " ".join(base)) for i in range(k)] + [(90, " ".join(f"o{j}" for j in range(n)))]
+        b, leaked = _benchmark_of(items), 0
+        for d in range(12):
+            text = [f"d{j}" for j in range(9)] + base + [f"e{j}" for j in range(9)]
+            text[9 + r.randrange(n)] = f"new{d}"
+            found = b.leaks(" ".join(text))
+            assert sorted(x[0] for x in found) == sorted(plain.leak(" ".join(text), items))
+            leaked += len(found)
+        assert leaked == 12 * k
+
+
 def test_multi_index_gives_every_item_within_the_radius():
     rng = np.random.default_rng(2)
     marks = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
