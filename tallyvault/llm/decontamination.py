@@ -14,7 +14,8 @@ so the items of which that holds are swept: running sums bound the similarity of
 from above, and windows whose bound is over the best one found are computed exactly.
 
 The items go to the tasks in slices of bounded size (``SLICE_BYTES`` of text); a benchmark of
-many slices takes as many passes.
+many slices takes as many passes.  How many items have a shingle is counted once over the whole
+benchmark; the counts above one go to every task, whatever its slice.
 
 Defined results: null texts have no windows; items without words match nothing; items under
 five words match the same words in a row; a document shorter than an item is one window;
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, whole_text
-from .shingles import mixed, windows, word_hashes
+from .shingles import mixed, shingle_set, windows, word_hashes
 
 SIZE = 5
 THRESHOLD = 80
@@ -56,6 +57,23 @@ def fingerprints(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray,
     return np.packbits(on, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
+def _filter(keys: np.ndarray) -> np.ndarray:
+    """Whether any key begins with these ``FILTER_BITS`` bits."""
+    out = np.zeros(1 << FILTER_BITS, bool)
+    out[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+    return out
+
+
+def _places(keys: np.ndarray, maybe: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Index of each shingle among the sorted keys, -1 for the others."""
+    out = np.full(len(shingles), -1)
+    hits = np.flatnonzero(maybe[(shingles >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+    if len(hits):
+        at = np.minimum(np.searchsorted(keys, shingles[hits]), len(keys) - 1)
+        out[hits] = np.where(keys[at] == shingles[hits], at, -1)
+    return out
+
+
 class SameSize:
     """Multi-index over the fingerprints of items of one size."""
 
@@ -78,7 +96,11 @@ class SameSize:
 
 
 class Benchmark:
-    def __init__(self, items: tuple[tuple[int | None, str], ...]):
+    """A slice of the items; ``common`` are the sorted shingles that several items of the whole benchmark have, and how many."""
+
+    def __init__(self, items: tuple[tuple[int | None, str], ...], common: tuple[bytes, bytes]):
+        self.common, self.counts = np.frombuffer(common[0], np.uint64), np.frombuffer(common[1], np.int64)
+        self.maybe_common = _filter(self.common)
         self.ids, self.sizes, self.sets = [], [], []
         for item_id, text in items:
             words = text.encode().lower().split()
@@ -91,8 +113,7 @@ class Benchmark:
         order = np.argsort(every, kind="stable")
         self.owner = np.repeat(np.arange(len(self.sets)), [len(s) for s, _ in self.sets])[order]
         self.owners = np.split(self.owner, np.cumsum(self.having)[:-1]) if self.sets else []
-        self.maybe = np.zeros(1 << FILTER_BITS, bool)
-        self.maybe[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.maybe = _filter(self.keys)
         self.short = sorted({n for n in self.sizes if n < SIZE})
         marks = [fingerprints(s, np.sqrt(self.weight(s)) * c, np.zeros(1, np.int64), len(s))[0] for s, c in self.sets]
         each = [self.weight(s) * c for s, c in self.sets]
@@ -102,17 +123,14 @@ class Benchmark:
                         for n in set(self.sizes)}
 
     def place(self, shingles: np.ndarray) -> np.ndarray:
-        """Index of each shingle among the benchmark's, -1 for the others."""
-        out = np.full(len(shingles), -1)
-        hits = np.flatnonzero(self.maybe[(shingles >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        if len(hits):
-            at = np.minimum(np.searchsorted(self.keys, shingles[hits]), len(self.keys) - 1)
-            out[hits] = np.where(self.keys[at] == shingles[hits], at, -1)
-        return out
+        """Index of each shingle among the slice's, -1 for the others."""
+        return _places(self.keys, self.maybe, shingles)
 
     def weight(self, shingles: np.ndarray) -> np.ndarray:
-        at = self.place(shingles)
-        return np.where(at >= 0, 1.0 / self.having[at], 1.0)
+        at = _places(self.common, self.maybe_common, shingles)
+        out = np.ones(len(shingles))
+        out[at >= 0] = 1.0 / self.counts[at[at >= 0]]
+        return out
 
     def similarity(self, own: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of a window's shingles and an item's."""
@@ -204,8 +222,22 @@ class Benchmark:
 
 
 @lru_cache(maxsize=4)
-def _benchmark(items: tuple[tuple[int | None, str], ...]) -> Benchmark:
-    return Benchmark(items)
+def _benchmark(items: tuple[tuple[int | None, str], ...], common: tuple[bytes, bytes]) -> Benchmark:
+    return Benchmark(items, common)
+
+
+def common_shingles(benchmark: DataFrame) -> tuple[bytes, bytes]:
+    """The sorted shingles that several items have, and how many items have each."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                yield pd.DataFrame({"shingle": shingle_set(text, SIZE).view(np.int64)})
+
+    rows = (benchmark.select(whole_text().alias("text")).mapInPandas(run, "shingle long")
+            .groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").toPandas())
+    keys = rows["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order].tobytes(), rows["n"].to_numpy(np.int64)[order].tobytes()
 
 
 def slices(benchmark: DataFrame) -> list[tuple[tuple[int | None, str], ...]]:
@@ -220,10 +252,11 @@ def slices(benchmark: DataFrame) -> list[tuple[tuple[int | None, str], ...]]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, first_word, end_word of every (document, leaked item)."""
     ship(docs.sparkSession)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(benchmark))
 
     def one(items: tuple) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            b = _benchmark(items)
+            b = _benchmark(items, common.value)
             for batch in batches:
                 rows = [(doc_id, *x) for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]) for x in b.leaks(text)]
                 out = pd.DataFrame(rows, columns=["doc_id", "item_id", "similarity", "first_word", "end_word"])
@@ -242,9 +275,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents into which no item leaks, unchanged; decided row by row, without a shuffle."""
     ship(docs.sparkSession)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(benchmark))
     for items in slices(benchmark):
         def run(batches: Iterator[pa.RecordBatch], items: tuple = items) -> Iterator[pa.RecordBatch]:
-            b = _benchmark(items)
+            b = _benchmark(items, common.value)
             for batch in batches:
                 yield batch.filter(pa.array([not b.leaks(t or "") for t in batch.column("text").to_pylist()], pa.bool_()))
 

@@ -101,7 +101,8 @@ def test_op2_finds_leaks_and_only_leaks(spark, docs, rows, odd):
 
 
 def _benchmark_of(items):
-    return decontamination.Benchmark(tuple(items))
+    keys, n = np.unique(np.concatenate([decontamination.shingle_set(t, decontamination.SIZE) for _, t in items]), return_counts=True)
+    return decontamination.Benchmark(tuple(items), (keys[n > 1].tobytes(), n[n > 1].astype(np.int64).tobytes()))
 
 
 def test_op2_finds_leaks_of_text_that_many_items_share():
@@ -119,6 +120,26 @@ def test_op2_finds_leaks_of_text_that_many_items_share():
         assert leaked == 12 * k
 
 
+def test_op2_slices_give_what_the_whole_benchmark_gives(spark, monkeypatch):
+    r = random.Random(6)
+    base = [[f"w{k}x{j}" for j in range(40)] for k in range(6)]
+    items = [(10 * k + i, " ".join(base[k] + [f"i{k}{i}y{j}" for j in range(30)])) for k in range(6) for i in range(3)]
+    rows = []
+    for d, (_, t) in enumerate(items * 2):
+        w = t.split()
+        w[r.randrange(8, 34) if d % 2 else r.randrange(46, 65)] = f"new{d}"
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = as_set((d, i) for d, t in rows for i in plain.leak(t, items))
+    assert 0 < len(expected) and collected(decontamination.find_leaks(docs, bench), "doc_id", "item_id") == expected
+    monkeypatch.setattr(decontamination, "SLICE_BYTES", 2000)
+    assert len(decontamination.slices(bench)) > 3
+    assert collected(decontamination.find_leaks(docs, bench), "doc_id", "item_id") == expected
+    left = decontamination.without_leaks(docs, bench)
+    assert {x.doc_id for x in left.collect()} == {d for d, _ in rows} - {d for d, _ in expected}
+
+
 def test_multi_index_gives_every_item_within_the_radius():
     rng = np.random.default_rng(2)
     marks = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
