@@ -1,9 +1,10 @@
 """Licences by canonical digest: entire texts, and entire lines, joined to known digests.
 
 A text is brought to a canonical form - ASCII letters lower-cased, copyright lines dropped,
-punctuation and white space to single spaces, equivalent spellings to one - and its SHA-256 is
-looked up among the digests of known licence texts and notices, which pass through the same
-expression.  The known table is fixed and small; it is the build side of a hash join.
+ASCII and typographic punctuation and white space to single spaces, equivalent spellings to
+one - and its SHA-256 is looked up among the digests of known licence texts and notices, which
+pass through the same expression, and of long texts, of which only the digests are held
+(``license_digests``).  The known table is fixed and small; it is the build side of a hash join.
 
 Defined results: null and empty texts, and lines without letters, match nothing; repeated rows
 give repeated results; an empty table gives an empty one.
@@ -14,10 +15,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, whole_text
+from .common import whole_text
+from .license_digests import DIGESTS
 
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n(©]*(copyright\b|\(c\)|©)[^\n]*$"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words that follow "copyright" inside licence texts, wherever a line is broken; other words are a holder's name.
+_NO_NAME = ("and|are|as|assignment|disclaimer|doctrines?|dedication|exceptions?|have|has|holders?|holding|if|in|interests?|is|laws?|legislation|like|"
+            "licen[cs]e[ds]?|licensor|licensable|notices?|of|on|or|owners?|ownership|permission|permits|protection|resulting|rights?|resides|statements?|"
+            "status|terms?|that|the|treaty|under|which|with|works?|your")
+#: A line with a copyright sign or the word before a year, a sign or a name; with "all rights reserved" below it, if more follows.
+HOLDER_LINE = (r"(?m)^[^a-z0-9\n(©]*(?:copyright\b(?=[^a-z0-9\n]*(?:\(c\)|©|[0-9]{4}|<|\[|\{|(?!(?:" + _NO_NAME + r")\b)[a-z]))"
+               r"|\(c\)(?=[^a-z0-9\n]*(?:[0-9]{4}|copyright\b))|©)[^\n]*$"
+               r"(?:\n[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$(?=\n[^a-z0-9]*[a-z0-9]))?")
+#: ``PUNCTUATION`` and typographic quotes, dashes, bullets and spaces.
+ANY_PUNCTUATION = PUNCTUATION[:-2] + r"\u0080-\u00A0\u00AB\u00B7\u00BB\u1680\u2000-\u206F\u3000]+"
+#: Characters without width, which go.
+_NO_WIDTH = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: (pattern, replacement), applied in order to the words of a text.  Fixed values.
 SPELLINGS = [
     (r"\blicence", "license"),
@@ -81,9 +96,23 @@ KNOWN = [
 ]
 
 
+_BSD_3 = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote" \
+         " products derived from this software without specific prior written permission."
+_ISC = _ISC_BODY.format(", provided that the above copyright notice and this permission notice appear in all copies")
+#: Further titles and unnumbered clauses of the texts in ``KNOWN``.
+FORMS = [
+    ("MIT", "The MIT License " + _MIT_BODY), ("ISC", "The ISC License " + _ISC), ("ISC", "ISC License (ISC) " + _ISC),
+    ("0BSD", "Zero-Clause BSD " + _ISC_BODY.format("")),
+    *[("BSD-2-Clause", title + form) for title in ("", "BSD 2-Clause License ", "The 2-Clause BSD License ", "Simplified BSD License ")
+      for form in (_BSD_HEAD + _BSD_TAIL, (_BSD_HEAD + _BSD_TAIL).replace("1. ", "").replace("2. ", ""))],
+    *[("BSD-3-Clause", title + form) for title in ("", "BSD 3-Clause License ", "The 3-Clause BSD License ", "New BSD License ")
+      for form in (_BSD_HEAD + _BSD_3 + _BSD_TAIL, (_BSD_HEAD + _BSD_3 + _BSD_TAIL).replace("1. ", "").replace("2. ", "").replace("3. ", ""))],
+]
+
+
 def canonical(text: Column) -> Column:
-    c = F.regexp_replace(ascii_lower(text), COPYRIGHT_LINE, "")
-    c = F.regexp_replace(c, PUNCTUATION, " ")
+    c = F.regexp_replace(F.translate(text, _UPPER + _NO_WIDTH, _UPPER.lower()), HOLDER_LINE, "")
+    c = F.regexp_replace(c, ANY_PUNCTUATION, " ")
     for pattern, replacement in SPELLINGS:
         c = F.regexp_replace(c, pattern, replacement)
     return F.trim(c)
@@ -103,8 +132,8 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark) -> DataFrame:
-    return (spark.createDataFrame(KNOWN, "license string, text string")
-            .select(digest(F.col("text")).alias("k_digest"), F.col("license").alias("k_license")).distinct())
+    texts = spark.createDataFrame(KNOWN + FORMS, "license string, text string").select(digest(F.col("text")).alias("k_digest"), F.col("license").alias("k_license"))
+    return texts.unionByName(spark.createDataFrame(DIGESTS, "k_license string, k_digest string")).distinct()
 
 
 def scan(docs: DataFrame) -> DataFrame:

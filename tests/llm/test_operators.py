@@ -1,6 +1,7 @@
 """Each training-data operator against a plain version, on the small tables and on odd rows."""
 
 
+import os
 import random
 import struct
 import zlib
@@ -161,6 +162,24 @@ def test_op3_canonical_forms(spark):
     assert license_scan.scan(d.limit(0)).count() == 0
 
 
+def test_op3_whole_texts_and_their_forms(spark):
+    folder = "/usr/share/common-licenses"
+    names = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1",
+             "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+    names = {f: n for f, n in names.items() if os.path.exists(f"{folder}/{f}")}
+    texts = {f: open(f"{folder}/{f}", encoding="utf-8").read() for f in names}
+    rows = [(n, texts[f]) for f, n in names.items()]
+    rows += [("GPL-3.0", texts["GPL-3"].split("END OF TERMS")[0])] if "GPL-3" in texts else []
+    known = license_scan.KNOWN
+    bsd3 = next(t for n, t in known if n == "BSD-3-Clause")
+    rows += [("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n{bsd3}"),
+             ("MIT", "MIT License\n\nCopyright © 2020 Someone\n\n" + known[0][1].replace('"Software"', "\u201cSoftware\u201d").replace(", ", ",\u00a0")),
+             ("MIT", known[0][1].replace("The above copyright", "The above\ncopyright").replace("OR COPYRIGHT", "OR\nCOPYRIGHT")),
+             ("all-rights-reserved", "Copyright 2020 Someone\nAll rights reserved.")]
+    d = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    assert {(r.doc_id, r.license) for r in license_scan.scan(d).where("whole_text").collect()} == {(k, n) for k, (n, _) in enumerate(rows)}
+
+
 def test_op4_base_spans_and_added_ones(spark, odd, rows):
     r = random.Random(3)
     for n in range(20_000):
