@@ -9,8 +9,9 @@
 3. Shards: the words around each shared anchor, as far as windows with this anchor reach, go
    to the shard of the anchor.  A shard builds a compressed FM-index over its different
    stretches and streams them through it by backward search; the interval of a window gives
-   the first document that has it.  A hot anchor's stretches that don't fit one index go
-   through several, each streamed against all of them.
+   the first document that has it.  An anchor with more than ``HOT_BYTES`` of stretches goes
+   to no shard: its different stretches are joined first, then the windows in them by 128-bit
+   digests, with map-side combining, and the least document returns to the rows by joins.
 4. The reported intervals return to the documents and the words in them go.
 
 Defined results: a null text has no words; rows that repeat a doc_id are never repeats of each
@@ -36,6 +37,8 @@ from .shingles import windows, word_hashes
 WINDOW, ANCHOR = 13, 7
 #: Anchors held by a task before it sends them; words of different stretches in one index.
 HELD, INDEXED = 1_000_000, 1_000_000
+#: Bytes of stretches from which an anchor's are dealt out by their content; other anchors' go to one task each.
+HOT_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 #: Bytes of an anchor's hash that are sent; a clash only makes a stretch be looked at in vain.
 KEY_BYTES = 5
@@ -224,8 +227,47 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row_id": row_id[line[begin]], "begin": place[begin], "end": place[end] + WINDOW})
 
 
+def hot_anchors(parts: DataFrame) -> DataFrame:
+    """(h_key, alone) of the anchors with more than ``HOT_BYTES`` of stretches; no more than there are such parts of the input."""
+    return (parts.groupBy(F.col("key").alias("h_key"))
+            .agg(F.sum(F.octet_length("words")).alias("size"), (F.min("owner") == F.max("owner")).alias("alone"))
+            .where(F.col("size") > HOT_BYTES).select("h_key", "alone"))
+
+
 def repeated_intervals(parts: DataFrame) -> DataFrame:
-    """(row_id, begin, end): word intervals to remove, from shards of whole anchors."""
+    """(row_id, begin, end): word intervals to remove."""
+    hot = stored(hot_anchors(parts), "hot")
+    same = F.col("key") == F.col("h_key")
+    cold = sharded_intervals(parts.join(F.broadcast(hot), same, "left_anti"))
+    return cold.unionByName(dealt_intervals(parts.join(F.broadcast(hot.where("not alone")), same, "left_semi")))
+
+
+def dealt_intervals(parts: DataFrame) -> DataFrame:
+    """(row_id, begin, end) from anchors of any size: no task needs all rows of an anchor, a stretch or a window."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out: dict[str, list] = {"key": [], "mark": [], "least": [], "most": [], "at": [], "window": []}
+            for key, mark, words, least, most in zip(batch["key"], batch["mark"], batch["words"], batch["least"], batch["most"]):
+                w = words.split(b" ")
+                for at in range(len(w) - WINDOW + 1):
+                    for name, value in zip(out, (key, mark, least, most, at, hashlib.blake2b(b" ".join(w[at:at + WINDOW]), digest_size=16).digest())):
+                        out[name].append(value)
+            yield pd.DataFrame(out)
+
+    rows = parts.withColumn("mark", F.xxhash64("words"))
+    each = rows.groupBy("key", "mark", "words").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
+    each = stored(each.mapInPandas(run, "key long, mark long, least long, most long, at int, window binary"), "windows")
+    first = each.groupBy(F.col("window").alias("f_window")).agg(F.min("least").alias("holder"))
+    told = (each.join(first, F.col("window") == F.col("f_window")).where("holder < most")
+            .groupBy(F.col("key").alias("t_key"), F.col("mark").alias("t_mark")).agg(F.collect_list(F.struct("at", "holder")).alias("found")))
+    return (rows.select("key", "mark", "owner", "row_id", "first")
+            .join(told, (F.col("key") == F.col("t_key")) & (F.col("mark") == F.col("t_mark")))
+            .select("row_id", "owner", "first", F.explode("found").alias("x")).where("x.holder < owner")
+            .select("row_id", (F.col("first") + F.col("x.at")).alias("begin"), (F.col("first") + F.col("x.at") + WINDOW).alias("end")))
+
+
+def sharded_intervals(parts: DataFrame) -> DataFrame:
+    """(row_id, begin, end) from shards of whole anchors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, size = [], 0
         for batch in batches:
@@ -239,7 +281,7 @@ def repeated_intervals(parts: DataFrame) -> DataFrame:
                 yield _repeats(_met_twice(rows[~last]))
             rest = [rows[last]]
             size = int(rows["words"][last].str.len().sum()) // 6
-            size %= INDEXED  # a hot anchor goes on; first_owners cuts it into several indexes
+            size %= INDEXED  # an anchor goes on; first_owners cuts it into several indexes
         if rest:
             yield _repeats(_met_twice(pd.concat(rest, ignore_index=True)))
 
@@ -284,7 +326,7 @@ def substring_report(docs: DataFrame) -> DataFrame:
             .where("keys is not null or known is not null").select("row_id", "doc_id", "digest", "keys", "known"))
     live = stored(live, "live")
     remove(spark, work)  # all that is needed of it stands in the two stored tables
-    gone = (repeated_intervals(stretches(docs, live))
+    gone = (repeated_intervals(stored(stretches(docs, live), "stretches"))
             .groupBy(F.col("row_id").alias("g_row")).agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends")))
     # rows with the same id and words as a leading one lose the same words
     hits = stored(gone.join(each.select("row_id", "words_sha", "doc_id"), F.col("g_row") == F.col("row_id"))

@@ -282,6 +282,23 @@ def test_op7_removes_what_all_windows_say(spark, rows):
     assert substring_dedup.substring_report(d.limit(0)).count() == 0
 
 
+def test_op7_hot_anchors_are_dealt_out(spark, monkeypatch):
+    r = random.Random(7)
+    line = [f"hot{k}" for k in range(20)]
+    rows = [(d if d % 9 else None, " ".join([*r.choices("abc", k=14), *line, *r.choices("abc", k=14), *(line if d % 5 == 0 else [])])) for d in range(60)]
+    rows += [(3, " ".join(line[2:18])), (70, LONG), (71, "q " * 40), (71, "q " * 50)]
+    sharded, seen = substring_dedup.sharded_intervals, []
+
+    def watched(parts):
+        seen.append(parts.selectExpr("key", "length(words) AS n").groupBy("key").sum("n").toDF("key", "n").agg({"n": "max"}).first()[0] or 0)
+        return sharded(parts)
+    monkeypatch.setattr(substring_dedup, "sharded_intervals", watched)
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 500)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(substring_dedup.substring_report(d)) == as_set(plain.substrings(rows))
+    assert seen[0] <= 500
+
+
 def test_op7_index_gives_first_owners_whatever_fits_in_it():
     r = random.Random(4)
     for _ in range(20):
