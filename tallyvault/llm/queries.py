@@ -1,12 +1,14 @@
-"""The registered queries of the ten operators, their contracts' columns, and SQL where SQL can say it."""
+"""The registered queries of the operators, their contracts' columns, and SQL where SQL can say it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, html_extract, jaccard_join, license_scan, line_dedup, pii, quality_rules, sentencepieces, substring_dedup, token_files
+from . import (decontamination, html_extract, jaccard_join, knn_join, license_scan, line_dedup, pii, quality_rules, sentencepieces,
+               substring_dedup, token_files, vector_codes, whitening)
 from .common import documents
 
 _W = r"[^\x20\x09-\x0D]+"
@@ -59,10 +61,28 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(documents(spark, sf_dir, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every whole vector; ``deviation`` as a long (null beyond 64 bits), and in full as ``deviation_38``."""
+    return whitening.whiten(documents(spark, sf_dir, "embeddings")).select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained", "identity_error",
+        F.col("deviation").alias("deviation_38"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other rows of every row whose vec_id is divisible by 50."""
+    return knn_join.top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of every whole vector."""
+    return vector_codes.compress(documents(spark, sf_dir, "embeddings")).drop("label")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_decontamination, op3_license_scan, op4_pii, op5_jaccard_join, op6_token_files,
-        op7_substring_dedup, op8_quality_rules, op9_line_dedup, op10_html_extraction)}
+        op7_substring_dedup, op8_quality_rules, op9_line_dedup, op10_html_extraction, op11_embedding_whitening, op12_exact_top_k,
+        op13_vector_codes)}
 
 
 OP9_SQL = """
