@@ -10,9 +10,13 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..plans.storage import scratch_path
 
@@ -54,6 +58,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_frames(rows: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``mapInPandas`` that keeps 64-bit ids whole: a long column with a null becomes Int64, where pandas alone makes it float."""
+    arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
+
+    def frame(batch: pa.RecordBatch) -> pd.DataFrame:
+        out = batch.to_pandas()
+        for field, column in zip(batch.schema, batch.columns):
+            if pa.types.is_int64(field.type) and column.null_count:
+                out[field.name] = column.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        return out
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(map(frame, batches)):
+            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+
+    return rows.mapInArrow(mapped, schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, whole_text
+from .common import map_frames, ship, whole_text
 from .shingles import mixed, shingle_set, windows, word_hashes
 
 SIZE = 5
@@ -259,11 +259,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             b = _benchmark(items, common.value)
             for batch in batches:
                 rows = [(doc_id, *x) for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]) for x in b.leaks(text)]
-                out = pd.DataFrame(rows, columns=["doc_id", "item_id", "similarity", "first_word", "end_word"])
-                yield out.astype({"doc_id": "Int64", "item_id": "Int64", "similarity": float, "first_word": "int64", "end_word": "int64"})
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "similarity", "first_word", "end_word"], dtype=object)
 
         rows = docs.select("doc_id", whole_text().alias("text"))
-        return rows.mapInPandas(run, "doc_id long, item_id long, similarity double, first_word long, end_word long")
+        return map_frames(rows, run, "doc_id long, item_id long, similarity double, first_word long, end_word long")
 
     parts = [one(items) for items in slices(benchmark)]
     out = parts[0]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .block_labeller import Labeller, trained
-from .common import ship
+from .common import map_frames, ship
 from .html_blocks import blocks
 
 #: Rows labelled together in a task; bounds its memory whatever the batches of the session hold.
@@ -39,8 +39,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
             for at in range(0, len(batch), ROWS):
                 part = batch.iloc[at:at + ROWS]
                 texts = main_texts(list(part["html"]), labeller)
-                yield pd.DataFrame({"page_id": part["page_id"].astype("Int64").to_numpy(), "url": part["url"].to_numpy(),
+                yield pd.DataFrame({"page_id": part["page_id"].astype("Int64").array, "url": part["url"].to_numpy(),
                                     "text": texts, "n_chars": [len(x) for x in texts]})
 
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return map_frames(rows, run, "page_id long, url string, text string, n_chars long")

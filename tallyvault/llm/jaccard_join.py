@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, ship, stored, whole_text
+from .common import map_frames, packed, ship, stored, whole_text
 from .components import connected_components
 from .shingles import shingle_set, shingle_set_with_lengths
 
@@ -130,11 +130,11 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 head, rank = order.head(s, lengths, _head_size(n, percent)) if n else (s, 0)
                 heads.append(_long(head))
                 ranks.append(rank)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").to_numpy(), "digest": batch["digest"].to_numpy(), "n": ns,
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").array, "digest": batch["digest"].to_numpy(), "n": ns,
                                 "class_id": pd.array(ids, "Int64"), "head": heads, "last_rank": ranks})
 
     rows = docs.select("doc_id", whole_text().alias("text")).withColumn("digest", F.xxhash64("text"))
-    return stored(rows.mapInPandas(run, "doc_id long, digest long, n long, class_id long, head array<long>, last_rank long"), "signatures")
+    return stored(map_frames(rows, run, "doc_id long, digest long, n long, class_id long, head array<long>, last_rank long"), "signatures")
 
 
 def _head_size(n, percent: int):

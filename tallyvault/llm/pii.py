@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, whole_text
+from .common import map_frames, ship, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "iban", "national_id")
 CONTEXT = 48
@@ -151,11 +151,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
                 counts = [sum(x[0] == k for x in base) for k in KINDS[:4]]
                 rows.append((None if pd.isna(doc_id) else int(doc_id), *counts,
                              hashlib.sha256(told(base).encode()).hexdigest(), told(all_spans), [x[3] for x in all_spans]))
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in SCHEMA.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            out = pd.DataFrame(rows, columns=[x.split()[0] for x in SCHEMA.split(", ")], dtype=object)  # pandas would make ids beside a null floats
             yield out
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, SCHEMA)
+    return map_frames(docs.select("doc_id", whole_text().alias("text")), run, SCHEMA)
 
 
 def redacted(text: str, found: list[tuple[str, int, int, float]]) -> str:

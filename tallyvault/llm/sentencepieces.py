@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, whole_text
+from .common import map_frames, ship, whole_text
 
 SPACE = "▁"
 #: Words (and chunks of them) that a worker remembers, in two generations: a full one becomes the old one.
@@ -277,8 +277,7 @@ def encode_and_decode(docs: DataFrame, model_file: str, with_ids: bool = False)
                 n, ids, decoded = c.round_trip(text)
                 row = (None if pd.isna(doc_id) else int(doc_id), n, sha(ids), sha(decoded))
                 rows.append((*row, [int(x) for x in ids.split(",") if x], decoded) if with_ids else row)
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")], dtype=object)  # pandas would make ids beside a null floats
             yield out
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, schema)
+    return map_frames(docs.select("doc_id", whole_text().alias("text")), run, schema)

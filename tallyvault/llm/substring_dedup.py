@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import remove, scratch_path
-from .common import shuffle_partitions, ship, stored, whole_text
+from .common import map_frames, shuffle_partitions, ship, stored, whole_text
 from .fm_index import FMIndex, least_in
 from .shingles import windows, word_hashes
 
@@ -127,7 +127,7 @@ def first_pass(docs: DataFrame, buckets: int) -> DataFrame:
 
     rows = (docs.select("doc_id", whole_text().alias("text"))
             .select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.xxhash64("text").alias("digest"), "text"))
-    return rows.mapInPandas(run, PASS)
+    return map_frames(rows, run, PASS)
 
 
 def shared_anchors(batches: DataFrame) -> DataFrame:
@@ -349,9 +349,9 @@ def substring_report(docs: DataFrame) -> DataFrame:
                 n.append(len(words))
                 removed.append(len(words) - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").to_numpy(), "n_words": n, "n_removed": removed, "kept_sha256": sha})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").array, "n_words": n, "n_removed": removed, "kept_sha256": sha})
 
     rows = docs.withColumn("text", whole_text()).withColumn("digest", F.xxhash64("text"))
     cut = (rows.join(cut.dropDuplicates(["c_id", "c_digest"]), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("digest") == F.col("c_digest")))
            .select("doc_id", "text", "begins", "ends"))
-    return plain.unionByName(cut.mapInPandas(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
+    return plain.unionByName(map_frames(cut, run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
