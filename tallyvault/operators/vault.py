@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hk
-from ..schemas import HUBS, LINKS, SATELLITES, VAULT, VAULT_KEYS
+from ..schemas import BUCKET_KEY, HUBS, LINKS, SATELLITES, VAULT, VAULT_KEYS
 
 # Status filters live in the mart; here only the bounds used
 # by the loads (sender >= 0, receiver >= 1 for the transaction hub).
@@ -267,69 +267,97 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
     return {name: out[name] for name in VAULT}
 
 
+def _same(left: str, right: str) -> Column:
+    """Equality that the join only tests, so that its other key alone decides how rows are dealt out."""
+    return (F.col(left) >= F.col(right)) & (F.col(left) <= F.col(right))
+
+
 def in_transaction_hub(t: DataFrame, hub: DataFrame) -> DataFrame:
-    """Rows whose operation is in the hub (by business key, as the reference joins)."""
-    return t.join(hub.select("operation_id"), "operation_id", "left_semi")
+    """Rows whose operation is in the hub: by business key, as the reference joins, dealt out by the surrogate
+    key, so that a stored hub bucketed by it is read in place."""
+    keys = hub.select(F.col("hk_operation_id").alias("_hk"), F.col("operation_id").alias("_op"))
+    return t.join(keys, (F.col("hk_operation_id") == F.col("_hk")) & _same("operation_id", "_op"), "left_semi")
+
+
+def in_hub_after(t: DataFrame, hub: DataFrame) -> DataFrame:
+    """Rows of a day whose operation is in the hub once the day's own rows are inserted.
+
+    The day's candidates and the stored hub are asked one after the other: a union of both would
+    have to be shuffled, the stored hub with it.
+    """
+    own = hub_transactions_candidates(t).select("hk_operation_id", "operation_id")
+    keys = own.select(F.col("hk_operation_id").alias("_hk"), F.col("operation_id").alias("_op"))
+    same = (F.col("hk_operation_id") == F.col("_hk")) & _same("operation_id", "_op")
+    return t.join(keys, same, "left_semi").unionByName(in_transaction_hub(t.join(keys, same, "left_anti"), hub))
 
 
 # ---------------------------------------------------------------- one day
 
-def _new_keys(cands: DataFrame, existing: DataFrame, key: list[str], ds) -> DataFrame:
-    """Distinct candidates of one day whose key is not stored yet (NOT EXISTS)."""
+def _new_keys(cands: DataFrame, existing: DataFrame, table: str, ds) -> DataFrame:
+    """Distinct candidates of one day whose key is not stored yet (NOT EXISTS).
+
+    The join is dealt out by the column that the stored table is bucketed by, so only the day's rows move.
+    """
     rows = cands.drop("day").distinct()
-    return rows.join(existing.select(*key), key, "left_anti").withColumn("ds", F.lit(ds).cast("date"))
+    (key,), by = VAULT_KEYS[table], BUCKET_KEY[table]
+    if by == key:
+        new = rows.join(existing.select(key), key, "left_anti")
+    else:
+        old = existing.select(F.col(by).alias("_by"), F.col(key).alias("_key"))
+        new = rows.join(old, (F.col(by) == F.col("_by")) & _same(key, "_key"), "left_anti")
+    return new.withColumn("ds", F.lit(ds).cast("date"))
 
 
 def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame], ds,
-             load_dt: _dt.datetime | None = None, phase: str | None = None,
+             load_dt: _dt.datetime | None = None, phase: str | tuple[str, ...] | None = None,
              tx_in_hub: DataFrame | None = None) -> dict[str, DataFrame]:
     """Rows one daily run appends, given the stored vault before it.
 
     Statement order matters as in the reference: hubs, then links (which
     see this run's hub rows), then satellites (which see this run's
-    links).  With ``phase`` = "hubs" / "links" / "satellites" only that
-    group is computed against ``vault`` as stored (the pipeline writes each
-    group before computing the next, and passes the day's rows that are in the
-    transaction hub as ``tx_in_hub``); with ``phase=None`` all groups are
-    computed at once, later groups seeing the earlier groups' new rows.
+    links).  With ``phase`` = "hubs" / "links" / "satellites", or several of
+    them, only those groups are computed against ``vault`` as stored, later
+    groups seeing the earlier ones' new rows (the pipeline passes the day's rows
+    that are in the transaction hub as ``tx_in_hub``); ``phase=None`` means all.
     """
+    groups = ("hubs", "links", "satellites") if phase is None else (phase,) if isinstance(phase, str) else phase
     ds = _dt.date.fromisoformat(str(ds)) if not isinstance(ds, _dt.date) else ds
     t = prepare_transactions(tx_day).where(F.col("day") == F.lit(ds))
     c = prepare_currencies(cur_day).where(F.col("day") == F.lit(ds))
     new: dict[str, DataFrame] = {}
-    if phase in (None, "hubs"):
+    if "hubs" in groups:
         for name, fn in (("h_transactions", hub_transactions_candidates),
                          ("h_countries", hub_countries_candidates),
                          ("h_currencies", hub_currencies_candidates),
                          ("h_accounts", hub_accounts_candidates)):
-            new[name] = _new_keys(fn(t), vault[name], VAULT_KEYS[name], ds)
+            new[name] = _new_keys(fn(t), vault[name], name, ds)
 
     def now(name: str, cols: list[str]) -> DataFrame:
         stored = vault[name].select(*cols)
         return stored.unionByName(new[name].select(*cols)) if name in new else stored
 
-    if phase in (None, "links"):
-        t_in_hub = tx_in_hub if tx_in_hub is not None else in_transaction_hub(t, now("h_transactions", ["operation_id"]))
+    if "links" in groups:
+        t_in_hub = tx_in_hub if tx_in_hub is not None else in_hub_after(t, vault["h_transactions"])
         for name, fn in (("l_accounts_transactions", link_accounts_candidates),
                          ("l_countries_transactions", link_countries_transactions_candidates),
                          ("l_currency_transaction", link_currency_transaction_candidates),
                          ("l_countries_currencies", link_countries_currencies_candidates)):
-            new[name] = _new_keys(fn(t_in_hub), vault[name], VAULT_KEYS[name], ds)
+            new[name] = _new_keys(fn(t_in_hub), vault[name], name, ds)
         codes = now("h_currencies", ["currency_code"])
         c_in_hub = (c.join(codes, "currency_code", "left_semi")
                     .join(codes.withColumnRenamed("currency_code", "currency_code_with"),
                           "currency_code_with", "left_semi"))
-        new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(c_in_hub),
-                                            vault["l_currency_ratio"], VAULT_KEYS["l_currency_ratio"], ds)
-    if phase in (None, "satellites"):
-        t_in_hub = tx_in_hub if tx_in_hub is not None else in_transaction_hub(t, now("h_transactions", ["operation_id"]))
+        new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(c_in_hub), vault["l_currency_ratio"],
+                                            "l_currency_ratio", ds)
+    if "satellites" in groups:
+        t_in_hub = tx_in_hub if tx_in_hub is not None else in_hub_after(t, vault["h_transactions"])
         new["s_transactions"] = (sat_transactions_candidates(t_in_hub).drop("day").distinct()
                                  .withColumn("ds", F.lit(ds).cast("date")))
         links = now("l_currency_ratio", ["hk_l_currency_ratio"])
         new["s_l_currency_ratio"] = (sat_rate_candidates(c).join(links, "hk_l_currency_ratio", "left_semi")
                                      .drop("day").distinct().withColumn("ds", F.lit(ds).cast("date")))
-    wanted = {None: VAULT, "hubs": HUBS, "links": LINKS, "satellites": SATELLITES}[phase]
-    return {k: _stamp(new[k], k, load_dt) for k in wanted}
+    wanted = {"hubs": HUBS, "links": LINKS, "satellites": SATELLITES}
+    return {k: _stamp(new[k], k, load_dt) for g in groups for k in wanted[g]}
 
 
 def empty_vault(spark) -> dict[str, DataFrame]:

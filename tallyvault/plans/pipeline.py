@@ -1,16 +1,18 @@
-"""Daily pipeline: stage a day, load the vault for it, upsert the mart.
+"""Daily pipeline: stage days, load the vault day by day, merge the mart.
 
 Storage layout under one root (a shared filesystem path on a cluster)::
 
     root/extract/<table>/ds=<day>/   CSV extracts (header), one folder per day
     root/stg/<table>/ds=<day>/       staging Parquet (appended)
     root/rejects/<table>/ds=<day>/   rejected CSV records with a reason
-    root/dds/<table>/ds=<day>/       vault tables, partitioned by load day
+    root/dds/<table>/ds=<day>/       vault tables, partitioned by load day, bucketed by key
     root/mart/global_metrics/date_update=<day>/
+    root/ledger/ds=<day>/            the steps that are done
 
 ``run_range`` replays days in order (the reference's daily schedule with
-catch-up); ``backfill`` loads the same days set-based in one pass and
-yields the same vault (see ``operators/vault.py``).
+catch-up) and goes on where a broken run stopped; ``backfill`` loads the
+same days set-based in one pass and yields the same vault (see
+``operators/vault.py``).
 """
 
 from __future__ import annotations
@@ -26,12 +28,15 @@ from pyspark.sql import types as T
 from ..operators import mart as M
 from ..operators import upsert as U
 from ..operators import vault as V
-from ..schemas import LAYOUT, STG_CURRENCIES, STG_TRANSACTIONS, VAULT
+from ..schemas import LAYOUT, SATELLITES, STG_CURRENCIES, STG_TRANSACTIONS, VAULT
 from ..sources import staging
+from .ledger import Ledger
 from .storage import clear_days, exists, remove, write_read
+from .vault_store import PARALLEL_WRITES, VaultStore
 
 STG_SCHEMAS = {"transactions": STG_TRANSACTIONS, "currencies": STG_CURRENCIES}
-PARALLEL_WRITES = 4
+#: Days that a replay stages, and merges into the mart, at once.
+CHUNK = 10
 DATE_COLUMNS = {"transactions": "transaction_dt", "currencies": "date_update"}
 
 
@@ -47,7 +52,7 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_vault(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {t: read_table(spark, f"{root}/dds/{t}", s) for t, s in VAULT.items()}
+    return VaultStore(spark, root).read()
 
 
 def read_staging(spark: SparkSession, root: str, table: str, ds=None) -> DataFrame:
@@ -62,19 +67,6 @@ def _clustered(name: str, df: DataFrame) -> DataFrame:
     return df.repartition("ds", *dist).sortWithinPartitions(*sort_cols)
 
 
-def write_vault_rows(tables: dict[str, DataFrame], root: str) -> None:
-    """Append one run's rows, clustered and sorted like the reference's tables.
-
-    The tables of a phase don't read each other, so their jobs run side by side.
-    """
-    def write(item: tuple[str, DataFrame]) -> None:
-        name, df = item
-        _clustered(name, df).write.mode("append").partitionBy("ds").parquet(f"{root}/dds/{name}")
-
-    with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
-        list(pool.map(write, tables.items()))
-
-
 def load_days(spark: SparkSession, root: str, table: str, days: list[_dt.date], load_dt=None,
               replace_slice: bool = False) -> None:
     """Load the extracts of some days of one table into staging; their rejects replace earlier ones."""
@@ -86,18 +78,25 @@ def load_days(spark: SparkSession, root: str, table: str, days: list[_dt.date],
     bad.write.mode("append").partitionBy("ds").parquet(f"{root}/rejects/{table}")
 
 
-def stage_day(spark: SparkSession, root: str, sources: dict[str, DataFrame], ds, load_dt=None) -> None:
-    """Extract one day of each source to CSV, then load it into staging.
+def stage_days(spark: SparkSession, root: str, sources: dict[str, DataFrame], days: list[_dt.date], load_dt=None,
+               replace_slice: bool = False) -> None:
+    """Extract some days of each source to CSV, then load them into staging; the tables side by side.
 
-    The day's extract is made anew even if the source has no rows for it any more.
+    The days' extracts are made anew even if the source has no rows for them any more.
     """
-    ds = _day(ds)
-    for table, src in sources.items():
+    def stage(item: tuple[str, DataFrame]) -> None:
+        table, src = item
         date_col = DATE_COLUMNS[table]
-        day = staging.slice_by_day(src, date_col, ds)
-        clear_days(spark, f"{root}/extract/{table}", [ds])
-        staging.write_extract(day, f"{root}/extract", table, date_col)
-        load_days(spark, root, table, [ds], load_dt)
+        clear_days(spark, f"{root}/extract/{table}", days)
+        staging.write_extract(staging.slice_by_days(src, date_col, days), f"{root}/extract", table, date_col)
+        load_days(spark, root, table, days, load_dt, replace_slice)
+
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        list(pool.map(stage, sources.items()))
+
+
+def stage_day(spark: SparkSession, root: str, sources: dict[str, DataFrame], ds, load_dt=None) -> None:
+    stage_days(spark, root, sources, [_day(ds)], load_dt)
 
 
 def _run_time(load_dt) -> _dt.datetime:
@@ -105,37 +104,47 @@ def _run_time(load_dt) -> _dt.datetime:
     return load_dt or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None, replace_slice: bool = False) -> None:
-    """One daily vault run: hubs, links, satellites, each group written
-    before the next reads the stored vault (the reference's statement order).
+def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None, replace_slice: bool = False,
+                   done=lambda name: None, skip: frozenset[str] | set[str] = frozenset()) -> None:
+    """One daily vault run: hubs, then links and satellites, in the reference's statement order.
 
-    The hub join of the day's staging rows is computed once, and stored for the
-    links and the satellite.  ``replace_slice`` makes a repeated load of the
-    day give the same satellites (the reference's own re-run adds them again).
+    The day's staging rows whose operation is in the hub are computed beside the hubs and stored
+    for the links and the satellite; tables that don't read each other are written side by side.
+    ``replace_slice`` makes a repeated load of the day give the same satellites (the
+    reference's own re-run adds them again).  Tables in ``skip`` are left as they are; ``done``
+    hears of each table written.
     """
     ds, load_dt = _day(ds), _run_time(load_dt)
+    store = VaultStore(spark, root)
     tx = read_staging(spark, root, "transactions", ds)
     cur = read_staging(spark, root, "currencies", ds)
     work = f"{root}/_work/{uuid.uuid4().hex[:12]}"
+    vault = store.read()
+    left = lambda tables: {n: t for n, t in tables.items() if n not in skip}
     try:
-        write_vault_rows(V.load_day(tx, cur, read_vault(spark, root), ds, load_dt, phase="hubs"), root)
-        hubs = read_table(spark, f"{root}/dds/h_transactions", VAULT["h_transactions"])
-        in_hub = write_read(V.in_transaction_hub(V.prepare_transactions(tx), hubs), work)
-        for phase in ("links", "satellites"):
-            rows = V.load_day(tx, cur, read_vault(spark, root), ds, load_dt, phase=phase, tx_in_hub=in_hub)
-            for name in rows if replace_slice and phase == "satellites" else ():
-                clear_days(spark, f"{root}/dds/{name}", [ds])
-            write_vault_rows(rows, root)
+        with ThreadPoolExecutor(max_workers=1) as beside:
+            found = beside.submit(write_read, V.in_hub_after(V.prepare_transactions(tx).where(F.col("day") == F.lit(ds)), vault["h_transactions"]), work)
+            store.append_all(left(V.load_day(tx, cur, vault, ds, load_dt, phase="hubs")), done)
+            in_hub = found.result()
+        rows = left(V.load_day(tx, cur, store.read(), ds, load_dt, phase=("links", "satellites"), tx_in_hub=in_hub))
+        for name in SATELLITES if replace_slice else ():
+            if name in rows:
+                store.clear(name, [ds])
+        store.append_all(rows, done)
     finally:
         remove(spark, work)
 
 
-def load_mart_day(spark: SparkSession, root: str, ds, rate_mode: str = "reference") -> None:
-    ds = _day(ds)
-    metrics = M.global_metrics(read_vault(spark, root), ds_from=ds, ds_to=ds, rate_mode=rate_mode)
+def load_mart_days(spark: SparkSession, root: str, start, end, rate_mode: str = "reference") -> None:
+    """Merge the metrics of [start, end]; a day sees what the vault loaded by that day, whatever came later."""
+    metrics = M.global_metrics(read_vault(spark, root), ds_from=_day(start), ds_to=_day(end), rate_mode=rate_mode)
     U.upsert_table(spark, f"{root}/mart/global_metrics", metrics)
 
 
+def load_mart_day(spark: SparkSession, root: str, ds, rate_mode: str = "reference") -> None:
+    load_mart_days(spark, root, ds, ds, rate_mode)
+
+
 def run_day(spark: SparkSession, root: str, sources: dict[str, DataFrame], ds, load_dt=None,
             rate_mode: str = "reference") -> None:
     stage_day(spark, root, sources, ds, load_dt)
@@ -149,10 +158,29 @@ def days_between(start, end) -> list[_dt.date]:
 
 
 def run_range(spark: SparkSession, root: str, sources: dict[str, DataFrame], start, end, load_dt=None,
-              rate_mode: str = "reference") -> None:
-    """Replay days in order, one run at a time (catch-up)."""
-    for ds in days_between(start, end):
-        run_day(spark, root, sources, ds, load_dt, rate_mode)
+              rate_mode: str = "reference", chunk: int = CHUNK) -> None:
+    """Replay days in order (catch-up), going on where an earlier run of the same root stopped.
+
+    Days are taken in chunks: a chunk is staged at once, its vault days are loaded one after the
+    other, as each tests its keys against the days before, and its mart days are merged at once,
+    as they only read what was loaded by their own day.  The ledger holds what is done; steps
+    that a broken run left unmarked are done again and give what one unbroken run gives.
+    """
+    ledger, load_dt, days = Ledger(spark, root, uuid.uuid4().hex[:12]), _run_time(load_dt), days_between(start, end)
+    for at in range(0, len(days), chunk):
+        part = days[at:at + chunk]
+        known = {ds: ledger.done(ds) for ds in part}
+        if new := [ds for ds in part if "stage" not in known[ds]]:
+            stage_days(spark, root, sources, new, load_dt, replace_slice=True)
+            for ds in new:
+                ledger.mark(ds, "stage")
+        for ds in part:
+            if not set(VAULT) <= known[ds]:
+                load_vault_day(spark, root, ds, load_dt, replace_slice=True, skip=known[ds], done=lambda name, ds=ds: ledger.mark(ds, name))
+        if left := [ds for ds in part if "mart" not in known[ds]]:
+            load_mart_days(spark, root, left[0], left[-1], rate_mode)
+            for ds in left:
+                ledger.mark(ds, "mart")
 
 
 def backfill(spark: SparkSession, root: str, sources: dict[str, DataFrame], start, end, load_dt=None,
@@ -161,34 +189,26 @@ def backfill(spark: SparkSession, root: str, sources: dict[str, DataFrame], star
 
     What the vault holds for these days is replaced; what it holds for other
     days stays, and its keys are not inserted again, as in a replay of the
-    days on that vault.
+    days on that vault.  The new rows are built beside the vault and swapped
+    in when all of them are there.
     """
     s, e, load_dt = _day(start), _day(end), _run_time(load_dt)
     days = days_between(s, e)
     inside = (F.col("ds") >= F.lit(s)) & (F.col("ds") <= F.lit(e))
-    for table, src in sources.items():
-        col = F.to_date(F.col(DATE_COLUMNS[table]))
-        rows = src.where((col >= F.lit(s)) & (col <= F.lit(e)))
-        clear_days(spark, f"{root}/extract/{table}", days)
-        staging.write_extract(rows, f"{root}/extract", table, DATE_COLUMNS[table])
-        load_days(spark, root, table, days, load_dt, replace_slice=True)
+    stage_days(spark, root, sources, days, load_dt, replace_slice=True)
     tx = read_staging(spark, root, "transactions").where(inside)
     cur = read_staging(spark, root, "currencies").where(inside)
-    for name in VAULT:
-        clear_days(spark, f"{root}/dds/{name}", days)
     work = f"{root}/_work/{uuid.uuid4().hex[:12]}"
-    old = {name: df.where(~inside) for name, df in read_vault(spark, root).items()}
-
-    def persist(name: str, df: DataFrame) -> DataFrame:
-        if name.startswith("_"):
-            return write_read(df, f"{work}/{name}")
-        path = f"{root}/dds/{name}"
-        _clustered(name, df).write.mode("append").partitionBy("ds").parquet(path)
-        return read_table(spark, path, VAULT[name]).where(inside)
-
+    store = VaultStore(spark, root)
+    old = {name: df.where(~inside) for name, df in store.read().items()}
     try:
-        V.build_vault(tx, cur, load_dt, persist=persist, stored=old)
+        new = V.build_vault(tx, cur, load_dt, persist=lambda name, df: write_read(df, f"{work}/{name}"), stored=old)
+        with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
+            list(pool.map(lambda name: store.replace(name, new[name], days), VAULT))
     finally:
         remove(spark, work)
-    metrics = M.global_metrics(read_vault(spark, root), ds_from=s, ds_to=e, rate_mode=rate_mode)
-    U.upsert_table(spark, f"{root}/mart/global_metrics", metrics)
+    load_mart_days(spark, root, s, e, rate_mode)
+    ledger = Ledger(spark, root, uuid.uuid4().hex[:12])
+    for ds in days:
+        for step in ("stage", *VAULT, "mart"):
+            ledger.mark(ds, step)

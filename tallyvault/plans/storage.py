@@ -46,6 +46,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern meets, in order."""
+    fs, p = _path(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or ())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside, then renamed."""
+    fs, p = _path(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}-{uuid.uuid4().hex[:8]}")  # noqa: SLF001
+    out = fs.create(beside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(beside, p)
+
+
 def has_days(spark: SparkSession, path: str, column: str = "ds") -> bool:
     """Whether a table's folder holds a day partition (one without rows has none)."""
     fs, p = _path(spark, f"{path}/{column}=*")

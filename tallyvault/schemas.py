@@ -88,6 +88,13 @@ LINKS = ["l_accounts_transactions", "l_countries_transactions", "l_currency_tran
 SATELLITES = ["s_transactions", "s_l_currency_ratio"]
 VAULT_ORDER = HUBS + LINKS + SATELLITES
 
+# The key that a stored vault table is bucketed by: the operation where rows belong to one.
+BUCKET_KEY = {
+    **{t: keys[0] for t, keys in VAULT_KEYS.items()},
+    **{t: "hk_operation_id" for t in ("l_accounts_transactions", "l_countries_transactions", "l_currency_transaction", "s_transactions")},
+    "s_l_currency_ratio": "hk_l_currency_ratio",
+}
+
 GLOBAL_METRICS = _st(
     ("date_update", D, False), ("currency_from", L, True),
     ("amount_total", MONEY, True), ("cnt_transactions", MONEY, True),

@@ -45,6 +45,12 @@ def slice_by_day(df: DataFrame, date_col: str, ds) -> DataFrame:
     return df.where(F.to_date(F.col(date_col)) == F.lit(_as_date(ds)))
 
 
+def slice_by_days(df: DataFrame, date_col: str, days: list[_dt.date]) -> DataFrame:
+    """The rows of some days: the range from the first to the last (pushed to the scan), and of it the days named."""
+    day = F.to_date(F.col(date_col))
+    return df.where((day >= F.lit(min(days))) & (day <= F.lit(max(days))) & day.isin(list(days)))
+
+
 def write_extract(df: DataFrame, root: str, table: str, date_col: str) -> str:
     """Write ``df``'s source columns as CSV under ``root/table/ds=<day>``."""
     cols = SOURCES[table][1]
