@@ -20,7 +20,10 @@ HK_HEX_DIGITS = 15
 
 
 def _text(c: Column | str) -> Column:
-    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    if isinstance(c, str):      # one expression text instead of a dozen calls into the JVM
+        t = f"CAST(`{c}` AS STRING)"
+        return F.expr(f"coalesce(concat(CAST(length({t}) AS STRING), ':', {t}), '{HK_NULL}')")
+    text = c.cast("string")
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(HK_NULL))
 
 

@@ -6,9 +6,9 @@ Parquet, so they are verified by one report of ``(table_name, rule,
 violations)``.  Rules are declared once as data; ``rule_sql`` renders the
 same rules as portable SQL (used by the DuckDB oracle).
 
-Per table, all row-level rules (not null, check, length) are evaluated in
-a single pass of ``count_if``s; key rules are a grouped count and foreign
-keys an anti join, each a single shuffle.
+Per table, all row-level rules (not null, check, length, precision) are
+evaluated in a single pass of ``count_if``s; all keys of all tables, primary,
+unique and foreign, in one more pass and one shuffle (:class:`KeyRules`).
 """
 
 from __future__ import annotations
@@ -69,6 +69,20 @@ MAX_LENGTHS["h_countries"]["country_name"] = 60
 MAX_LENGTHS["s_transactions"].update({"status": 60, "transaction_type": 60})
 
 
+# Digits of a second that a time keeps, and (precision, scale) of the numbers, as declared.
+TIME_DIGITS = {
+    **{t: {"load_dt": 0} for t in SCHEMAS if t != "global_metrics"},
+    "stg_transactions": {"transaction_dt": 3, "load_dt": 0},
+    "stg_currencies": {"date_update": 3, "load_dt": 0},
+}
+TIME_DIGITS["s_transactions"]["transaction_dt"] = TIME_DIGITS["s_l_currency_ratio"]["date_update"] = 3
+NUMBER_DIGITS = {
+    "stg_currencies": {"currency_with_div": (5, 3)}, "s_l_currency_ratio": {"currency_with_div": (5, 3)},
+    "global_metrics": {c: (18, 3) for c in ("amount_total", "cnt_transactions", "avg_transactions_per_account")},
+}
+_UNIT = {0: "second", 3: "millisecond"}
+
+
 def row_rules(table: str) -> list[tuple[str, str]]:
     """(rule name, SQL expression counting a violation) for one table."""
     rules = [(f"not_null:{f.name}", f"{f.name} IS NULL")
@@ -76,6 +90,10 @@ def row_rules(table: str) -> list[tuple[str, str]]:
     rules += [(f"check:{expr}", f"NOT ({expr})") for t, expr in CHECKS if t == table]
     rules += [(f"length:{c}<={n}", f"octet_length({c}) > {n}")
               for c, n in MAX_LENGTHS.get(table, {}).items()]
+    rules += [(f"precision:{c}<={n}", f"CAST(date_trunc('{_UNIT[n]}', {c}) AS TIMESTAMP_NTZ) <> {c}")
+              for c, n in TIME_DIGITS.get(table, {}).items()]
+    rules += [(f"precision:{c}({p},{s})", f"abs({c}) >= 1{'0' * (p - s)} OR round({c}, {s}) <> {c}")
+              for c, (p, s) in NUMBER_DIGITS.get(table, {}).items()]
     return rules
 
 
@@ -89,18 +107,77 @@ def _row_report(table: str, df: DataFrame) -> DataFrame | None:
         .select(F.lit(table).alias("table_name"), "rule", F.col("violations").cast("bigint"))
 
 
-def _key_report(table: str, df: DataFrame, cols: list[str], kind: str) -> DataFrame:
-    dup = (df.groupBy(*cols).count().where(F.col("count") > 1)
-           .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("violations")))
-    return dup.select(F.lit(table).alias("table_name"), F.lit(f"{kind}:{','.join(cols)}").alias("rule"),
-                      "violations")
-
-
-def _fk_report(child: str, cdf: DataFrame, col: str, parent: str, pdf: DataFrame, pcol: str) -> DataFrame:
-    orphans = cdf.select(col).join(pdf.select(F.col(pcol).alias(col)), col, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-        F.lit(child).alias("table_name"), F.lit(f"foreign_key:{col}->{parent}.{pcol}").alias("rule"),
-        "violations")
+class KeyRules:
+    """All primary, unique and foreign keys of some tables, as one stream of tagged keys.
+
+    A *domain* is one key of one table, primary or unique: its values are told by the rows of the table
+    (slot 0) and by the rows of the tables that refer to it (a slot for each foreign key).  Every table
+    is read once and explodes each row into the keys it takes part in; one aggregation by (domain,
+    key), pre-combined before its shuffle, then says for every key how many rows have it and how many
+    refer to it: more than one of the former breaks the key, none of them makes the latter orphans.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame]) -> None:
+        self.tables = tables
+        #: Per table: (domain, slot, columns) of the keys its rows take part in.
+        self.parts: dict[str, list[tuple[int, int, list[str]]]] = {t: [] for t in tables}
+        #: (domain, slot) -> (table, rule): what the count of a slot reports.
+        self.rules: list[tuple[int, int, str, str]] = []
+        domains: dict[tuple[str, tuple[str, ...]], int] = {}
+
+        def domain(table: str, cols: list[str]) -> int:
+            key = (table, tuple(cols))
+            if key not in domains:
+                domains[key] = len(domains)
+                self.parts[table].append((domains[key], 0, cols))
+            return domains[key]
+
+        for kind, keys in (("primary_key", PRIMARY_KEYS), ("unique", UNIQUE_KEYS)):
+            for table, cols in keys.items():
+                if table in tables:
+                    self.rules.append((domain(table, cols), 0, table, f"{kind}:{','.join(cols)}"))
+        referring: dict[int, int] = {}
+        for child, col, parent, pcol in FOREIGN_KEYS:
+            if child in tables and parent in tables:
+                d = domain(parent, [pcol])
+                referring[d] = slot = referring.get(d, 0) + 1
+                self.parts[child].append((d, slot, [col]))
+                self.rules.append((d, slot, child, f"foreign_key:{col}->{parent}.{pcol}"))
+        self.slots = max(referring.values(), default=0)
+        self.width = max((len(c) for parts in self.parts.values() for _, _, c in parts), default=0)
+
+    def _told(self, table: str) -> DataFrame:
+        """(domain, slot, k0, k1, ...) of every row of a table and every key that it takes part in."""
+        def key(c: str):       # dates and numbers alike become longs; the columns' types are the schema's
+            kind = SCHEMAS[table][c].dataType.typeName()
+            return F.unix_date(c).cast("long") if kind == "date" else F.col(c).cast("long")
+
+        def one(d: int, slot: int, cols: list[str]):
+            keys = [key(c) for c in cols] + [F.lit(None).cast("long")] * (self.width - len(cols))
+            return F.struct(F.lit(d).alias("domain"), F.lit(slot).alias("slot"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+
+        return self.tables[table].select(F.explode(F.array(*[one(*p) for p in self.parts[table]])).alias("x")).select("x.*")
+
+    def report(self) -> DataFrame | None:
+        told = [self._told(t) for t, parts in self.parts.items() if parts]
+        if not told:
+            return None
+        rows = told[0]
+        for more in told[1:]:
+            rows = rows.unionByName(more)
+        keys = [f"k{i}" for i in range(self.width)]
+        per_key = rows.groupBy("domain", *keys).agg(
+            *[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in range(self.slots + 1)])
+        # a null refers to nothing, whatever rows have a null key of their own
+        orphan = (F.col("n0") == 0) | F.col("k0").isNull()
+        per_domain = per_key.groupBy("domain").agg(
+            F.sum(F.greatest(F.col("n0") - 1, F.lit(0))).alias("v0"),
+            *[F.sum(F.when(orphan, F.col(f"n{s}")).otherwise(0)).alias(f"v{s}") for s in range(1, self.slots + 1)])
+        found = per_domain.select("domain", F.posexplode(F.array(*[F.col(f"v{s}") for s in range(self.slots + 1)])).alias("slot", "violations"))
+        spark = rows.sparkSession
+        rules = spark.createDataFrame(self.rules, "r_domain int, r_slot int, table_name string, rule string")
+        return (rules.join(found, (F.col("r_domain") == F.col("domain")) & (F.col("r_slot") == F.col("slot")), "left")
+                .select("table_name", "rule", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")))
 
 
 def quality_report(vault: dict[str, DataFrame], stg_transactions: DataFrame | None = None,
@@ -118,13 +195,9 @@ def quality_report(vault: dict[str, DataFrame], stg_transactions: DataFrame | No
         r = _row_report(t, df)
         if r is not None:
             parts.append(r)
-        if t in PRIMARY_KEYS:
-            parts.append(_key_report(t, df, PRIMARY_KEYS[t], "primary_key"))
-        if t in UNIQUE_KEYS:
-            parts.append(_key_report(t, df, UNIQUE_KEYS[t], "unique"))
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            parts.append(_fk_report(child, tables[child], col, parent, tables[parent], pcol))
+    keys = KeyRules(tables).report()
+    if keys is not None:
+        parts.append(keys)
     if missing_rates is not None:
         parts.append(missing_rates.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
             F.lit("global_metrics").alias("table_name"), F.lit("missing_rate").alias("rule"), "violations"))
@@ -141,7 +214,7 @@ def rule_sql(tables: list[str], with_missing_rate: bool = False, prefix: str = "
         view = prefix + t
         for name, cond in row_rules(t):
             q = name.replace("'", "''")
-            cond = cond.replace("octet_length(", "strlen(")      # byte length in DuckDB
+            cond = cond.replace("octet_length(", "strlen(").replace("TIMESTAMP_NTZ", "TIMESTAMP")      # DuckDB's names
             sel.append(f"SELECT '{t}' AS table_name, '{q}' AS rule, "
                        f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM {view}")
         for kind, keys in (("primary_key", PRIMARY_KEYS.get(t)), ("unique", UNIQUE_KEYS.get(t))):

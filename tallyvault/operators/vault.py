@@ -175,13 +175,9 @@ def first_loaded(cands: DataFrame, key: list[str], cluster_by: list[str] | None
 
 def _stamp(df: DataFrame, table: str, load_dt) -> DataFrame:
     """Select the table's columns in schema order with load_dt filled."""
-    cols = []
-    for f in VAULT[table].fields:
-        if f.name == "load_dt":
-            cols.append(F.lit(load_dt).cast("timestamp_ntz").alias("load_dt"))
-        else:
-            cols.append(F.col(f.name).cast(f.dataType))
-    return df.select(*cols)
+    when = "NULL" if load_dt is None else f"'{load_dt.isoformat(sep=' ')}'"
+    return df.selectExpr(*[f"CAST({when} AS TIMESTAMP_NTZ) AS load_dt" if f.name == "load_dt" else
+                           f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in VAULT[table].fields])
 
 
 def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = None,
@@ -279,6 +275,13 @@ def in_transaction_hub(t: DataFrame, hub: DataFrame) -> DataFrame:
     return t.join(keys, (F.col("hk_operation_id") == F.col("_hk")) & _same("operation_id", "_op"), "left_semi")
 
 
+def rates_in_hub_after(c: DataFrame, t: DataFrame, hub: DataFrame) -> DataFrame:
+    """A day's rates with both currencies in the hub once the day's own rows are inserted."""
+    codes = hub.select("currency_code").unionByName(hub_currencies_candidates(t).select("currency_code"))
+    return (c.join(codes, "currency_code", "left_semi")
+            .join(codes.withColumnRenamed("currency_code", "currency_code_with"), "currency_code_with", "left_semi"))
+
+
 def in_hub_after(t: DataFrame, hub: DataFrame) -> DataFrame:
     """Rows of a day whose operation is in the hub once the day's own rows are inserted.
 
@@ -310,7 +313,7 @@ def _new_keys(cands: DataFrame, existing: DataFrame, table: str, ds) -> DataFram
 
 def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame], ds,
              load_dt: _dt.datetime | None = None, phase: str | tuple[str, ...] | None = None,
-             tx_in_hub: DataFrame | None = None) -> dict[str, DataFrame]:
+             tx_in_hub: DataFrame | None = None, rates_in_hub: DataFrame | None = None) -> dict[str, DataFrame]:
     """Rows one daily run appends, given the stored vault before it.
 
     Statement order matters as in the reference: hubs, then links (which
@@ -318,7 +321,8 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
     links).  With ``phase`` = "hubs" / "links" / "satellites", or several of
     them, only those groups are computed against ``vault`` as stored, later
     groups seeing the earlier ones' new rows (the pipeline passes the day's rows
-    that are in the transaction hub as ``tx_in_hub``); ``phase=None`` means all.
+    whose operation or currencies are in their hub as ``tx_in_hub`` and
+    ``rates_in_hub``); ``phase=None`` means all.
     """
     groups = ("hubs", "links", "satellites") if phase is None else (phase,) if isinstance(phase, str) else phase
     ds = _dt.date.fromisoformat(str(ds)) if not isinstance(ds, _dt.date) else ds
@@ -343,11 +347,8 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
                          ("l_currency_transaction", link_currency_transaction_candidates),
                          ("l_countries_currencies", link_countries_currencies_candidates)):
             new[name] = _new_keys(fn(t_in_hub), vault[name], name, ds)
-        codes = now("h_currencies", ["currency_code"])
-        c_in_hub = (c.join(codes, "currency_code", "left_semi")
-                    .join(codes.withColumnRenamed("currency_code", "currency_code_with"),
-                          "currency_code_with", "left_semi"))
-        new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(c_in_hub), vault["l_currency_ratio"],
+        rates = rates_in_hub if rates_in_hub is not None else rates_in_hub_after(c, t, vault["h_currencies"])
+        new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(rates), vault["l_currency_ratio"],
                                             "l_currency_ratio", ds)
     if "satellites" in groups:
         t_in_hub = tx_in_hub if tx_in_hub is not None else in_hub_after(t, vault["h_transactions"])

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ..operators import mart as M
 from ..operators import upsert as U
 from ..operators import vault as V
-from ..schemas import LAYOUT, SATELLITES, STG_CURRENCIES, STG_TRANSACTIONS, VAULT
+from ..schemas import HUBS, LAYOUT, SATELLITES, STG_CURRENCIES, STG_TRANSACTIONS, VAULT
 from ..sources import staging
 from .ledger import Ledger
 from .storage import clear_days, exists, remove, write_read
@@ -36,7 +36,7 @@ from .vault_store import PARALLEL_WRITES, VaultStore
 
 STG_SCHEMAS = {"transactions": STG_TRANSACTIONS, "currencies": STG_CURRENCIES}
 #: Days that a replay stages, and merges into the mart, at once.
-CHUNK = 10
+CHUNK = 15
 DATE_COLUMNS = {"transactions": "transaction_dt", "currencies": "date_update"}
 
 
@@ -104,35 +104,90 @@ def _run_time(load_dt) -> _dt.datetime:
     return load_dt or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None, replace_slice: bool = False,
-                   done=lambda name: None, skip: frozenset[str] | set[str] = frozenset()) -> None:
-    """One daily vault run: hubs, then links and satellites, in the reference's statement order.
+class VaultDay:
+    """One daily vault run: first the hubs, then links and satellites, in the reference's statement order.
 
-    The day's staging rows whose operation is in the hub are computed beside the hubs and stored
-    for the links and the satellite; tables that don't read each other are written side by side.
-    ``replace_slice`` makes a repeated load of the day give the same satellites (the
-    reference's own re-run adds them again).  Tables in ``skip`` are left as they are; ``done``
-    hears of each table written.
+    The day's staging rows whose operation, or whose currencies, are in their hub are computed beside
+    the hubs and stored for the links and satellites, which then need no hub; tables that don't
+    read each other are written side by side.  Hubs only depend on hubs and links on links, so a
+    replay may load the next day's hubs while a day's links are written.
+
+    ``replace_slice`` makes a repeated load of the day give the same satellites (the reference's
+    own re-run adds them again).  ``as_of_day`` lets the day see hub rows of its own and earlier
+    days only, as when it first ran.  Tables in ``skip`` are left as they are; ``done`` hears of
+    each table written.
     """
-    ds, load_dt = _day(ds), _run_time(load_dt)
-    store = VaultStore(spark, root)
-    tx = read_staging(spark, root, "transactions", ds)
-    cur = read_staging(spark, root, "currencies", ds)
-    work = f"{root}/_work/{uuid.uuid4().hex[:12]}"
-    vault = store.read()
-    left = lambda tables: {n: t for n, t in tables.items() if n not in skip}
-    try:
-        with ThreadPoolExecutor(max_workers=1) as beside:
-            found = beside.submit(write_read, V.in_hub_after(V.prepare_transactions(tx).where(F.col("day") == F.lit(ds)), vault["h_transactions"]), work)
-            store.append_all(left(V.load_day(tx, cur, vault, ds, load_dt, phase="hubs")), done)
-            in_hub = found.result()
-        rows = left(V.load_day(tx, cur, store.read(), ds, load_dt, phase=("links", "satellites"), tx_in_hub=in_hub))
-        for name in SATELLITES if replace_slice else ():
+
+    def __init__(self, spark: SparkSession, root: str, ds, load_dt=None, replace_slice: bool = False, as_of_day: bool = False,
+                 done=lambda name: None, skip: frozenset[str] | set[str] = frozenset()) -> None:
+        self.spark, self.root, self.ds, self.load_dt = spark, root, _day(ds), _run_time(load_dt)
+        self.replace_slice, self.as_of_day, self.done, self.skip = replace_slice, as_of_day, done, skip
+        self.store, self.work = VaultStore(spark, root), f"{root}/_work/{uuid.uuid4().hex[:12]}"
+        self.tx, self.cur = (read_staging(spark, root, t, self.ds) for t in ("transactions", "currencies"))
+
+    def _left(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return {n: t for n, t in tables.items() if n not in self.skip}
+
+    def hubs(self) -> None:
+        vault, day = self.store.read(), F.col("day") == F.lit(self.ds)
+        known = {h: df.where(F.col("ds") <= F.lit(self.ds)) if self.as_of_day else df for h, df in vault.items() if h in HUBS}
+        t = V.prepare_transactions(self.tx).where(day)
+        c = V.prepare_currencies(self.cur).where(day)
+        with ThreadPoolExecutor(max_workers=2) as beside:
+            found = [beside.submit(write_read, V.in_hub_after(t, known["h_transactions"]), f"{self.work}/transactions"),
+                     beside.submit(write_read, V.rates_in_hub_after(c, t, known["h_currencies"]), f"{self.work}/currencies")]
+            self.store.append_all(self._left(V.load_day(self.tx, self.cur, vault, self.ds, self.load_dt, phase="hubs")), self.done)
+            self.tx_in_hub, self.rates_in_hub = (f.result() for f in found)
+
+    def links_and_satellites(self) -> None:
+        rows = self._left(V.load_day(self.tx, self.cur, self.store.read(), self.ds, self.load_dt, phase=("links", "satellites"),
+                                     tx_in_hub=self.tx_in_hub, rates_in_hub=self.rates_in_hub))
+        for name in SATELLITES if self.replace_slice else ():
             if name in rows:
-                store.clear(name, [ds])
-        store.append_all(rows, done)
+                self.store.clear(name, [self.ds])
+        self.store.append_all(rows, self.done)
+
+    def close(self) -> None:
+        remove(self.spark, self.work)
+
+
+def load_vault_day(spark: SparkSession, root: str, ds, load_dt=None, replace_slice: bool = False) -> None:
+    """The daily vault run of one day (see :class:`VaultDay`)."""
+    run = VaultDay(spark, root, ds, load_dt, replace_slice)
+    try:
+        run.hubs()
+        run.links_and_satellites()
     finally:
-        remove(spark, work)
+        run.close()
+
+
+def load_vault_days(spark: SparkSession, root: str, days: list[_dt.date], ledger: Ledger, load_dt=None) -> None:
+    """The daily runs of some days in order, a day's links beside the next day's hubs; what the ledger has is left out."""
+    runs, failures = [], []
+
+    def second_half(run: VaultDay) -> None:
+        if not failures:       # links of a day never come before those of the day before
+            try:
+                run.links_and_satellites()
+            except BaseException as e:
+                failures.append(e)
+                raise
+
+    try:
+        with ThreadPoolExecutor(max_workers=1) as second:
+            behind = []
+            for ds in days:
+                if failures:
+                    break
+                runs.append(VaultDay(spark, root, ds, load_dt, replace_slice=True, as_of_day=True, skip=ledger.done(ds),
+                                     done=lambda name, ds=ds: ledger.mark(ds, name)))
+                runs[-1].hubs()
+                behind.append(second.submit(second_half, runs[-1]))
+        for f in behind:
+            f.result()
+    finally:
+        for run in runs:
+            run.close()
 
 
 def load_mart_days(spark: SparkSession, root: str, start, end, rate_mode: str = "reference") -> None:
@@ -161,9 +216,9 @@ def run_range(spark: SparkSession, root: str, sources: dict[str, DataFrame], sta
               rate_mode: str = "reference", chunk: int = CHUNK) -> None:
     """Replay days in order (catch-up), going on where an earlier run of the same root stopped.
 
-    Days are taken in chunks: a chunk is staged at once, its vault days are loaded one after the
-    other, as each tests its keys against the days before, and its mart days are merged at once,
-    as they only read what was loaded by their own day.  The ledger holds what is done; steps
+    Days are taken in chunks: a chunk is staged at once, its vault days are loaded in order, as
+    each tests its keys against the days before, and its mart days are merged at once, as they only
+    read what was loaded by their own day.  The ledger holds what is done; steps
     that a broken run left unmarked are done again and give what one unbroken run gives.
     """
     ledger, load_dt, days = Ledger(spark, root, uuid.uuid4().hex[:12]), _run_time(load_dt), days_between(start, end)
@@ -174,9 +229,7 @@ def run_range(spark: SparkSession, root: str, sources: dict[str, DataFrame], sta
             stage_days(spark, root, sources, new, load_dt, replace_slice=True)
             for ds in new:
                 ledger.mark(ds, "stage")
-        for ds in part:
-            if not set(VAULT) <= known[ds]:
-                load_vault_day(spark, root, ds, load_dt, replace_slice=True, skip=known[ds], done=lambda name, ds=ds: ledger.mark(ds, name))
+        load_vault_days(spark, root, [ds for ds in part if not set(VAULT) <= known[ds]], ledger, load_dt)
         if left := [ds for ds in part if "mart" not in known[ds]]:
             load_mart_days(spark, root, left[0], left[-1], rate_mode)
             for ds in left:
