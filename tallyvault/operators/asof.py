@@ -1,67 +1,54 @@
 """As-of lookup: for each probe, the latest rate at or before its time.
 
-Spark has no as-of join, and the literal form (join every earlier rate,
-keep the newest) fans out by the whole rate history.  Here time is cut
-into buckets (a day by default):
-
-* same bucket: rates of the probe's bucket become intervals
-  ``[ts, next_ts)`` and the probe joins the one interval containing its
-  time (equi-join on key + bucket, range as a residual condition);
-* earlier buckets: per (key, bucket) only the last rate is kept, and a
-  running max over the bucket sequence of each key gives "latest rate
-  before this bucket".  That window sees at most two rows per calendar
-  bucket and key, however many rates or probes exist.
-
-Ties on the rate time are broken toward the larger value.  Both joins are
-on (key, bucket), so the probe side is shuffled once; a hot bucket on the
-probe side is split by AQE's skew-join handling (the other side holds one
-interval list per key).
+Spark has no as-of join; the literal form (join every earlier rate, keep the newest) fans out by
+the rate history, and one over time buckets still compares every probe with every rate of a busy
+bucket.  Here probes and rates become one stream, range-partitioned by (keys, time, rates first),
+so a busy key or moment is cut into as many pieces as its rows need:
+
+* inside a piece a running ``last`` over (key, time) gives each probe the newest rate before it;
+* a probe before its key's first rate in the piece takes the newest rate of the pieces before: one
+  row per piece and key, a table no longer than the pieces and the keys together.
+
+No rate is ever paired with a probe that does not get it.  The pieces are fixed by storing the
+stream once: range bounds are sampled, and two samplings need not agree.  Ties on the rate time
+are broken toward the larger value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
+import uuid
 
-def _bucket(col: Column, unit: str) -> Column:
-    return F.to_date(col) if unit == "day" else F.date_trunc(unit, col)
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def asof_lookup(probes: DataFrame, rates: DataFrame, keys: list[str], probe_time: str,
-                rate_time: str, value: str, out: str, bucket: str = "day") -> DataFrame:
-    """``probes`` plus ``out`` = struct(ts, value) of the latest rate with
+                rate_time: str, value: str, out: str) -> DataFrame:
+    """``probes`` plus ``out`` = struct(_ts, _v) of the latest rate with
     the same ``keys`` and ``rate_time <= probe_time`` (null when none)."""
-    r = (rates.select(*keys, F.col(rate_time).alias("_ts"), F.col(value).alias("_v"))
-         .groupBy(*keys, "_ts").agg(F.max("_v").alias("_v"))            # tie -> larger value
-         .withColumn("_b", _bucket(F.col("_ts"), bucket)))
-
-    # Same-bucket intervals [ts, next_ts).
-    nxt = F.lead("_ts").over(Window.partitionBy(*keys, "_b").orderBy("_ts"))
-    intervals = r.withColumn("_next", nxt).select(
-        *[F.col(k).alias(f"_ik_{k}") for k in keys], F.col("_b").alias("_ib"),
-        F.col("_ts").alias("_its"), F.col("_next").alias("_inext"), F.col("_v").alias("_iv"))
-
-    # Latest rate of every earlier bucket, per (key, probe bucket).
-    last_per_bucket = r.groupBy(*keys, "_b").agg(F.max(F.struct("_ts", "_v")).alias("_last"))
-    probe_buckets = probes.select(*keys, _bucket(F.col(probe_time), bucket).alias("_b")).distinct()
-    seq = (probe_buckets.select(*keys, "_b", F.lit(None).cast(last_per_bucket.schema["_last"].dataType)
-                                .alias("_last"), F.lit(0).alias("_after"))
-           .unionByName(last_per_bucket.withColumn("_after", F.lit(1))))
-    w = (Window.partitionBy(*keys).orderBy("_b", "_after")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    prev = (seq.withColumn("_prev", F.max("_last").over(w)).where(F.col("_after") == 0)
-            .select(*[F.col(k).alias(f"_pk_{k}") for k in keys], F.col("_b").alias("_pb"), "_prev"))
-
-    p = probes.withColumn("_b", _bucket(F.col(probe_time), bucket))
-    same_cond = [p[k] == intervals[f"_ik_{k}"] for k in keys]
-    same_cond += [p["_b"] == intervals["_ib"], intervals["_its"] <= p[probe_time],
-                  intervals["_inext"].isNull() | (p[probe_time] < intervals["_inext"])]
-    joined = p.join(intervals, same_cond, "left")
-    prev_cond = [joined[k] == prev[f"_pk_{k}"] for k in keys] + [joined["_b"] == prev["_pb"]]
-    joined = joined.join(prev, prev_cond, "left")
-    same = F.when(F.col("_its").isNotNull(), F.struct(F.col("_its").alias("_ts"), F.col("_iv").alias("_v")))
-    best = F.greatest(same, F.col("_prev"))
-    drop = [c for c in joined.columns if c.startswith(("_ik_", "_pk_"))] + \
-        ["_b", "_ib", "_its", "_inext", "_iv", "_pb", "_prev"]
-    return joined.withColumn(out, best).drop(*drop)
+    from ..plans.storage import scratch_path, write_read
+
+    spark = probes.sparkSession
+    r = (rates.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*keys, rate_time)))
+         .groupBy(*keys, F.col(rate_time).alias("_ts")).agg(F.max(value).alias("_v"))            # tie -> larger value
+         .select(*keys, "_ts", F.lit(0).alias("_side"), F.struct("_ts", "_v").alias("_rate")))
+    p = probes.select(*keys, F.col(probe_time).alias("_ts"), F.lit(1).alias("_side"), F.struct(*probes.columns).alias("_row"))
+    stream = r.unionByName(p, allowMissingColumns=True)
+    # equal keys and times may be cut apart too: their rows are spread by what else is in them
+    stream = stream.withColumn("_spread", F.xxhash64("_row"))
+    pieces = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = write_read(stream.repartitionByRange(pieces, *keys, "_ts", "_side", "_spread").withColumn("_piece", F.spark_partition_id()).drop("_spread"),
+                        scratch_path(spark, "asof", uuid.uuid4().hex[:12]))
+
+    so_far = Window.partitionBy("_piece", *keys).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = placed.withColumn("_near", F.last("_rate", ignorenulls=True).over(so_far)).where(F.col("_side") == 1)
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (placed.groupBy("_piece", *keys).agg(F.max("_rate").alias("_end"))
+               .withColumn("_carried", F.max("_end").over(before))
+               .where(F.col("_carried").isNotNull() & F.col(keys[0]).isNotNull())
+               .select(F.col("_piece").alias("_c_piece"), *[F.col(k).alias(f"_c_{k}") for k in keys], "_carried"))
+    same = F.col("_piece") == F.col("_c_piece")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_c_{k}"))
+    return (swept.join(carried, same, "left")
+            .select("_row.*", F.coalesce("_near", "_carried").alias(out)))

@@ -19,7 +19,7 @@ at once by keying everything on the transaction's own day):
 * ``cnt_transactions`` is the summed volume, not a count.
 
 No cartesian product is built: the dollar set per day is an equi-join on
-the day, and the rate lookup is the bucketed as-of of ``asof.py``.
+the day, and the rate lookup is the sorted sweep of ``asof.py``.
 """
 
 from __future__ import annotations
@@ -146,12 +146,12 @@ def dollar_by_day(vault: dict[str, DataFrame], days: DataFrame, ds_to=None) -> D
                     "currency_code_dollar", "hk_currency_code_dollar")
 
 
-def reference_rates(vault: dict[str, DataFrame], ds_from=None, ds_to=None, bucket: str = "day") -> DataFrame:
+def reference_rates(vault: dict[str, DataFrame], ds_from=None, ds_to=None) -> DataFrame:
     """(day, currency_code, rate, missing): the rate the reference's window
     gives each currency-day, and whether it fell back to 1 for want of a
     rate (for a currency that is not itself a dollar currency that day)."""
     _rows, sums, dollars = _day_currency_frames(vault, ds_from, ds_to)
-    r = _reference_rates(sums, dollars, rate_history(vault), bucket, keep_missing=True)
+    r = _reference_rates(sums, dollars, rate_history(vault), keep_missing=True)
     is_dollar = dollars.select("day", F.col("currency_code_dollar").alias("currency_code")).distinct() \
         .withColumn("_is_dollar", F.lit(True))
     return (r.join(is_dollar, ["day", "currency_code"], "left")
@@ -170,17 +170,19 @@ def _day_currency_frames(vault: dict[str, DataFrame], ds_from=None, ds_to=None):
     return rows, sums, dollars
 
 
-def _reference_rates(sums: DataFrame, dollars: DataFrame, rates: DataFrame, bucket: str,
+def _reference_rates(sums: DataFrame, dollars: DataFrame, rates: DataFrame,
                      keep_missing: bool = False) -> DataFrame:
     """(day, currency_code) -> rate, as the reference's descending window picks it."""
     probes = (sums.select("day", "currency_code", F.col("hk_currency_code").alias("hk_currency_from"), "mn", "mx")
               .join(dollars.select("day", F.col("hk_currency_code_dollar").alias("hk_currency_to")), "day"))
     keys = ["hk_currency_from", "hk_currency_to"]
-    looked = asof_lookup(probes, rates, keys, "mn", "date_update", "currency_with_div", "r_first", bucket)
-    looked = asof_lookup(looked, rates, keys, "mx", "date_update", "currency_with_div", "r_last", bucket)
+    # the first and the last moment of a day are looked up in one sweep
+    moments = F.array(F.struct(F.col("mn").alias("t"), F.lit(True).alias("opens")), F.struct(F.col("mx").alias("t"), F.lit(False).alias("opens")))
+    both = probes.select("day", "currency_code", *keys, F.explode(moments).alias("x")).select("day", "currency_code", *keys, "x.t", "x.opens")
+    looked = asof_lookup(both, rates, keys, "t", "date_update", "currency_with_div", "r")
     per = looked.groupBy("day", "currency_code").agg(
-        F.max(F.col("r_first").isNull().cast("int")).alias("missing"),
-        F.max("r_last").alias("best"))
+        F.max((F.col("opens") & F.col("r").isNull()).cast("int")).alias("missing"),
+        F.max(F.when(~F.col("opens"), F.col("r"))).alias("best"))
     out = per.select("day", "currency_code",
                      F.when(F.col("missing") == 1, one_rate())
                      .otherwise(F.col("best._v")).alias("rate"), "missing")
@@ -199,27 +201,25 @@ def _with_dollars(rows: DataFrame, sums: DataFrame, dollars: DataFrame) -> DataF
     return rows.join(pairs, ["day", "currency_code"])
 
 
-def join_result(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode: str = "reference",
-                bucket: str = "day") -> DataFrame:
+def join_result(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode: str = "reference") -> DataFrame:
     """M5: the reference's ``join_result`` rows (one per row and dollar code)."""
     rows, sums, dollars = _day_currency_frames(vault, ds_from, ds_to)
     rates = rate_history(vault)
     with_d = _with_dollars(rows, sums, dollars)
     if rate_mode == "reference":
-        rate = _reference_rates(sums, dollars, rates, bucket)
+        rate = _reference_rates(sums, dollars, rates)
         out = with_d.join(rate, ["day", "currency_code"])
     else:
         out = asof_lookup(with_d.withColumnRenamed("hk_currency_code", "hk_currency_from")
                           .withColumnRenamed("hk_currency_code_dollar", "hk_currency_to"),
                           rates, ["hk_currency_from", "hk_currency_to"], "transaction_dt",
-                          "date_update", "currency_with_div", "r", bucket) \
+                          "date_update", "currency_with_div", "r") \
             .withColumn("rate", scale_rate(F.col("r._v")))
     return out.select("hk_operation_id", "amount", (F.col("amount") * F.col("rate")).alias("amount_in_dollar"),
                       "transaction_dt", "currency_code", "account", "currency_code_dollar")
 
 
-def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode: str = "reference",
-                   bucket: str = "day") -> DataFrame:
+def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_mode: str = "reference") -> DataFrame:
     """M6: one row per (day, currency) with the four measures."""
     if rate_mode not in RATE_MODES:
         raise ValueError(f"rate_mode must be one of {RATE_MODES}")
@@ -230,7 +230,7 @@ def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_m
         # The rate is constant per (day, currency), so it factors out of the
         # sum; every row counts k times (once per dollar code).
         k = dollars.groupBy("day").agg(F.countDistinct("currency_code_dollar").alias("k"))
-        rate = _reference_rates(sums, dollars, rates, bucket)
+        rate = _reference_rates(sums, dollars, rates)
         m = sums.join(k, "day").join(rate, ["day", "currency_code"]).select(
             "day", "currency_code", "n",
             (F.col("s") * F.col("k")).alias("vol"),
@@ -240,7 +240,7 @@ def global_metrics(vault: dict[str, DataFrame], ds_from=None, ds_to=None, rate_m
         looked = asof_lookup(with_d.withColumnRenamed("hk_currency_code", "hk_currency_from")
                              .withColumnRenamed("hk_currency_code_dollar", "hk_currency_to"),
                              rates, ["hk_currency_from", "hk_currency_to"], "transaction_dt",
-                             "date_update", "currency_with_div", "r", bucket)
+                             "date_update", "currency_with_div", "r")
         rate = scale_rate(F.col("r._v"))
         m = looked.groupBy("day", "currency_code").agg(
             F.countDistinct("account").alias("n"),
