@@ -7,12 +7,13 @@
    batches to the task of their hash range, which says which of them stand in two documents.
    Within a batch an anchor is told once however many documents have it.
 3. Shards: the words around each shared anchor, as far as windows with this anchor reach, go
-   to the shard of the anchor.  A shard builds a compressed FM-index over its different
+   to the shard of the anchor: equal stretches once, with the least and the greatest document
+   that has them, told apart by 128-bit marks.  A shard builds a compressed FM-index over its
    stretches and streams them through it by backward search; the interval of a window gives
-   the first document that has it.  An anchor with more than ``HOT_BYTES`` of stretches goes
-   to no shard: its different stretches are joined first, then the windows in them by 128-bit
-   digests, with map-side combining, and the least document returns to the rows by joins.
-4. The reported intervals return to the documents and the words in them go.
+   the first document that has it.  The stretches of an anchor with more than ``HOT_BYTES`` of
+   different ones fit no shard; their windows are combined map-side by 128-bit digests instead.
+4. What is found returns to the rows of the stretches by anchor and mark, and the words in the
+   intervals go.
 
 Defined results: a null text has no words; rows that repeat a doc_id are never repeats of each
 other; a null doc_id counts as larger than any other; an empty table gives an empty one.
@@ -37,7 +38,7 @@ from .shingles import windows, word_hashes
 WINDOW, ANCHOR = 13, 7
 #: Anchors held by a task before it sends them; words of different stretches in one index.
 HELD, INDEXED = 1_000_000, 1_000_000
-#: Bytes of stretches from which an anchor's are dealt out by their content; other anchors' go to one task each.
+#: Bytes of different stretches from which an anchor's are dealt out by their content; other anchors' go to one task each.
 HOT_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 #: Bytes of an anchor's hash that are sent; a clash only makes a stretch be looked at in vain.
@@ -204,46 +205,49 @@ def first_owners(texts: list[list[bytes]], owners: np.ndarray, window: int = WIN
     return least, starts
 
 
-def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
-    """(row_id, begin, end) of the words that windows with an earlier owner cover, for rows with whole anchors."""
-    which, names = pd.factorize(rows["words"])
-    owner = rows["owner"].to_numpy(np.int64)
-    least_owner = np.full(len(names), LAST)
-    np.minimum.at(least_owner, which, owner)
-    least, starts = first_owners([w.split(b" ") for w in names], least_owner)
-    out = []
-    first, row_id = rows["first"].to_numpy(np.int64), rows["row_id"].to_numpy(np.int64)
-    counts = np.diff(starts)[which]
-    at = np.repeat(starts[:-1][which] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+def _told(rows: pd.DataFrame) -> pd.DataFrame:
+    """(key, mark, at, holder) of the windows of different stretches that some owner has before another."""
+    least, starts = first_owners([w.split(b" ") for w in rows["words"]], rows["least"].to_numpy(np.int64))
+    counts = np.diff(starts)
     line = np.repeat(np.arange(len(rows)), counts)
-    gone = np.flatnonzero(least[at] < owner[line])
-    if not len(gone):
-        return pd.DataFrame({"row_id": [], "begin": [], "end": []}, dtype="int64")
-    place = first[line] + at - starts[:-1][which][line]
-    line, place = line[gone], place[gone]
-    new = np.concatenate([[True], (line[1:] != line[:-1]) | (place[1:] != place[:-1] + 1)])
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(gone)) - 1
-    return pd.DataFrame({"row_id": row_id[line[begin]], "begin": place[begin], "end": place[end] + WINDOW})
+    known = np.flatnonzero(least < rows["most"].to_numpy(np.int64)[line])
+    line = line[known]
+    return pd.DataFrame({"key": rows["key"].to_numpy(np.int64)[line], "mark": rows["mark"].to_numpy()[line],
+                         "at": (known - starts[:-1][line]).astype(np.int32), "holder": least[known]})
 
 
-def hot_anchors(parts: DataFrame) -> DataFrame:
-    """(h_key, alone) of the anchors with more than ``HOT_BYTES`` of stretches; no more than there are such parts of the input."""
-    return (parts.groupBy(F.col("key").alias("h_key"))
-            .agg(F.sum(F.octet_length("words")).alias("size"), (F.min("owner") == F.max("owner")).alias("alone"))
-            .where(F.col("size") > HOT_BYTES).select("h_key", "alone"))
+def different(parts: DataFrame) -> DataFrame:
+    """(key, mark, words, least, most): each anchor's different stretches with their least and greatest owner.
+
+    Equal stretches meet before they are shuffled, so a passage that a third of the documents hold
+    is a row per task from here on.
+    """
+    return parts.groupBy("key", "mark", "words").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
+
+
+def hot_anchors(each: DataFrame) -> DataFrame:
+    """The anchors with more than ``HOT_BYTES`` of different stretches."""
+    return each.groupBy(F.col("key").alias("h_key")).agg(F.sum(F.octet_length("words")).alias("size")).where(F.col("size") > HOT_BYTES).select("h_key")
 
 
 def repeated_intervals(parts: DataFrame) -> DataFrame:
     """(row_id, begin, end): word intervals to remove."""
-    hot = stored(hot_anchors(parts), "hot")
-    same = F.col("key") == F.col("h_key")
-    cold = sharded_intervals(parts.join(F.broadcast(hot), same, "left_anti"))
-    return cold.unionByName(dealt_intervals(parts.join(F.broadcast(hot.where("not alone")), same, "left_semi")))
+    rows = parts.withColumn("mark", F.unhex(F.md5("words")))
+    each = stored(different(rows), "different")
+    hot, same = stored(hot_anchors(each), "hot"), F.col("key") == F.col("h_key")
+    found = sharded_intervals(each.join(hot, same, "left_anti")).unionByName(dealt_intervals(each.join(hot, same, "left_semi")))
+    found = found.groupBy(F.col("key").alias("t_key"), F.col("mark").alias("t_mark")).agg(F.collect_list(F.struct("at", "holder")).alias("found"))
+    return (rows.select("key", "mark", "owner", "row_id", "first")
+            .join(found, (F.col("key") == F.col("t_key")) & (F.col("mark") == F.col("t_mark")))
+            .select("row_id", "owner", "first", F.explode("found").alias("x")).where("x.holder < owner")
+            .select("row_id", (F.col("first") + F.col("x.at")).alias("begin"), (F.col("first") + F.col("x.at") + WINDOW).alias("end")))
 
 
-def dealt_intervals(parts: DataFrame) -> DataFrame:
-    """(row_id, begin, end) from anchors of any size: no task needs all rows of an anchor, a stretch or a window."""
+FOUND = "key long, mark binary, at int, holder long"
+
+
+def dealt_intervals(each: DataFrame) -> DataFrame:
+    """(key, mark, at, holder) from anchors of any size: no task needs all stretches of an anchor, or of a window."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: dict[str, list] = {"key": [], "mark": [], "least": [], "most": [], "at": [], "window": []}
@@ -254,20 +258,13 @@ def dealt_intervals(parts: DataFrame) -> DataFrame:
                         out[name].append(value)
             yield pd.DataFrame(out)
 
-    rows = parts.withColumn("mark", F.xxhash64("words"))
-    each = rows.groupBy("key", "mark", "words").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
-    each = stored(each.mapInPandas(run, "key long, mark long, least long, most long, at int, window binary"), "windows")
-    first = each.groupBy(F.col("window").alias("f_window")).agg(F.min("least").alias("holder"))
-    told = (each.join(first, F.col("window") == F.col("f_window")).where("holder < most")
-            .groupBy(F.col("key").alias("t_key"), F.col("mark").alias("t_mark")).agg(F.collect_list(F.struct("at", "holder")).alias("found")))
-    return (rows.select("key", "mark", "owner", "row_id", "first")
-            .join(told, (F.col("key") == F.col("t_key")) & (F.col("mark") == F.col("t_mark")))
-            .select("row_id", "owner", "first", F.explode("found").alias("x")).where("x.holder < owner")
-            .select("row_id", (F.col("first") + F.col("x.at")).alias("begin"), (F.col("first") + F.col("x.at") + WINDOW).alias("end")))
+    windows_ = stored(each.mapInPandas(run, "key long, mark binary, least long, most long, at int, window binary"), "windows")
+    first = windows_.groupBy(F.col("window").alias("f_window")).agg(F.min("least").alias("holder"))
+    return (windows_.join(first, F.col("window") == F.col("f_window")).where("holder < most").select("key", "mark", "at", "holder"))
 
 
-def sharded_intervals(parts: DataFrame) -> DataFrame:
-    """(row_id, begin, end) from shards of whole anchors."""
+def sharded_intervals(each: DataFrame) -> DataFrame:
+    """(key, mark, at, holder) from shards of whole anchors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, size = [], 0
         for batch in batches:
@@ -278,21 +275,25 @@ def sharded_intervals(parts: DataFrame) -> DataFrame:
             rows = pd.concat(rest, ignore_index=True)
             last = rows["key"] == rows["key"].iloc[-1]  # its rows may go on in the next batch
             if not last.all():
-                yield _repeats(_met_twice(rows[~last]))
+                yield _told(_met_twice(rows[~last]))
             rest = [rows[last]]
             size = int(rows["words"][last].str.len().sum()) // 6
-            size %= INDEXED  # an anchor goes on; first_owners cuts it into several indexes
         if rest:
-            yield _repeats(_met_twice(pd.concat(rest, ignore_index=True)))
+            yield _told(_met_twice(pd.concat(rest, ignore_index=True)))
 
-    n = shuffle_partitions(parts.sparkSession)
-    return parts.repartition(n, "key").sortWithinPartitions("key").mapInPandas(run, "row_id long, begin long, end long")
+    n = shuffle_partitions(each.sparkSession)
+    return each.repartition(n, "key").sortWithinPartitions("key").mapInPandas(run, FOUND)
 
 
 def _met_twice(rows: pd.DataFrame) -> pd.DataFrame:
-    """Without the anchors that only one owner has."""
-    by = rows.groupby("key")["owner"]
-    return rows[(by.transform("min") != by.transform("max")).to_numpy()].reset_index(drop=True) if len(rows) else rows
+    """Without the anchors that only one owner has; ``rows`` stand in the order of their keys."""
+    if not len(rows):
+        return rows
+    key = rows["key"].to_numpy(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    least = np.minimum.reduceat(rows["least"].to_numpy(np.int64), start)
+    most = np.maximum.reduceat(rows["most"].to_numpy(np.int64), start)
+    return rows[np.repeat(least != most, np.diff(np.append(start, len(key))))].reset_index(drop=True)
 
 
 def _kept_words(words: list[bytes], begins, ends) -> list[bytes]:
