@@ -64,19 +64,33 @@ class FMIndex:
             at = np.where(one, level.zeros + b, at - b)
         return at - start
 
-    def intervals(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The suffix interval [low, high) of every row of ``patterns`` (symbols under 1 are in no text)."""
-        low = np.zeros(len(patterns), np.int64)
-        high = np.full(len(patterns), len(self.suffixes), np.int64)
+    def intervals(self, patterns: np.ndarray, own: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The suffix interval [low, high) of every row of ``patterns`` (symbols under 1 are in no text), and
+        which searches stopped early.
+
+        Patterns that fail leave the search at once.  With ``own`` the patterns are taken from the
+        indexed texts, and a search stops when one place is left: it is the pattern's own.  The
+        interval then holds that place, a few symbols into the pattern.
+        """
+        n = len(patterns)
+        low, high, alone = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+        live, a, b = np.arange(n), np.zeros(n, np.int64), np.full(n, len(self.suffixes), np.int64)
         known = len(self.before) - 2
         for k in range(patterns.shape[1] - 1, -1, -1):
-            c = patterns[:, k]
-            ok = (c > 0) & (c <= known) & (low < high)
-            c = np.where(ok, c, 0)
-            both = self.rank(np.concatenate([c, c]), np.concatenate([low, high]))
-            low = np.where(ok, self.before[c] + both[:len(c)], 0)
-            high = np.where(ok, self.before[c] + both[len(c):], 0)
-        return low, high
+            c = patterns[live, k]
+            ok = (c > 0) & (c <= known)
+            if not ok.all():
+                live, a, b, c = live[ok], a[ok], b[ok], c[ok]
+            both = self.rank(np.concatenate([c, c]), np.concatenate([a, b]))
+            a, b = self.before[c] + both[:len(c)], self.before[c] + both[len(c):]
+            stays = a + 1 < b if own and k else a < b
+            if not stays.all():
+                if own and k:
+                    single = a + 1 == b
+                    low[live[single]], high[live[single]], alone[live[single]] = a[single], b[single], True
+                live, a, b = live[stays], a[stays], b[stays]
+        low[live], high[live] = a, b
+        return low, high, alone
 
 
 def least_in(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:

@@ -172,9 +172,7 @@ def stretches(docs: DataFrame, live: DataFrame) -> DataFrame:
 
 def _symbols(texts: list[list[bytes]], known: dict[bytes, int], add: bool) -> list[np.ndarray]:
     if add:
-        for t in texts:
-            for w in t:
-                known.setdefault(w, len(known) + 1)
+        return [np.fromiter((known.setdefault(w, len(known) + 1) for w in t), np.int64, len(t)) for t in texts]
     return [np.fromiter((known.get(w, 0) for w in t), np.int64, len(t)) for t in texts]
 
 
@@ -200,7 +198,9 @@ def first_owners(texts: list[list[bytes]], owners: np.ndarray, window: int = WIN
             if not query:
                 continue
             patterns = np.concatenate([np.lib.stride_tricks.sliding_window_view(t, window) for t in query])
-            found = least_in(holder, *index.intervals(patterns))
+            low, high, alone = index.intervals(patterns, own=(c, d) == (a, b))
+            found = least_in(holder, np.where(alone, 0, low), np.where(alone, 0, high))
+            found[alone] = holder[low[alone]]
             least[starts[c]:starts[d]] = np.minimum(least[starts[c]:starts[d]], found)
     return least, starts
 
