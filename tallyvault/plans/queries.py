@@ -20,6 +20,7 @@ from ..functions.money import cents_to_units, half_up_ratio, round_money, scale_
 from ..operators import mart as M
 from ..operators import upsert as U
 from ..operators import quality as Q
+from ..operators import senders as S
 from ..operators import vault as V
 from ..schemas import VAULT, VAULT_ORDER
 from ..sources import fixture, staging
@@ -179,6 +180,19 @@ def q_replay_ledger(spark, sf_dir):
     return P.Ledger(spark, replayed(spark, sf_dir)).rows().groupBy("ds").agg(F.count(F.lit(1)).alias("steps"), F.countDistinct("step").alias("different"))
 
 
+def q_senders_by_period(spark, sf_dir):
+    """Distinct senders of every day, month and year from daily bitmaps; one day comes late, and another twice."""
+    vault = stored_vault(spark, sf_dir)
+    root = scratch_path(spark, "senders", hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
+    remove(spark, root)
+    ends = vault["s_transactions"].agg(F.min("ds"), F.max("ds")).first()
+    days, late = P.days_between(*ends), _dt.date.fromisoformat(SLICE_DAY)
+    index = S.SenderIndex(spark, root)
+    index.update(vault, [d for d in days if d != late])
+    index.update(vault, [late, days[0]])
+    return _union([index.report(p).select(F.lit(p).alias("period"), "period_start", "currency_code", "senders") for p in S.PERIODS])
+
+
 REPLAYED_DAYS = 2
 
 
@@ -401,6 +415,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_report": q_dq_report,
         "dq_injected": q_dq_injected,
         "backfill_equals_replay": q_backfill_equals_replay,
+        "senders_by_period": q_senders_by_period,
         "vault_replay": q_vault_replay,
         "mart_replay": q_mart_replay,
         "replay_ledger": q_replay_ledger,
