@@ -104,3 +104,29 @@ def test_jdbc_options_carry_the_day_predicate():
     assert o["partitionColumn"] == "transaction_dt" and o["numPartitions"] == "8"
     assert o["lowerBound"] < o["upperBound"]
     assert o["user"] == "u" and o["password"] == "p"
+
+
+def test_keys_are_checked_in_one_pass_and_one_shuffle(spark, scratch):
+    tx, cur = G.frames(spark)
+    v = {}
+    for name, df in V.build_vault(tx, cur).items():
+        df.write.parquet(f"{scratch}/{name}")
+        v[name] = spark.read.parquet(f"{scratch}/{name}")
+    plan = Q.quality_report(v)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2 * len(v)       # one for the rules of a row, one for all keys
+    assert plan.count("Exchange hashpartitioning(domain") <= 2 and "LeftAnti" not in plan
+
+
+def test_null_keys_refer_to_nothing(spark):
+    tx, cur = G.frames(spark)
+    v = V.build_vault(tx, cur)
+    n = v["h_currencies"].count()
+    null = F.lit(None).cast("bigint")
+    odd = dict(v)
+    odd["h_currencies"] = v["h_currencies"].unionByName(v["h_currencies"].withColumn("hk_currency_code", null))
+    odd["l_currency_ratio"] = v["l_currency_ratio"].withColumn("hk_currency_to", null)
+    bad = {(r.table_name, r.rule): r.violations for r in Q.quality_report(odd).collect()}
+    links = v["l_currency_ratio"].count()
+    assert links > 0 and bad[("l_currency_ratio", "foreign_key:hk_currency_to->h_currencies.hk_currency_code")] == links
+    assert bad[("l_currency_ratio", "foreign_key:hk_currency_from->h_currencies.hk_currency_code")] == 0
+    assert bad[("h_currencies", "primary_key:hk_currency_code")] == n - 1       # the null key's rows beyond its first
