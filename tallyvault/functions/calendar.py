@@ -11,6 +11,8 @@ usable as a compaction partition key.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +39,14 @@ def calendar_hierarchy_sql_duckdb(day: str, as_of: str, active_months: int = 3,
         f"WHEN {day} >= {y} - INTERVAL {12 * (active_years - 1)} MONTH THEN date_trunc('month', {day}) "
         f"ELSE date_trunc('year', {day}) END AS DATE)"
     )
+
+
+def calendar_period(day: _dt.date, as_of: _dt.date, active_months: int = 3, active_years: int = 2) -> tuple[_dt.date, _dt.date]:
+    """First and last day of the period that a day is kept in: itself, its month or its year."""
+    months = as_of.year * 12 + as_of.month - 1 - (active_months - 1)
+    if day >= _dt.date(months // 12, months % 12 + 1, 1):
+        return day, day
+    if day.year >= as_of.year - (active_years - 1):
+        first = day.replace(day=1)
+        return first, (first + _dt.timedelta(days=31)).replace(day=1) - _dt.timedelta(days=1)
+    return day.replace(month=1, day=1), day.replace(month=12, day=31)

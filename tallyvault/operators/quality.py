@@ -144,16 +144,21 @@ class KeyRules:
                 self.parts[child].append((d, slot, [col]))
                 self.rules.append((d, slot, child, f"foreign_key:{col}->{parent}.{pcol}"))
         self.slots = max(referring.values(), default=0)
+        wide = any(tables[t].schema[c].dataType.typeName() == "binary" for t, parts in self.parts.items() for _, _, cols in parts for c in cols)
+        self.kind = "binary" if wide else "long"
         self.width = max((len(c) for parts in self.parts.values() for _, _, c in parts), default=0)
 
     def _told(self, table: str) -> DataFrame:
         """(domain, slot, k0, k1, ...) of every row of a table and every key that it takes part in."""
-        def key(c: str):       # dates and numbers alike become longs; the columns' types are the schema's
-            kind = SCHEMAS[table][c].dataType.typeName()
-            return F.unix_date(c).cast("long") if kind == "date" else F.col(c).cast("long")
+        def key(c: str):       # dates and numbers alike become longs, and all become bytes beside keys of bytes
+            kind = self.tables[table].schema[c].dataType.typeName()
+            if kind == "binary":
+                return F.col(c)
+            number = F.unix_date(c).cast("long") if kind == "date" else F.col(c).cast("long")
+            return F.to_binary(F.hex(number), F.lit("hex")) if self.kind == "binary" else number
 
         def one(d: int, slot: int, cols: list[str]):
-            keys = [key(c) for c in cols] + [F.lit(None).cast("long")] * (self.width - len(cols))
+            keys = [key(c) for c in cols] + [F.lit(None).cast(self.kind)] * (self.width - len(cols))
             return F.struct(F.lit(d).alias("domain"), F.lit(slot).alias("slot"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
 
         return self.tables[table].select(F.explode(F.array(*[one(*p) for p in self.parts[table]])).alias("x")).select("x.*")

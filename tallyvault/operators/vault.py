@@ -25,7 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import hk
+from ..functions.keys import KeyFunction, hk
 from ..schemas import BUCKET_KEY, HUBS, LINKS, SATELLITES, VAULT, VAULT_KEYS
 
 # Status filters live in the mart; here only the bounds used
@@ -42,13 +42,13 @@ def _day(col: str) -> Column:
     return F.to_date(F.col(col))
 
 
-def prepare_transactions(tx: DataFrame) -> DataFrame:
+def prepare_transactions(tx: DataFrame, key: KeyFunction = hk) -> DataFrame:
     """Staging transactions with the derived columns every load needs."""
     return tx.select(
         "operation_id", "account_number_from", "account_number_to", "currency_code",
         F.lower("country").alias("country_name"), "status", "transaction_type", "amount",
         "transaction_dt", "load_src", _day("transaction_dt").alias("day"),
-        hk("operation_id").alias("hk_operation_id"),
+        key("operation_id").alias("hk_operation_id"),
     )
 
 
@@ -63,88 +63,89 @@ def prepare_currencies(cur: DataFrame) -> DataFrame:
 # Each returns (candidate rows with a ``day`` column) for one table, before
 # the insert-if-absent rule.  Hub-membership conditions are applied by the
 # callers because they differ between the set-based and daily forms.
+# ``key`` makes the surrogate keys; all rows of a vault need the same one.
 
-def hub_transactions_candidates(t: DataFrame) -> DataFrame:
+def hub_transactions_candidates(t: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (t.where((F.col("account_number_from") >= MIN_ACCOUNT)
                     & (F.col("account_number_to") >= MIN_RECEIVER_FOR_TX_HUB))
             .select("hk_operation_id", "operation_id", "load_src", "day"))
 
 
-def hub_countries_candidates(t: DataFrame) -> DataFrame:
+def hub_countries_candidates(t: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (t.where(F.col("country_name").isNotNull())
-            .select(hk("country_name").alias("hk_country_name"), "country_name", "load_src", "day"))
+            .select(key("country_name").alias("hk_country_name"), "country_name", "load_src", "day"))
 
 
-def hub_currencies_candidates(t: DataFrame) -> DataFrame:
+def hub_currencies_candidates(t: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (t.where(F.col("currency_code") >= MIN_CURRENCY)
-            .select(hk("currency_code").alias("hk_currency_code"), "currency_code", "load_src", "day"))
+            .select(key("currency_code").alias("hk_currency_code"), "currency_code", "load_src", "day"))
 
 
-def hub_accounts_candidates(t: DataFrame) -> DataFrame:
+def hub_accounts_candidates(t: DataFrame, key: KeyFunction = hk) -> DataFrame:
     """Senders UNION receivers (set union: duplicates collapse later)."""
     def side(c: str) -> DataFrame:
         return (t.where(F.col(c) >= MIN_ACCOUNT)
-                .select(hk(c).alias("hk_account_number"), F.col(c).alias("account_number"),
+                .select(key(c).alias("hk_account_number"), F.col(c).alias("account_number"),
                         "load_src", "day"))
     return side("account_number_from").unionByName(side("account_number_to"))
 
 
-def link_accounts_candidates(t_in_hub: DataFrame) -> DataFrame:
+def link_accounts_candidates(t_in_hub: DataFrame, key: KeyFunction = hk) -> DataFrame:
     # Both accounts pass the account hub's own filter on this very row, so
     # the hub joins of the reference can only confirm them: not repeated.
     return (t_in_hub.where((F.col("account_number_from") >= MIN_ACCOUNT)
                            & (F.col("account_number_to") >= MIN_ACCOUNT))
-            .select(hk("operation_id", "account_number_from", "account_number_to")
+            .select(key("operation_id", "account_number_from", "account_number_to")
                     .alias("hk_l_account_transaction"),
                     "hk_operation_id",
-                    hk("account_number_from").alias("hk_account_number_from"),
-                    hk("account_number_to").alias("hk_account_number_to"),
+                    key("account_number_from").alias("hk_account_number_from"),
+                    key("account_number_to").alias("hk_account_number_to"),
                     "load_src", "day"))
 
 
-def link_countries_transactions_candidates(t_in_hub: DataFrame) -> DataFrame:
+def link_countries_transactions_candidates(t_in_hub: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (t_in_hub.where(F.col("country_name").isNotNull())
-            .select(hk("operation_id", "country_name").alias("hk_countries_transactions"),
-                    hk("country_name").alias("hk_country_name"), "hk_operation_id",
+            .select(key("operation_id", "country_name").alias("hk_countries_transactions"),
+                    key("country_name").alias("hk_country_name"), "hk_operation_id",
                     "load_src", "day"))
 
 
-def link_currency_transaction_candidates(t_in_hub: DataFrame) -> DataFrame:
+def link_currency_transaction_candidates(t_in_hub: DataFrame, key: KeyFunction = hk) -> DataFrame:
     # The currency hub join of the reference keeps exactly codes >= 0.
     return (t_in_hub.where(F.col("currency_code") >= MIN_CURRENCY)
-            .select(hk("currency_code", "operation_id").alias("hk_l_currency_transaction"),
-                    hk("currency_code").alias("hk_currency_code"), "hk_operation_id",
+            .select(key("currency_code", "operation_id").alias("hk_l_currency_transaction"),
+                    key("currency_code").alias("hk_currency_code"), "hk_operation_id",
                     "load_src", "day"))
 
 
-def link_countries_currencies_candidates(t_in_hub: DataFrame) -> DataFrame:
+def link_countries_currencies_candidates(t_in_hub: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (t_in_hub.where(F.col("country_name").isNotNull()
                            & (F.col("currency_code") >= MIN_CURRENCY))
-            .select(hk("country_name", "currency_code").alias("hk_l_countries_currencies"),
-                    hk("country_name").alias("hk_country_name"),
-                    hk("currency_code").alias("hk_currency_code"),
+            .select(key("country_name", "currency_code").alias("hk_l_countries_currencies"),
+                    key("country_name").alias("hk_country_name"),
+                    key("currency_code").alias("hk_currency_code"),
                     "load_src", "day"))
 
 
-def link_currency_ratio_candidates(c_in_hub: DataFrame) -> DataFrame:
+def link_currency_ratio_candidates(c_in_hub: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return c_in_hub.select(
-        hk("currency_code", "currency_code_with").alias("hk_l_currency_ratio"),
-        hk("currency_code").alias("hk_currency_from"),
-        hk("currency_code_with").alias("hk_currency_to"),
+        key("currency_code", "currency_code_with").alias("hk_l_currency_ratio"),
+        key("currency_code").alias("hk_currency_from"),
+        key("currency_code_with").alias("hk_currency_to"),
         "load_src", "day")
 
 
-def sat_transactions_candidates(t_in_hub: DataFrame) -> DataFrame:
+def sat_transactions_candidates(t_in_hub: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (t_in_hub.where(F.col("status").isNotNull() & F.col("transaction_type").isNotNull()
                            & F.col("amount").isNotNull())
             .select("hk_operation_id", "status", "transaction_type", "amount",
                     "transaction_dt", "load_src", "day"))
 
 
-def sat_rate_candidates(c: DataFrame) -> DataFrame:
+def sat_rate_candidates(c: DataFrame, key: KeyFunction = hk) -> DataFrame:
     return (c.where(F.col("currency_with_div").isNotNull()
                     & (F.col("currency_with_div") >= MIN_RATE))
-            .select(hk("currency_code", "currency_code_with").alias("hk_l_currency_ratio"),
+            .select(key("currency_code", "currency_code_with").alias("hk_l_currency_ratio"),
                     "currency_with_div", "date_update", "load_src", "day"))
 
 
@@ -174,15 +175,15 @@ def first_loaded(cands: DataFrame, key: list[str], cluster_by: list[str] | None
 
 
 def _stamp(df: DataFrame, table: str, load_dt) -> DataFrame:
-    """Select the table's columns in schema order with load_dt filled."""
+    """Select the table's columns in schema order with load_dt filled (keys are as wide as they were made)."""
     when = "NULL" if load_dt is None else f"'{load_dt.isoformat(sep=' ')}'"
     return df.selectExpr(*[f"CAST({when} AS TIMESTAMP_NTZ) AS load_dt" if f.name == "load_dt" else
-                           f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in VAULT[table].fields])
+                           f"`{f.name}`" if f.name.startswith("hk_") else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in VAULT[table].fields])
 
 
 def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = None,
                 persist: Callable[[str, DataFrame], DataFrame] | None = None,
-                parallel: int = 4, stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                parallel: int = 4, stored: dict[str, DataFrame] | None = None, key: KeyFunction = hk) -> dict[str, DataFrame]:
     """All 11 vault tables' new rows from staging rows of any number of days.
 
     ``stored`` (optional) is what the vault holds already, outside the days
@@ -218,12 +219,12 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
         old = stored[name].select(col, F.lit(BEFORE_ALL).alias(since)).distinct()
         return rows.unionByName(old)
 
-    t = prepare_transactions(tx)
+    t = prepare_transactions(tx, key)
     c = prepare_currencies(cur)
     by_op = ["hk_operation_id"]
     out: dict[str, DataFrame] = {}
     out.update(keep_all({
-        name: new_rows(name, fn(t), cluster)
+        name: new_rows(name, fn(t, key), cluster)
         for name, fn, cluster in (("h_transactions", hub_transactions_candidates, by_op),
                                   ("h_countries", hub_countries_candidates, None),
                                   ("h_currencies", hub_currencies_candidates, None),
@@ -240,13 +241,13 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
                 .where(F.col("with_ds") <= F.col("day")).drop("with_ds"))
     phase2 = keep_all({
         "_tx_in_hub": t.join(op_first, "operation_id").where(F.col("op_ds") <= F.col("day")).drop("op_ds"),
-        "l_currency_ratio": new_rows("l_currency_ratio", link_currency_ratio_candidates(c_in_hub))})
+        "l_currency_ratio": new_rows("l_currency_ratio", link_currency_ratio_candidates(c_in_hub, key))})
     t_in_hub = phase2.pop("_tx_in_hub")
     out.update(phase2)
 
     link_first = present("l_currency_ratio", "hk_l_currency_ratio", "l_ds")
     phase3 = {
-        name: new_rows(name, fn(t_in_hub), cluster)
+        name: new_rows(name, fn(t_in_hub, key), cluster)
         for name, fn, cluster in (
             ("l_accounts_transactions", link_accounts_candidates, by_op),
             ("l_countries_transactions", link_countries_transactions_candidates, by_op),
@@ -254,9 +255,9 @@ def build_vault(tx: DataFrame, cur: DataFrame, load_dt: _dt.datetime | None = No
             # The reference also requires the operation in its hub here.
             ("l_countries_currencies", link_countries_currencies_candidates, None))}
     phase3["s_transactions"] = _stamp(
-        sat_transactions_candidates(t_in_hub).distinct().withColumnRenamed("day", "ds"), "s_transactions", load_dt)
+        sat_transactions_candidates(t_in_hub, key).distinct().withColumnRenamed("day", "ds"), "s_transactions", load_dt)
     phase3["s_l_currency_ratio"] = _stamp(
-        sat_rate_candidates(c).join(link_first, "hk_l_currency_ratio")
+        sat_rate_candidates(c, key).join(link_first, "hk_l_currency_ratio")
         .where(F.col("l_ds") <= F.col("day")).drop("l_ds").distinct().withColumnRenamed("day", "ds"),
         "s_l_currency_ratio", load_dt)
     out.update(keep_all(phase3))
@@ -313,7 +314,7 @@ def _new_keys(cands: DataFrame, existing: DataFrame, table: str, ds) -> DataFram
 
 def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame], ds,
              load_dt: _dt.datetime | None = None, phase: str | tuple[str, ...] | None = None,
-             tx_in_hub: DataFrame | None = None, rates_in_hub: DataFrame | None = None) -> dict[str, DataFrame]:
+             tx_in_hub: DataFrame | None = None, rates_in_hub: DataFrame | None = None, key: KeyFunction = hk) -> dict[str, DataFrame]:
     """Rows one daily run appends, given the stored vault before it.
 
     Statement order matters as in the reference: hubs, then links (which
@@ -326,7 +327,7 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
     """
     groups = ("hubs", "links", "satellites") if phase is None else (phase,) if isinstance(phase, str) else phase
     ds = _dt.date.fromisoformat(str(ds)) if not isinstance(ds, _dt.date) else ds
-    t = prepare_transactions(tx_day).where(F.col("day") == F.lit(ds))
+    t = prepare_transactions(tx_day, key).where(F.col("day") == F.lit(ds))
     c = prepare_currencies(cur_day).where(F.col("day") == F.lit(ds))
     new: dict[str, DataFrame] = {}
     if "hubs" in groups:
@@ -334,11 +335,7 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
                          ("h_countries", hub_countries_candidates),
                          ("h_currencies", hub_currencies_candidates),
                          ("h_accounts", hub_accounts_candidates)):
-            new[name] = _new_keys(fn(t), vault[name], name, ds)
-
-    def now(name: str, cols: list[str]) -> DataFrame:
-        stored = vault[name].select(*cols)
-        return stored.unionByName(new[name].select(*cols)) if name in new else stored
+            new[name] = _new_keys(fn(t, key), vault[name], name, ds)
 
     if "links" in groups:
         t_in_hub = tx_in_hub if tx_in_hub is not None else in_hub_after(t, vault["h_transactions"])
@@ -346,16 +343,20 @@ def load_day(tx_day: DataFrame, cur_day: DataFrame, vault: dict[str, DataFrame],
                          ("l_countries_transactions", link_countries_transactions_candidates),
                          ("l_currency_transaction", link_currency_transaction_candidates),
                          ("l_countries_currencies", link_countries_currencies_candidates)):
-            new[name] = _new_keys(fn(t_in_hub), vault[name], name, ds)
+            new[name] = _new_keys(fn(t_in_hub, key), vault[name], name, ds)
         rates = rates_in_hub if rates_in_hub is not None else rates_in_hub_after(c, t, vault["h_currencies"])
-        new["l_currency_ratio"] = _new_keys(link_currency_ratio_candidates(rates), vault["l_currency_ratio"],
-                                            "l_currency_ratio", ds)
+        ratios = link_currency_ratio_candidates(rates, key)
+        new["l_currency_ratio"] = _new_keys(ratios, vault["l_currency_ratio"], "l_currency_ratio", ds)
     if "satellites" in groups:
         t_in_hub = tx_in_hub if tx_in_hub is not None else in_hub_after(t, vault["h_transactions"])
-        new["s_transactions"] = (sat_transactions_candidates(t_in_hub).drop("day").distinct()
+        new["s_transactions"] = (sat_transactions_candidates(t_in_hub, key).drop("day").distinct()
                                  .withColumn("ds", F.lit(ds).cast("date")))
-        links = now("l_currency_ratio", ["hk_l_currency_ratio"])
-        new["s_l_currency_ratio"] = (sat_rate_candidates(c).join(links, "hk_l_currency_ratio", "left_semi")
+        links = vault["l_currency_ratio"].select("hk_l_currency_ratio")
+        if "links" in groups:
+            # This run's links are named by its candidates, not by those that are new: links and satellites are
+            # written side by side, and a link that is stored between two looks at its table would be neither.
+            links = links.unionByName(ratios.select("hk_l_currency_ratio"))
+        new["s_l_currency_ratio"] = (sat_rate_candidates(c, key).join(links, "hk_l_currency_ratio", "left_semi")
                                      .drop("day").distinct().withColumn("ds", F.lit(ds).cast("date")))
     wanted = {"hubs": HUBS, "links": LINKS, "satellites": SATELLITES}
     return {k: _stamp(new[k], k, load_dt) for g in groups for k in wanted[g]}

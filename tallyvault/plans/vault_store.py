@@ -6,8 +6,9 @@ read in place: only the day's rows are shuffled, to the buckets.  Tables with ro
 are bucketed by the operation, so the link joins of the mart need no exchange at all.
 
 The tables' folders are the storage; the catalog entries are made anew in every application
-(an in-memory catalog is enough).  The number of buckets is fixed when a root is first written
-and recorded beside the tables, since files of two numbers can't be read as one bucketed table.
+(an in-memory catalog is enough).  The number of buckets and the width of the surrogate keys are fixed
+when a root is first written and recorded beside the tables, since files of two numbers can't be
+read as one bucketed table and keys of two widths never meet.
 """
 
 from __future__ import annotations
@@ -19,11 +20,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BUCKET_KEY, LAYOUT, VAULT
+from ..functions.keys import HK_BITS, HK_WIDE, KeyFunction, key_function
+from ..schemas import BUCKET_KEY, LAYOUT, VAULT, vault_schema
 from .storage import exists, folders, make_folder, remove
 
 #: Buckets of a new root: the setting, or else the session's shuffle partitions.
 BUCKETS_SETTING = "tallyvault.vault.buckets"
+#: Bits of the surrogate keys of a new root: the setting, or else 60; 128 makes them 16 bytes.
+KEY_BITS_SETTING = "tallyvault.vault.key.bits"
 PARALLEL_WRITES = 8
 
 
@@ -35,14 +39,33 @@ class VaultStore:
     def path(self, name: str) -> str:
         return f"{self.root}/dds/{name}"
 
-    def buckets(self) -> int:
-        known = folders(self.spark, f"{self.root}/dds_layout/buckets=*")
+    def _fixed(self, name: str, value) -> int:
+        """A number of the layout: as recorded at the root, or ``value()``, which is recorded."""
+        known = folders(self.spark, f"{self.root}/dds_layout/{name}=*")
         if known:
             return int(known[0].rsplit("=", 1)[1])
-        n = int(self.spark.conf.get(BUCKETS_SETTING, None) or self.spark.conf.get("spark.sql.shuffle.partitions"))
-        make_folder(self.spark, f"{self.root}/dds_layout/buckets={n}")
+        n = int(value())
+        make_folder(self.spark, f"{self.root}/dds_layout/{name}={n}")
         return n
 
+    def buckets(self) -> int:
+        conf = self.spark.conf
+        return self._fixed("buckets", lambda: conf.get(BUCKETS_SETTING, None) or conf.get("spark.sql.shuffle.partitions"))
+
+    def key_bits(self) -> int:
+        def chosen() -> int:      # a root that has rows from before widths were recorded has keys of 60 bits
+            old = folders(self.spark, f"{self.root}/dds_layout/buckets=*")
+            return HK_BITS if old else int(self.spark.conf.get(KEY_BITS_SETTING, None) or HK_BITS)
+        return self._fixed("key_bits", chosen)
+
+    @property
+    def key(self) -> KeyFunction:
+        """The function that makes this vault's surrogate keys."""
+        return key_function(self.key_bits())
+
+    def schema(self, name: str):
+        return vault_schema(name, self.key_bits() == HK_WIDE)
+
     def table(self, name: str) -> str:
         """The table's name in the catalog, which gets an entry for the folder if it has none."""
         full, path = f"{self.database}.{name}", self.path(name)
@@ -52,7 +75,7 @@ class VaultStore:
             make_folder(self.spark, path)
         if not self.spark.catalog.tableExists(full):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/dds'")
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in VAULT[name].fields)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(name).fields)
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet PARTITIONED BY (ds) "
                            f"CLUSTERED BY ({BUCKET_KEY[name]}) INTO {self.buckets()} BUCKETS LOCATION '{path}'")
             self.spark.sql(f"MSCK REPAIR TABLE {full}")

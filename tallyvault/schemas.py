@@ -69,6 +69,14 @@ VAULT = {
         ("date_update", TS, False), *_VAULT),
 }
 
+def vault_schema(table: str, wide_keys: bool = False) -> T.StructType:
+    """A vault table's schema; with ``wide_keys`` its surrogate keys are 16 bytes instead of longs."""
+    if not wide_keys:
+        return VAULT[table]
+    return T.StructType([T.StructField(f.name, T.BinaryType(), f.nullable) if f.name.startswith("hk_") else f
+                         for f in VAULT[table].fields])
+
+
 # Insert-if-absent key of each hub and link (satellites are append-only).
 VAULT_KEYS = {
     "h_transactions": ["hk_operation_id"],

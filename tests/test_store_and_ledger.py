@@ -69,6 +69,23 @@ def test_daily_anti_joins_read_the_stored_keys_in_place(spark, whole):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rates_are_kept_whichever_moment_their_link_is_stored(spark, whole, scratch):
+    """Satellites look at the stored links once: a link that another job stores meanwhile is old or new, never neither."""
+    P.run_range(spark, scratch, _sources(spark), FIRST, FIRST, WHEN)
+    day = FIRST + dt.timedelta(days=1)
+    P.stage_day(spark, scratch, _sources(spark), day, WHEN)
+    run = P.VaultDay(spark, scratch, day, WHEN)
+    try:
+        run.hubs()
+        new = V.load_day(run.tx, run.cur, run.store.read(), day, WHEN, phase=("links", "satellites"), tx_in_hub=run.tx_in_hub, rates_in_hub=run.rates_in_hub)
+        rates = new["s_l_currency_ratio"]
+        assert sum("FileScan" in x and ".l_currency_ratio[" in x for x in _plan(rates).splitlines()) == 1
+        run.store.append("l_currency_ratio", new["l_currency_ratio"])
+        assert sorted(map(str, rates.collect())) == sorted(map(str, P.read_vault(spark, whole)["s_l_currency_ratio"].where(F.col("ds") == F.lit(day)).collect()))
+    finally:
+        run.close()
+
+
 def test_an_operation_s_rows_are_joined_without_an_exchange(spark, whole):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
