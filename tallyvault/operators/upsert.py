@@ -41,6 +41,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: list[st
         # Semi join on the partition column: dynamic partition pruning reads
         # only the days the source touches.
         touched = staged.select(partition_col).distinct()
+        table = mart_table(spark, path)
+        if table.groups():          # days kept in a month or a year get folders of their own again
+            table.reopen([r[0] for r in touched.collect()])
         target = read_mart(spark, path).join(touched, partition_col, "left_semi")
         merged = write_read(upsert(target, staged, key).select(*cols), f"{work}/merged")
         (merged.repartition(partition_col).sortWithinPartitions(*key).write.mode("overwrite")
@@ -49,10 +52,13 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: list[st
         remove(spark, work)
 
 
+def mart_table(spark: SparkSession, path: str):
+    """The stored mart by day, closed days by month and year."""
+    from ..plans.calendar_table import CalendarTable
+
+    return CalendarTable(spark, path, GLOBAL_METRICS, day="date_update", sort=["currency_from"])
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """The stored mart, empty when nothing was ever written."""
-    from ..plans.storage import exists
-
-    if not exists(spark, path):
-        return spark.createDataFrame([], GLOBAL_METRICS)
-    return spark.read.schema(GLOBAL_METRICS).parquet(path).select(*GLOBAL_METRICS.fieldNames())
+    return mart_table(spark, path).rows()

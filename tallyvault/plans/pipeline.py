@@ -3,10 +3,10 @@
 Storage layout under one root (a shared filesystem path on a cluster)::
 
     root/extract/<table>/ds=<day>/   CSV extracts (header), one folder per day
-    root/stg/<table>/ds=<day>/       staging Parquet (appended)
+    root/stg/<table>/ds=<day>/       staging Parquet (appended); closed days in root/stg/<table>__closed (``compact``)
     root/rejects/<table>/ds=<day>/   rejected CSV records with a reason
     root/dds/<table>/ds=<day>/       vault tables, partitioned by load day, bucketed by key
-    root/mart/global_metrics/date_update=<day>/
+    root/mart/global_metrics/date_update=<day>/    closed days in root/mart/global_metrics__closed
     root/ledger/ds=<day>/            the steps that are done
 
 ``run_range`` replays days in order (the reference's daily schedule with
@@ -30,6 +30,7 @@ from ..operators import upsert as U
 from ..operators import vault as V
 from ..schemas import HUBS, LAYOUT, SATELLITES, STG_CURRENCIES, STG_TRANSACTIONS, VAULT
 from ..sources import staging
+from .calendar_table import CalendarTable
 from .ledger import Ledger
 from .storage import clear_days, exists, remove, write_read
 from .vault_store import PARALLEL_WRITES, VaultStore
@@ -55,11 +56,24 @@ def read_vault(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return VaultStore(spark, root).read()
 
 
-def read_staging(spark: SparkSession, root: str, table: str, ds=None) -> DataFrame:
+def staging_table(spark: SparkSession, root: str, table: str) -> CalendarTable:
     # A new StructType: ``StructType.add`` would modify the shared schema.
     schema = T.StructType(STG_SCHEMAS[table].fields + [T.StructField("ds", T.DateType(), True)])
-    df = read_table(spark, f"{root}/stg/{table}", schema)
-    return df if ds is None else df.where(F.col("ds") == F.lit(_day(ds)))   # partition pruning
+    _part, sort_cols, dist = LAYOUT[f"stg_{table}"]
+    return CalendarTable(spark, f"{root}/stg/{table}", schema, sort=[*sort_cols, *dist])
+
+
+def read_staging(spark: SparkSession, root: str, table: str, ds=None) -> DataFrame:
+    """A staging table, or one day of it (partition pruning, whatever the day is kept in)."""
+    day = None if ds is None else _day(ds)
+    return staging_table(spark, root, table).rows(day, day)
+
+
+def compact(spark: SparkSession, root: str, as_of, active_months: int = 3, active_years: int = 2) -> None:
+    """Bring days of the staging tables and the mart that ``as_of`` closes into months and years."""
+    tables = [staging_table(spark, root, t) for t in STG_SCHEMAS] + [U.mart_table(spark, f"{root}/mart/global_metrics")]
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        list(pool.map(lambda t: t.compact(_day(as_of), active_months, active_years), tables))
 
 
 def _clustered(name: str, df: DataFrame) -> DataFrame:
@@ -70,6 +84,7 @@ def _clustered(name: str, df: DataFrame) -> DataFrame:
 def load_days(spark: SparkSession, root: str, table: str, days: list[_dt.date], load_dt=None,
               replace_slice: bool = False) -> None:
     """Load the extracts of some days of one table into staging; their rejects replace earlier ones."""
+    staging_table(spark, root, table).reopen(days)
     for day in days if replace_slice else []:
         remove(spark, f"{root}/stg/{table}/ds={day.isoformat()}")
     clear_days(spark, f"{root}/rejects/{table}", days)
@@ -131,17 +146,17 @@ class VaultDay:
     def hubs(self) -> None:
         vault, day = self.store.read(), F.col("day") == F.lit(self.ds)
         known = {h: df.where(F.col("ds") <= F.lit(self.ds)) if self.as_of_day else df for h, df in vault.items() if h in HUBS}
-        t = V.prepare_transactions(self.tx).where(day)
+        t = V.prepare_transactions(self.tx, self.store.key).where(day)
         c = V.prepare_currencies(self.cur).where(day)
         with ThreadPoolExecutor(max_workers=2) as beside:
             found = [beside.submit(write_read, V.in_hub_after(t, known["h_transactions"]), f"{self.work}/transactions"),
                      beside.submit(write_read, V.rates_in_hub_after(c, t, known["h_currencies"]), f"{self.work}/currencies")]
-            self.store.append_all(self._left(V.load_day(self.tx, self.cur, vault, self.ds, self.load_dt, phase="hubs")), self.done)
+            self.store.append_all(self._left(V.load_day(self.tx, self.cur, vault, self.ds, self.load_dt, phase="hubs", key=self.store.key)), self.done)
             self.tx_in_hub, self.rates_in_hub = (f.result() for f in found)
 
     def links_and_satellites(self) -> None:
         rows = self._left(V.load_day(self.tx, self.cur, self.store.read(), self.ds, self.load_dt, phase=("links", "satellites"),
-                                     tx_in_hub=self.tx_in_hub, rates_in_hub=self.rates_in_hub))
+                                     tx_in_hub=self.tx_in_hub, rates_in_hub=self.rates_in_hub, key=self.store.key))
         for name in SATELLITES if self.replace_slice else ():
             if name in rows:
                 self.store.clear(name, [self.ds])
@@ -255,7 +270,8 @@ def backfill(spark: SparkSession, root: str, sources: dict[str, DataFrame], star
     store = VaultStore(spark, root)
     old = {name: df.where(~inside) for name, df in store.read().items()}
     try:
-        new = V.build_vault(tx, cur, load_dt, persist=lambda name, df: write_read(df, f"{work}/{name}"), stored=old)
+        new = V.build_vault(tx, cur, load_dt, persist=lambda name, df: write_read(df, f"{work}/{name}"), stored=old,
+                            key=store.key)
         with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
             list(pool.map(lambda name: store.replace(name, new[name], days), VAULT))
     finally:

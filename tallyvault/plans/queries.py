@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_hierarchy_key
-from ..functions.keys import hk
+from ..functions.keys import HK_WIDE, hk, key_function
 from ..functions.money import cents_to_units, half_up_ratio, round_money, scale_rate
+from ..operators import key_audit as K
 from ..operators import mart as M
 from ..operators import upsert as U
 from ..operators import quality as Q
@@ -24,7 +25,7 @@ from ..operators import senders as S
 from ..operators import vault as V
 from ..schemas import VAULT, VAULT_ORDER
 from ..sources import fixture, staging
-from .oracle import AS_OF_DATES, REPLAY_TIME, SLICE_DAY, UPSERT_FROM_DAY, VAULT_COLUMNS
+from .oracle import AS_OF_DATES, AUDITED_BITS, COMPACTED_AS_OF, REPLAY_TIME, SHARED_BITS, SLICE_DAY, UPSERT_FROM_DAY, VAULT_COLUMNS
 from . import pipeline as P
 from .storage import parquet_persister, remove, scratch_path
 
@@ -370,7 +371,65 @@ def q_fn_hash_keys(spark, sf_dir):
     return tx.select("operation_id", "account_number_from", "account_number_to",
                      hk("operation_id").alias("hk1"),
                      hk("operation_id", "account_number_from").alias("hk2"),
-                     hk("operation_id", "account_number_from", "account_number_to").alias("hk3"))
+                     hk("operation_id", "account_number_from", "account_number_to").alias("hk3"),
+                     F.lower(F.hex(hk("operation_id", bits=HK_WIDE))).alias("wide1"),
+                     F.lower(F.hex(hk("operation_id", "account_number_from", "account_number_to", bits=HK_WIDE))).alias("wide3"))
+
+
+def q_key_audit(spark, sf_dir):
+    """Surrogate keys of every hub and link, and those that different business keys share, for keys of several widths."""
+    tx, cur = staging_tables(spark, sf_dir)
+    return _union([K.audit(tx, cur, key_function(bits)).select(F.lit(bits).cast("bigint").alias("bits"), "*") for bits in AUDITED_BITS])
+
+
+def q_shared_keys(spark, sf_dir):
+    """Business keys that share a surrogate key of few bits."""
+    tx, cur = staging_tables(spark, sf_dir)
+    return K.shared_keys(tx, cur, key_function(SHARED_BITS))
+
+
+def q_global_metrics_wide_keys(spark, sf_dir):
+    """The mart of a vault whose surrogate keys have 128 bits."""
+    tx, cur = staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "wide-vault", hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
+    return M.global_metrics(V.build_vault(tx, cur, persist=parquet_persister(root), key=key_function(HK_WIDE)))
+
+
+def q_calendar_compaction(spark, sf_dir):
+    """Days brought into months and years: each table's days, what they hold and what they are kept in.
+
+    The transactions are closed into a month, then into a year; of the currencies one closed day comes
+    again with other rates, and the month is closed once more; the mart's closed days are merged again.
+    """
+    tx, cur = staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "calendar", hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
+    remove(spark, root)
+    late, month, year = (_dt.date.fromisoformat(d) for d in (SLICE_DAY, *COMPACTED_AS_OF))
+
+    def store(table: str, rows: DataFrame) -> None:
+        rows.withColumn("ds", F.to_date(P.DATE_COLUMNS[table])).write.mode("append").partitionBy("ds").parquet(f"{root}/stg/{table}")
+
+    store("transactions", tx)
+    store("currencies", cur.where("date_update IS NOT NULL"))
+    mart, metrics = f"{root}/mart/global_metrics", M.global_metrics(stored_vault(spark, sf_dir))
+    U.upsert_table(spark, mart, metrics)
+    P.compact(spark, root, month)
+    P.staging_table(spark, root, "transactions").compact(year)
+    currencies = P.staging_table(spark, root, "currencies")
+    currencies.reopen([late])
+    remove(spark, f"{root}/stg/currencies/ds={late.isoformat()}")
+    again = staging.slice_by_day(cur, "date_update", late)
+    store("currencies", again.withColumn("currency_with_div", (F.col("currency_with_div") + 1).cast("decimal(5,3)")))
+    currencies.compact(month)
+    U.upsert_table(spark, mart, metrics.where(F.col("date_update") >= F.lit(late)))
+    parts = []
+    for name, rows, day, value in (("stg_transactions", P.staging_table(spark, root, "transactions"), "ds", F.col("amount")),
+                                   ("stg_currencies", currencies, "ds", F.col("currency_with_div") * 1000),
+                                   ("global_metrics", U.mart_table(spark, mart), "date_update", F.col("cnt_transactions") * 1000)):
+        parts.append(rows.rows(grouped=True).groupBy(F.col(day).alias("day"), F.col("first").alias("kept_from"), F.col("last").alias("kept_to"))
+                     .agg(F.count(F.lit(1)).alias("row_count"), F.sum(value).cast("decimal(38,0)").alias("value_sum"))
+                     .select(F.lit(name).alias("table_name"), "day", "kept_from", "kept_to", "row_count", "value_sum"))
+    return _union(parts)
 
 
 def q_fn_money_scaling(spark, sf_dir):
@@ -408,6 +467,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stg_replay_dedup": q_stg_replay_dedup,
         "mart_upsert": q_mart_upsert,
         "calendar_hierarchy": q_calendar_hierarchy,
+        "calendar_compaction": q_calendar_compaction,
+        "key_audit": q_key_audit,
+        "shared_keys": q_shared_keys,
+        "global_metrics_wide_keys": q_global_metrics_wide_keys,
         "union_distinct_accounts": q_union_distinct_accounts,
         "join_two_roles": q_join_two_roles,
         "fn_hash_keys": q_fn_hash_keys,

@@ -82,6 +82,12 @@ def remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def bytes_of(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder, 0 without one."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def clear_days(spark: SparkSession, table_path: str, days, column: str = "ds") -> None:
     """Empty the day partitions of a table: a dynamic overwrite leaves days without new rows as they were."""
     for day in days:
