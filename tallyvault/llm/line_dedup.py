@@ -127,7 +127,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep: str = "
 
 
 def line_report(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_sha256, drops (the bitmap) of every document."""
+    """doc_id, n_lines, n_dropped and kept_sha256 of every document."""
     cut = with_bitmaps(docs.select("doc_id", "text"), min_docs)
     dropped = F.coalesce(F.aggregate("drops", F.lit(0), lambda n, w: n + F.bit_count(w)), F.lit(0))
     return cut.select(

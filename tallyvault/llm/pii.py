@@ -3,7 +3,8 @@
 Base kinds are email, ip, card (Luhn) and phone.  The method adds iban (mod-97) and
 national id numbers, the latter only where a context word stands near.  Every span carries a
 score: a prior per kind, raised by what a validator proves and by context words of its kind
-within ``CONTEXT`` characters before it, lowered by words that speak against it.  Base spans
+within ``CONTEXT`` characters before or after it, lowered by words that speak against it.  Context
+words are whole words: "midnight" doesn't hold one, and one cut off by the context's edge isn't read.  Base spans
 are always reported; added ones from ``MIN_SCORE`` on.
 
 Defined results: a null or empty text has no spans; spans of one kind don't overlap, of
@@ -32,15 +33,23 @@ PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.3, "natio
 CHECKSUM = {"card": 0.4, "iban": 0.5}
 #: Words that speak for a kind, and words that speak against any.
 FOR = {
-    "email": ("mail", "contact", "write to", "correo", "courriel"),
+    "email": ("mail", "email", "mails", "emails", "contact", "write to", "correo", "courriel"),
     "ip": ("ip", "address", "server", "host", "login", "from"),
-    "card": ("card", "visa", "mastercard", "credit", "pay", "tarjeta", "karte", "carte"),
-    "phone": ("phone", "call", "tel", "mobile", "fax", "whatsapp"),
-    "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
-    "national_id": ("ssn", "social security", "national id", "tax id", "steuer", "dni"),
+    "card": ("card", "cards", "visa", "mastercard", "credit", "pay", "payment", "tarjeta", "karte", "carte"),
+    "phone": ("phone", "telephone", "call", "calls", "tel", "mobile", "cell", "fax", "whatsapp"),
+    "iban": ("iban", "account", "accounts", "bank", "konto", "cuenta", "compte"),
+    "national_id": ("ssn", "social security", "national id", "tax id", "steuernummer", "steuer id", "dni"),
 }
 AGAINST = ("version", "order no", "invoice", "isbn", "serial", "example")
 
+
+def _any_of(words: tuple[str, ...]) -> re.Pattern:
+    return re.compile(r"\b(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + r")\b", re.I)
+
+
+_FOR = {kind: _any_of(words) for kind, words in FOR.items()}
+_AGAINST = _any_of(AGAINST)
+
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -119,17 +128,31 @@ def _bare(s: str) -> str:
     return s.replace(" ", "")
 
 
-def score(text: str, kind: str, start: int, passed: bool) -> float:
-    near = text[max(0, start - CONTEXT):start].lower()
+def context(text: str, start: int, end: int) -> str:
+    """Up to ``CONTEXT`` characters on both sides of a span, without words that the edges cut."""
+    a, b = max(0, start - CONTEXT), min(len(text), end + CONTEXT)
+    while 0 < a < start and _is_word(text[a - 1]) and _is_word(text[a]):
+        a += 1
+    while end < b < len(text) and _is_word(text[b]) and _is_word(text[b - 1]):
+        b -= 1
+    return text[a:start] + "\0" + text[end:b]
+
+
+def _is_word(c: str) -> bool:
+    return c == "_" or c.isalnum()
+
+
+def score(text: str, kind: str, start: int, end: int, passed: bool) -> float:
+    near = context(text, start, end)
     s = PRIOR[kind] + (CHECKSUM.get(kind, 0) if passed else 0)
-    s += 0.3 if any(w in near for w in FOR[kind]) else 0
-    s -= 0.2 if any(w in near for w in AGAINST) else 0
+    s += 0.3 if _FOR[kind].search(near) else 0
+    s -= 0.2 if _AGAINST.search(near) else 0
     return min(1.0, max(0.0, round(s, 2)))
 
 
 def spans(text: str) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by start, then kind as listed in ``KINDS``."""
-    found = [(k, a, b, score(text, k, a, ok)) for k, a, b, ok in proposals(text)]
+    found = [(k, a, b, score(text, k, a, b, ok)) for k, a, b, ok in proposals(text)]
     found = [x for x in found if x[0] in KINDS[:4] or x[3] >= MIN_SCORE]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 

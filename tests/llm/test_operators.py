@@ -190,6 +190,10 @@ def test_op4_base_spans_and_added_ones(spark, odd, rows):
     assert pii.redacted(text, pii.spans(text)[:1]).startswith("My IBAN is <iban> OK")
     near, far = (pii.spans(x + "4111 1111 1111 1111")[0][3] for x in ("pay by card ", "serial "))
     assert near > far
+    for text in ("at midnight 123-45-6789", "a hotel ssns 123-45-6789", "x" * 60 + "ssn 123-45-6789", "123-45-6789 " + "a " * 22 + "dniz"):
+        assert not pii.spans(text), text                                  # parts of words are no context
+    for text in ("123-45-6789 is my SSN", "Social\nSecurity: 123-45-6789", "(dni)123-45-6789"):
+        assert [x[0] for x in pii.spans(text)] == ["national_id"], text   # whole words on both sides are
     pii.spans("1" * 50_000 + "@" * 20_000 + "a" * 50_000)                 # long runs take linear time
     got = {x.doc_id: x for x in Q.op4_pii(spark, plain.SF).collect()}
     for d, _, t in rows:
