@@ -3,8 +3,9 @@
 One pass over the texts writes, per row, its base counts and a (hash, words) pair for each
 line; everything after that works on this small table.  A line is boilerplate on a host when
 it stands in at least ``min_docs`` different texts of the host (copies of one text count
-once) and in at least ``min_share`` percent of them.  Boilerplate lines are taken out of the
-count; a document left with under ``keep_percent`` percent of its words is depleted.
+once), whatever the host's size; ``min_share`` may ask for a percentage of them besides.
+Boilerplate lines are taken out of the count; a document left with under ``keep_percent``
+percent of its words is depleted.
 
 Defined results: a null or empty text has no words and fails the base rule; a null host
 (``source``) is a host of its own; repeated rows are judged alike; an empty table gives an
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import WHITESPACE, ascii_lower, packed, stored, whole_text, words
 
 MIN_DOCS = 20
-MIN_SHARE = 1
+MIN_SHARE = 0
 KEEP_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 
@@ -41,7 +42,7 @@ def _neighbours(col: str, pair) -> Column:
 
 
 def repeated_positions(sorted_windows: str, shift: str) -> Column:
-    """Positions of the windows found twice or more: neighbours that agree above the position bits."""
+    """Positions of windows that may be found twice or more: neighbours that agree above the position bits."""
     mask = F.expr(f"shiftleft(1L, {shift}) - 1")
 
     def pair(a: Column, b: Column) -> Column:
@@ -52,6 +53,25 @@ def repeated_positions(sorted_windows: str, shift: str) -> Column:
     return F.sort_array(F.array_distinct(F.flatten(pairs)))
 
 
+def windows_by_words(positions: str) -> Column:
+    """The 3-word windows at ``positions``, sorted by their words."""
+    def window(p: Column) -> Column:
+        i = p.cast("int")
+        return F.struct(F.get("w", i).alias("a"), F.get("w", i + 1).alias("b"), F.get("w", i + 2).alias("c"), p.alias("p"))
+
+    return F.sort_array(F.transform(positions, window))
+
+
+def equal_positions(sorted_windows: str) -> Column:
+    """Positions of the windows whose words stand at another one too."""
+    def pair(x: Column, y: Column) -> Column:
+        same = (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+        return F.when(same, F.array(x["p"], y["p"]))
+
+    pairs = F.filter(_neighbours(sorted_windows, pair), lambda x: x.isNotNull())
+    return F.sort_array(F.array_distinct(F.flatten(pairs)))
+
+
 def covered_words(positions: str) -> Column:
     """Words inside the 3-word windows that start at the sorted ``positions``."""
     three = F.lit(3).cast("long")
@@ -72,9 +92,9 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
     shift = F.length(F.bin(F.size("w").cast("long")))  # bits that hold any position
     step = step.select("row_id", "doc_id", "host", "text", "l", "w", shift.alias("shift"))
-    step = step.select("row_id", "doc_id", "host", "text", "l", F.size("w").cast("long").alias("n_words"), "shift",
-                       F.sort_array(packed_windows(F.col("w"), F.col("shift"))).alias("s"))
-    step = step.withColumn("r", repeated_positions("s", "shift"))
+    step = step.withColumn("s", F.sort_array(packed_windows(F.col("w"), F.col("shift"))))
+    step = step.withColumn("s", windows_by_words(repeated_positions("s", "shift")))  # few of them: hash bits may agree by chance
+    step = step.withColumn("n_words", F.size("w").cast("long")).withColumn("r", equal_positions("s")).drop("w")
     line = lambda x: F.struct(
         F.xxhash64(ascii_lower(bare(x))).alias("h"), F.regexp_count(x, F.lit("[^ \\t\\n\\x0B\\f\\r]+")).alias("n"))
     return step.select(
@@ -88,20 +108,18 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(base: DataFrame, min_docs: int, min_share: int) -> DataFrame:
-    """(host, h): lines above both limits, counted over the different texts of a host."""
-    sizes = base.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
+    """(host, h): lines at or above the limits, counted over the different texts of a host."""
     counts = (
         base.select("host", "digest", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
         .distinct()
         .groupBy("host", "h").agg(F.count("*").alias("n_docs"))
         .where(F.col("n_docs") >= min_docs)
     )
-    s = sizes.withColumnRenamed("host", "s_host")
-    return (
-        counts.join(s, F.col("host").eqNullSafe(F.col("s_host")))
-        .where(F.col("n_docs") * 100 >= F.col("n_texts") * min_share)
-        .select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
-    )
+    if min_share:
+        sizes = base.select("host", "digest").distinct().groupBy(F.col("host").alias("s_host")).agg(F.count("*").alias("n_texts"))
+        counts = (counts.join(sizes, F.col("host").eqNullSafe(F.col("s_host")))
+                  .where(F.col("n_docs") * 100 >= F.col("n_texts") * min_share))
+    return counts.select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
 
 
 def judged(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: int = MIN_SHARE,

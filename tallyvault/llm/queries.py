@@ -134,12 +134,7 @@ keys AS (
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k,
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
   FROM (SELECT doc_id, source, text, unnest(l) AS line FROM base)),
-hosts AS (SELECT source, count(DISTINCT text) AS n_texts FROM d GROUP BY source),
-boilerplate AS (
-  SELECT keys.source, k
-  FROM keys JOIN hosts ON keys.source IS NOT DISTINCT FROM hosts.source
-  GROUP BY keys.source, k, n_texts
-  HAVING count(DISTINCT text) >= 20 AND 100 * count(DISTINCT text) >= n_texts),
+boilerplate AS (SELECT source, k FROM keys GROUP BY source, k HAVING count(DISTINCT text) >= 20),
 lost AS (
   SELECT doc_id, sum(n) AS n FROM keys
   JOIN boilerplate b ON keys.source IS NOT DISTINCT FROM b.source AND keys.k = b.k

@@ -94,7 +94,7 @@ def base_counts(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again))
 
 
-def quality(rows, min_docs=20, min_share=1, keep_percent=30):
+def quality(rows, min_docs=20, min_share=0, keep_percent=30):
     """Verdict per (id, host, text) row."""
     hosts, having = collections.defaultdict(set), collections.defaultdict(set)
     for _, h, t in rows:

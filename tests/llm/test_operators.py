@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import plain
@@ -326,6 +327,12 @@ def test_op8_verdicts(spark, odd, rows):
     d = spark.createDataFrame(site, "doc_id long, text string, source string").selectExpr("*", "1 AS digest", "2 AS host", "3 AS kept")
     kept = quality_rules.judged(d).where("kept")
     assert sorted(r.doc_id for r in kept.collect()) == [98, 99]
+    # lines on 30 pages are boilerplate on a large host too, unless a share of its texts is asked for
+    menu = "\n".join(" ".join(f"menu{k}x{i}" for i in range(10)) for k in range(8))
+    large = [(k, f"{menu}\nown words {k} of page", "h") for k in range(30)] + [(k, " ".join(f"w{k}x{i}" for i in range(60)), "h") for k in range(100, 3200)]
+    large = spark.createDataFrame(large, "doc_id long, text string, source string")
+    assert quality_rules.judged(large).where("kept and doc_id < 100").count() == 0
+    assert quality_rules.judged(large, min_share=1).where("kept and doc_id < 100").count() == 30
     left = quality_rules.keep_good(d)
     assert left.columns == d.columns and sorted(r.doc_id for r in left.collect()) == [98, 99]
     table = [(d, h, t) for d, t, h in ODD]
@@ -333,6 +340,16 @@ def test_op8_verdicts(spark, odd, rows):
     assert quality_rules.quality_report(odd.limit(0)).count() == 0
 
 
+def test_op8_repeats_are_repeats_of_words(spark, monkeypatch):
+    """Windows whose hash bits agree by chance are told apart by their words (here all bits of all windows agree)."""
+    monkeypatch.setattr(quality_rules, "packed_windows", lambda w, shift: F.when(F.size(w) >= 4, F.transform(
+        F.sequence(F.lit(0), F.size(w) - 3), lambda i: i.cast("long"))).otherwise(F.array().cast("array<bigint>")))
+    texts = ["a b c d e a b c x a b c", "a a a a a", "a b c d", "a b", "", "x y z x y z q x y"]
+    d = spark.createDataFrame([(k, "h", t) for k, t in enumerate(texts)], "doc_id long, source string, text string")
+    got = {r.doc_id: r.n_repeat_words for r in quality_rules.quality_report(d).collect()}
+    assert got == {k: plain.base_counts(t)[4] for k, t in enumerate(texts)}
+
+
 def test_op9_bitmaps(spark, odd):
     many = "\n".join(f"line {k}" for k in range(200))
     rows = [(k, f"own {k}\n  Common LINE\t\n\n{many}" if k % 2 else "common line") for k in range(24)] + [(50, None), (51, ""), (None, "common line\nz")]
