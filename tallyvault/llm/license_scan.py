@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from .common import whole_text
 from .license_digests import DIGESTS
 
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n(©]*(copyright\b|\(c\)|©)[^\n]*$"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Words that follow "copyright" inside licence texts, wherever a line is broken; other words are a holder's name.
 _NO_NAME = ("and|are|as|assignment|disclaimer|doctrines?|dedication|exceptions?|have|has|holders?|holding|if|in|interests?|is|laws?|legislation|like|"

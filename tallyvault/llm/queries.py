@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,28 +156,60 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _canonical_sql(text: str) -> str:
-    """The canonical form of licence texts as SQL, from the same fixed values."""
-    c = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    steps = [(license_scan.COPYRIGHT_LINE, ""), (license_scan.PUNCTUATION, " "), *license_scan.SPELLINGS]
-    for pattern, replacement in steps:
+def _re2(pattern: str) -> str:
+    return re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", pattern)
+
+
+def _low_sql(text: str) -> str:
+    upper = license_scan._UPPER
+    return f"translate({text}, {_sql_text(upper + license_scan._NO_WIDTH)}, {_sql_text(upper.lower())})"
+
+
+def _holder_sql(line: str) -> str:
+    """Whether a lower-cased line names a copyright holder (``license_scan.HOLDER_LINE`` on one line, without looking ahead)."""
+    head, gap = r"^[^a-z0-9\n(©]*", r"[^a-z0-9\n]*"
+    signed = head + rf"(copyright\b{gap}(\(c\)|©|[0-9]{{4}}|<|\[|\{{)|\(c\){gap}([0-9]{{4}}|copyright\b)|©)"
+    word = head + rf"copyright\b{gap}"
+    return (f"(regexp_matches({line}, {_sql_text(signed)}) OR (regexp_matches({line}, {_sql_text(word + '[a-z]')})"
+            f" AND NOT regexp_matches({line}, {_sql_text(word + '(' + license_scan._NO_NAME + r')\b')})))")
+
+
+def _words_sql(text: str) -> str:
+    """The canonical form of a lower-cased text without its holders' lines."""
+    c = f"regexp_replace({text}, {_sql_text(_re2(license_scan.ANY_PUNCTUATION))}, ' ', 'g')"
+    for pattern, replacement in license_scan.SPELLINGS:
         c = f"regexp_replace({c}, {_sql_text(pattern)}, {_sql_text(replacement.replace('$', chr(92)))}, 'g')"
     return f"trim({c})"
 
 
 def op3_sql() -> str:
-    known = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in license_scan.KNOWN)
+    """The scan in SQL, from the same fixed values: texts and notices that are known, and the digests of long texts."""
+    known = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in license_scan.KNOWN + license_scan.FORMS)
+    digests = ", ".join(f"({_sql_text(name)}, {_sql_text(digest)})" for name, digest in license_scan.DIGESTS)
+    reserved = _sql_text(r"^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$")
     return f"""
 WITH known AS (
-  SELECT DISTINCT license, {_canonical_sql("text")} AS c FROM (VALUES {known}) v(license, text)),
-d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+  SELECT license, sha256({_words_sql(_low_sql("text"))}) AS digest FROM (VALUES {known}) v(license, text)
+  UNION
+  SELECT license, digest FROM (VALUES {digests}) v(license, digest)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split({_low_sql("coalesce(text, '')")}, chr(10)) AS l FROM documents),
+told AS (
+  SELECT r, doc_id, l, list_transform(l, lambda x: {_holder_sql("x")}) AS holder,
+         list_max(list_transform(range(1, len(l) + 1), lambda i: CASE WHEN regexp_matches(l[i], '[a-z0-9]') THEN i ELSE 0 END)) AS last
+  FROM d),
 units AS (
-  SELECT r, doc_id, text, true AS whole FROM d
+  SELECT r, doc_id, true AS whole, array_to_string(list_transform(range(1, len(l) + 1), lambda i:
+    CASE WHEN holder[i] OR (i > 1 AND i < last AND holder[i - 1] AND regexp_matches(l[i], {reserved})) THEN '' ELSE l[i] END), chr(10)) AS t
+  FROM told
   UNION ALL
-  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS text, false AS whole FROM d),
-formed AS (SELECT r, doc_id, whole, {_canonical_sql("text")} AS c FROM units)
+  SELECT r, doc_id, false AS whole,
+         unnest(list_transform(range(1, len(l) + 1), lambda i: CASE WHEN holder[i] THEN '' ELSE l[i] END)) AS t
+  FROM told),
+formed AS (SELECT r, doc_id, whole, {_words_sql("t")} AS c FROM units)
 SELECT doc_id, license, bool_or(whole) AS whole_text, count(*) FILTER (NOT whole) AS n_lines
-FROM formed JOIN known USING (c) WHERE c != '' GROUP BY r, doc_id, license
+FROM (SELECT r, doc_id, whole, sha256(c) AS digest FROM formed WHERE c != '') JOIN known USING (digest)
+GROUP BY r, doc_id, license
 """
 
 

@@ -6,6 +6,7 @@ import random
 import struct
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -179,6 +180,14 @@ def test_op3_whole_texts_and_their_forms(spark):
              ("all-rights-reserved", "Copyright 2020 Someone\nAll rights reserved.")]
     d = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
     assert {(r.doc_id, r.license) for r in license_scan.scan(d).where("whole_text").collect()} == {(k, n) for k, (n, _) in enumerate(rows)}
+    # the SQL says the same of whole texts, of changed ones, and of lines that do or don't name a holder
+    rows += [(None, t) for t in (None, "", "copyright notice\n" + known[0][1], "(c) copyright\nall rights reserved", "x\n(c) 2020\n All Rights Reserved.\n" + known[0][1],
+                                 "COPYRIGHT [yyyy]\n" + known[0][1] + "\n\u00a9 me", "Copyright the owner\n" + known[0][1], "copyright licensing co\n" + known[0][1],
+                                 known[0][1] + "\nCopyright 2020\nall rights reserved", known[0][1].replace(" ", "\u2003\u200b"), known[0][1][:-9])]
+    d = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", d.toPandas())
+    assert collected(license_scan.scan(d)) == as_set(con.execute(Q.op3_sql()).fetchall())
 
 
 def test_op4_base_spans_and_added_ones(spark, odd, rows):
