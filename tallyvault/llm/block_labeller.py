@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .html_blocks import Block, blocks
+from .html_blocks import Block, Path, blocks
 
 PATH, WORD, NUMBERS, HIDDEN = 256, 64, 6, 16
 TRAIN_PAGES, EPOCHS, BATCH, RATE = 600, 12, 30, 0.01
@@ -27,10 +27,28 @@ def _slot(token: str, size: int) -> int:
 
 
 @lru_cache(maxsize=50_000)
-def path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
-    """Slots of the tags and marks on the way down, and once more for the last two elements."""
-    near = [f"{k}^{x}" for k, e in enumerate(path[::-1][:2]) for x in e.split(" ")]
-    return tuple({_slot(x, PATH) for e in path for x in e.split(" ")} | {_slot(x, PATH) for x in near})
+def _marks(element: str, prefix: str = "") -> int:
+    """The slots of an element's tag and marks, as bits."""
+    bits = 0
+    for x in element.split(" "):
+        bits |= 1 << _slot(prefix + x, PATH)
+    return bits
+
+
+def path_features(path: Path) -> int:
+    """Bits for the tags and marks on the way down, and once more for the last two elements; kept at the path."""
+    if path.features is None:
+        new, node = [], path
+        while node.marks is None and node.parent is not None:
+            new.append(node)
+            node = node.parent
+        bits = node.marks or 0
+        for node in reversed(new):
+            node.marks = bits = bits | _marks(node.element)
+        path.features = bits
+        for k, element in zip(range(2), path):
+            path.features |= _marks(element, f"{k}^")
+    return path.features
 
 
 class WordSlots(dict):
@@ -44,22 +62,20 @@ class WordSlots(dict):
 _words = WordSlots()
 
 
-def vectors(page: list[Block]) -> tuple[list[tuple[str, ...]], np.ndarray]:
-    """The paths, and the word and number part of the vectors, of a page's blocks."""
+def vectors(page: list[Block]) -> tuple[list[int], np.ndarray]:
+    """The paths' features, and the word and number part of the vectors, of a page's blocks."""
     rest = np.zeros((len(page), WORD + NUMBERS), np.float32)
     for k, b in enumerate(page):
         w = b.text.split(" ")
         counts = np.bincount([_words[x] for x in w], minlength=WORD)
         rest[k, :WORD] = counts * (1 / len(w))
         rest[k, WORD:] = (min(len(w), 60) / 60, b.linked, k / len(page), b.text[-1] in ".!?", 1 / len(w), 1)
-    return [b.path for b in page], rest
+    return [path_features(b.path) for b in page], rest
 
 
-def path_matrix(paths: list[tuple[str, ...]]) -> np.ndarray:
-    out = np.zeros((len(paths), PATH), np.float32)
-    for k, p in enumerate(paths):
-        out[k, list(path_slots(p))] = 1
-    return out
+def path_matrix(features: list[int]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(x.to_bytes(PATH // 8, "little") for x in features), np.uint8)
+    return np.unpackbits(packed.reshape(len(features), PATH // 8), axis=1, bitorder="little").astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -171,7 +187,7 @@ class Labeller:
             rows = order[at:at + size]
             at += len(rows)
             lengths = np.array([len(pages[k]) for k in rows])
-            known: dict[tuple[str, ...], int] = {}
+            known: dict[int, int] = {}
             which = np.zeros((lengths.max(), len(rows)), np.int64)
             rest = np.zeros((lengths.max(), len(rows), WORD + NUMBERS), np.float32)
             for j, k in enumerate(rows):

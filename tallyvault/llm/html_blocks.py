@@ -10,6 +10,9 @@ first, their parent's; one without an end tag hides nothing.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
 
@@ -37,12 +40,48 @@ _HIDES = re.compile(rf"</(?:{'|'.join(sorted(HIDDEN))})[\s/>]", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Path:
+    """An open element and those around it; blocks and elements below share it, so that depth costs no copies."""
+
+    __slots__ = ("element", "parent", "marks", "features")
+
+    def __init__(self, element: str = "", parent: Path | None = None):
+        self.element, self.parent = element, parent
+        self.marks = self.features = None  # room for what a reader derives from the path
+
+    def __iter__(self) -> Iterator[str]:
+        """The elements from the innermost out; none for a page's outside."""
+        node = self
+        while node.parent is not None:
+            yield node.element
+            node = node.parent
+
+
 class Block(NamedTuple):
-    path: tuple[str, ...]  # one entry per open element: the tag and the parts of its class, id and role
+    path: Path  # one entry per open element: the tag and the parts of its class, id and role
     text: str
     linked: float  # share of characters inside links
 
 
+class OpenTags:
+    """The names of the open elements, and at which depths each name is open."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.at: defaultdict[str, list[int]] = defaultdict(list)
+
+    def __contains__(self, tag: str) -> bool:
+        return bool(self.at.get(tag))
+
+    def push(self, tag: str) -> None:
+        self.at[tag].append(len(self.names))
+        self.names.append(tag)
+
+    def cut(self, depth: int) -> None:
+        while len(self.names) > depth:
+            self.at[self.names.pop()].pop()
+
+
 def _element(tag: str, attributes: str) -> str:
     if "=" not in attributes:
         return tag
@@ -70,8 +109,9 @@ def _hidden_ends(tokens: list[re.Match]) -> dict[int, int]:
 
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
-    names: list[str] = []
-    path: list[str] = []
+    opened = OpenTags()
+    paths = [Path()]  # the page's outside, then one for each open element
+    containers: list[int] = []  # their depths
     pieces: list[str] = []
     links = linked = 0
 
@@ -81,31 +121,34 @@ def blocks(html: str) -> list[Block]:
             raw = "".join(pieces)
             text = " ".join((unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(tuple(path), text, min(1.0, linked / len(raw))))
+                out.append(Block(paths[-1], text, min(1.0, linked / len(raw))))
             pieces.clear()
         linked = 0
 
     def close(depth: int) -> None:
-        del names[depth:], path[depth:]
+        opened.cut(depth)
+        del paths[depth + 1:]
+        while containers and containers[-1] >= depth:
+            containers.pop()
 
     tokens, ends = _TOKEN.finditer(html), {}
     if _HIDES.search(html):
         tokens = list(tokens)
         ends = _hidden_ends(tokens)
     hidden = -1  # place of the end tag of the hidden element that is open
-    inside: list[str] = []  # block elements open in it
+    inside = OpenTags()  # block elements open in it
     for k, m in enumerate(tokens):
         if hidden >= 0:
             tag, ending = (m[3] or m[6] or "").lower(), bool(m[2] or m[5])
-            if k < hidden and not (ending and tag in names and tag not in inside):
+            if k < hidden and not (ending and tag in opened and tag not in inside):
                 if tag in BLOCK:
                     if not ending:
-                        inside.append(tag)
+                        inside.push(tag)
                     elif tag in inside:
-                        del inside[len(inside) - 1 - inside[::-1].index(tag):]
+                        inside.cut(inside.at[tag][-1])
                 continue
             hidden = -1
-            inside.clear()
+            inside.cut(0)
         elif k in ends:
             hidden = ends[k]
             continue
@@ -126,18 +169,23 @@ def blocks(html: str) -> list[Block]:
         flush()
         links = 0
         if ending:
-            if tag in names:
-                close(len(names) - 1 - names[::-1].index(tag))
+            if tag in opened:
+                close(opened.at[tag][-1])
             continue
-        for d in range(len(names) - 1, -1, -1):
-            if names[d] == "p" or names[d] in CLOSES.get(tag, ()):
-                close(d)
-            elif names[d] in CONTAINERS:
-                break
-        if tag == "body" and "head" in names:
-            close(names.index("head"))
+        closes = ("p", *CLOSES.get(tag, ()))
+        around = len(containers)
+        while around and opened.names[containers[around - 1]] in closes:
+            around -= 1
+        stop = containers[around - 1] if around else -1
+        first = [opened.at[x][at] for x in closes if x in opened and (at := bisect_right(opened.at[x], stop)) < len(opened.at[x])]
+        if first:
+            close(min(first))
+        if tag == "body" and "head" in opened:
+            close(opened.at["head"][0])
         if tag not in VOID:
-            names.append(tag)
-            path.append(_element(tag, m[4] or m[7] or ""))
+            if tag in CONTAINERS:
+                containers.append(len(opened.names))
+            opened.push(tag)
+            paths.append(Path(_element(tag, m[4] or m[7] or ""), paths[-1]))
     flush()
     return out

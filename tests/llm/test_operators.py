@@ -4,6 +4,7 @@
 import os
 import random
 import struct
+import tracemalloc
 import zlib
 
 import duckdb
@@ -398,8 +399,21 @@ def test_op10_hidden_elements_take_no_text_of_the_page():
     assert texts("<p>a<script>if (x) '<canvas>'</script ><p>b<style>no</style>c<textarea>no</textarea><template><p>no</template>d<script>no") == ["a", "bcd"]
 
 
+def test_op10_deep_pages_share_their_paths():
+    deep = 50_000
+    for tag in ("div", "li"):
+        tracemalloc.start()
+        page = html_blocks.blocks(f"<{tag} class='x'>a" * deep + f"</{tag}>" * deep + "<p>b")
+        features = [block_labeller.path_features(b.path) for b in page]
+        assert tracemalloc.get_traced_memory()[1] < 100 << 20
+        tracemalloc.stop()
+        assert len(page) == deep + 1 and len(list(page[-2].path)) in (deep, 1) and list(page[-1].path) == ["p"]
+        assert features[deep - 1] == features[2]
+    assert html_blocks.blocks("<svg>" + "<div>" * deep + "</div>" * deep + "</svg>b")[0].text == "b"
+
+
 def test_op10_text_of_pages(spark):
-    for r in spark.read.parquet(f"{plain.SF}/pages.parquet").collect()[:30]:
+    for r in spark.read.parquet(f"{plain.SF}/pages.parquet").collect():
         page = html_blocks.blocks(r.html)
         article = "\n".join(b.text for b in page if any(e.split(" ")[0] == "article" for e in b.path))
         assert html_extract.main_texts([r.html], block_labeller.trained()) == [article]
