@@ -41,25 +41,38 @@ def _neighbours(col: str, pair) -> Column:
     return F.zip_with(col, F.expr(f"slice({col}, 2, greatest(size({col}) - 1, 0))"), pair)
 
 
-def repeated_positions(sorted_windows: str, shift: str) -> Column:
-    """Positions of windows that may be found twice or more: neighbours that agree above the position bits."""
+def agreeing_pairs(sorted_windows: str, shift: str) -> Column:
+    """Positions of neighbours that agree above the position bits: windows that are equal, or seldom agree by chance."""
     mask = F.expr(f"shiftleft(1L, {shift}) - 1")
 
     def pair(a: Column, b: Column) -> Column:
         same = F.call_function("shiftright", a.bitwiseXOR(b), F.col(shift)) == 0
         return F.when(same, F.array(a.bitwiseAND(mask), b.bitwiseAND(mask)))
 
-    pairs = F.filter(_neighbours(sorted_windows, pair), lambda x: x.isNotNull())
+    return F.filter(_neighbours(sorted_windows, pair), lambda x: x.isNotNull())
+
+
+def positions(pairs: str) -> Column:
     return F.sort_array(F.array_distinct(F.flatten(pairs)))
 
 
-def windows_by_words(positions: str) -> Column:
-    """The 3-word windows at ``positions``, sorted by their words."""
+def agree_by_chance(pairs: str) -> Column:
+    """Whether the words of any of the ``pairs`` differ."""
+    def differ(x: Column) -> Column:
+        i, j = (F.get(x, F.lit(k)).cast("int") for k in (0, 1))
+        a, b, c = (F.get("w", i + k) != F.get("w", j + k) for k in range(3))
+        return a | b | c
+
+    return F.exists(pairs, differ)
+
+
+def windows_by_words(places: Column) -> Column:
+    """The 3-word windows at ``places``, sorted by their words."""
     def window(p: Column) -> Column:
         i = p.cast("int")
         return F.struct(F.get("w", i).alias("a"), F.get("w", i + 1).alias("b"), F.get("w", i + 2).alias("c"), p.alias("p"))
 
-    return F.sort_array(F.transform(positions, window))
+    return F.sort_array(F.transform(places, window))
 
 
 def equal_positions(sorted_windows: str) -> Column:
@@ -93,8 +106,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
     shift = F.length(F.bin(F.size("w").cast("long")))  # bits that hold any position
     step = step.select("row_id", "doc_id", "host", "text", "l", "w", shift.alias("shift"))
     step = step.withColumn("s", F.sort_array(packed_windows(F.col("w"), F.col("shift"))))
-    step = step.withColumn("s", windows_by_words(repeated_positions("s", "shift")))  # few of them: hash bits may agree by chance
-    step = step.withColumn("n_words", F.size("w").cast("long")).withColumn("r", equal_positions("s")).drop("w")
+    step = step.select("row_id", "doc_id", "host", "text", "l", "w", agreeing_pairs("s", "shift").alias("pairs"))
+    step = step.select("row_id", "doc_id", "host", "text", "l", F.size("w").cast("long").alias("n_words"), "pairs",
+                       F.when(agree_by_chance("pairs"), windows_by_words(positions("pairs"))).alias("s"))
+    step = step.withColumn("r", F.when(F.col("s").isNull(), positions("pairs")).otherwise(equal_positions("s")))
     line = lambda x: F.struct(
         F.xxhash64(ascii_lower(bare(x))).alias("h"), F.regexp_count(x, F.lit("[^ \\t\\n\\x0B\\f\\r]+")).alias("n"))
     return step.select(
