@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyvault.operators import vault as V
 from tallyvault.plans import pipeline as P
+from tallyvault.plans import vault_store as VS
 from tallyvault.plans.vault_store import VaultStore
 from tallyvault.schemas import VAULT
 from tallyvault.sources import fixture
@@ -155,3 +156,19 @@ def test_a_backfill_that_fails_leaves_the_vault(spark, scratch, monkeypatch):
     with pytest.raises(RuntimeError):
         P.backfill(spark, scratch, src, FIRST, LAST, WHEN)
     assert {n: sorted(map(str, df.collect())) for n, df in P.read_vault(spark, scratch).items()} == before
+
+
+def test_a_small_root_gets_few_buckets_whatever_the_shuffle_partitions(spark, scratch, monkeypatch):
+    """A file and a task for every bucket, table and day: their number follows the staged rows, not the session."""
+    monkeypatch.setattr(VS, "BUCKET_BYTES", 1 << 20)
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        few, many, none = (VaultStore(spark, f"{scratch}/{n}") for n in ("few", "many", "none"))
+        P.stage_day(spark, few.root, _sources(spark), FIRST, WHEN)
+        assert few.buckets() == VS.LEAST_BUCKETS and none.buckets() == 200
+        rows = spark.range(0, 3_000_000, numPartitions=4).selectExpr("xxhash64(id) AS a")
+        rows.write.parquet(f"{many.root}/stg/transactions/ds=2024-01-01")
+        assert 16 < many.buckets() < 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert VaultStore(spark, few.root).buckets() == VS.LEAST_BUCKETS
