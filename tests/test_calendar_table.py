@@ -75,6 +75,22 @@ def test_large_days_are_spread_and_small_ones_share_a_file(spark, scratch, monke
     assert _content(t.rows()) == before and len(sizes) > 4 and max(sizes) < 3000
 
 
+def test_no_file_has_more_rows_than_a_task_may_sort(spark, scratch, monkeypatch):
+    """Rows that compress to nearly nothing are bounded by their number: a file is sorted by one task."""
+    t = C.CalendarTable(spark, f"{scratch}/t", SCHEMA, sort=["id"])
+    days = [dt.date(2023, 1, d) for d in range(1, 11)]
+    _write(_rows(spark, days, 100).unionByName(_rows(spark, days[4:5], 2000)), t.path)
+    before = _content(t.rows())
+    monkeypatch.setattr(C, "FILE_ROWS", 300)
+    t.compact(AS_OF)
+    sizes = [r.n for r in t.rows().groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert _content(t.rows()) == before and max(sizes) < 400 and len(sizes) < 14
+    assert C.FILE_BYTES <= 64 << 20
+    t.compact(dt.date(2026, 1, 1))                                           # a month of 3,000 rows becomes a year
+    sizes = [r.n for r in t.rows().groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert _content(t.rows()) == before and max(sizes) < 400
+
+
 def test_a_query_for_a_day_reads_its_group_only(spark, scratch):
     t = _table(spark, scratch)
     t.compact(AS_OF)
