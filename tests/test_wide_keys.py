@@ -66,3 +66,18 @@ def test_shared_keys_are_found_and_only_those(spark):
     assert K.audit(codes.limit(0), cur.limit(0)).count() == 0
     plan = K.shared_keys(tx, cur)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(table_name") == 1
+
+
+def test_business_keys_are_counted_once_and_by_hash(spark):
+    """Business keys are brought together before they are hashed, by hash maps and not by sorting texts."""
+    tx, cur = fixture.transactions(spark, SF_SMALL), fixture.currencies(spark, SF_SMALL)
+    rows = K.audit(tx, cur, key_function(8))
+    lines = [x for x in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in x]
+    assert lines and all("HashAggregate(" in x for x in lines)
+    assert sum(r.shared_keys for r in rows.collect()) > 0
+    codes = spark.createDataFrame([("a", 1, 2, 840), ("a", 1, 2, 840), (None, 1, None, 0)], "operation_id string, account_number_from long, account_number_to long, currency_code long") \
+        .withColumn("country", F.lit("USA"))
+    told = {(r.table_name, r.business_key): r.row_count for r in K.candidates(codes, cur.limit(0)).collect()}
+    assert told == {("h_transactions", "1:a"): 2, ("h_countries", "3:usa"): 3, ("h_currencies", "3:840"): 2, ("h_currencies", "1:0"): 1, ("h_accounts", "1:1"): 3,
+                    ("h_accounts", "1:2"): 2, ("l_accounts_transactions", "1:a1:11:2"): 2, ("l_countries_transactions", "1:a3:usa"): 2, ("l_countries_transactions", "N3:usa"): 1,
+                    ("l_currency_transaction", "3:8401:a"): 2, ("l_currency_transaction", "1:0N"): 1, ("l_countries_currencies", "3:usa3:840"): 2, ("l_countries_currencies", "3:usa1:0"): 1}
