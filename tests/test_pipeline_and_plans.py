@@ -158,3 +158,14 @@ def test_operation_tables_shuffle_once_from_stored_rows(spark, scratch):
     t.write.parquet(f"{scratch}/t")
     plan = _plan(V.first_loaded(V.hub_transactions_candidates(spark.read.parquet(f"{scratch}/t")), ["hk_operation_id"], ["hk_operation_id"]))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_keys_of_few_values_are_hashed_once_each(spark):
+    """Accounts, countries and currencies are brought together before their keys are hashed, not row by row."""
+    tx, cur = fixture.transactions(spark, SF_SMALL), fixture.currencies(spark, SF_SMALL)
+    out = V.build_vault(tx, cur)
+    for name in ("h_accounts", "h_countries", "h_currencies"):
+        plan = out[name]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        lowest = [x for x in plan if "Aggregate [" in x][-1]
+        above = plan[:plan.index(lowest)]
+        assert any("md5" in x for x in above) and not any("md5" in x for x in plan[plan.index(lowest):]), name
