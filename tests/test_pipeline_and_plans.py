@@ -166,6 +166,7 @@ def test_keys_of_few_values_are_hashed_once_each(spark):
     out = V.build_vault(tx, cur)
     for name in ("h_accounts", "h_countries", "h_currencies"):
         plan = out[name]._jdf.queryExecution().optimizedPlan().toString().splitlines()
-        lowest = [x for x in plan if "Aggregate [" in x][-1]
-        above = plan[:plan.index(lowest)]
-        assert any("md5" in x for x in above) and not any("md5" in x for x in plan[plan.index(lowest):]), name
+        hashed = [i for i, x in enumerate(plan) if "md5" in x]
+        read = next(i for i, x in enumerate(plan) if i > hashed[-1] and "Relation" in x)
+        below = [x.split("], [")[0] for x in plan[hashed[-1]:read] if "Aggregate [" in x]      # what it groups by
+        assert below and not any("md5" in x for x in below), name
