@@ -233,6 +233,41 @@ def test_one_of_each_keeps_one_of_every_group_whatever_the_ids(spark):
     assert len(left) == len(one) + 1
 
 
+def _shuffles_above(df, what):
+    """How many shuffles the rows made by the first step that shows ``what`` go through."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-*")) for x in lines]
+    at = max(k for k, x in enumerate(lines) if what in x)
+    found, d = 0, depth[at]
+    for k in range(at, -1, -1):
+        if depth[k] < d:
+            found, d = found + ("Exchange" in lines[k]), depth[k]
+    return found
+
+
+def test_heads_and_texts_are_dealt_once(spark, monkeypatch):
+    """Of what the join moves, heads and texts are most: each goes through one shuffle."""
+    texts = [" ".join(f"t{n // 3}w{k}" for k in range(40 + n % 3)) for n in range(12)]
+    docs = spark.createDataFrame([(n, texts[n % 12]) for n in range(36)], "doc_id long, text string").coalesce(1)
+    moved, real = {}, jaccard_join.stored
+
+    def told(df, name):
+        moved.setdefault(name, df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return real(df, name)
+
+    heads = jaccard_join.signatures(docs, 5, 80).where("size(head) > 0").groupBy("class_id").count().collect()
+    assert len(heads) == 12 and {r["count"] for r in heads} == {1}  # copies in one task give their head once
+    monkeypatch.setattr(jaccard_join, "stored", told)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = jaccard_join.one_of_each(docs)
+        assert moved["places"] == 1 and _shuffles_above(left, "AS row#") == 1
+        assert as_set(r.doc_id for r in left.collect()) == [0, 3, 6, 9]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_regions_join_as_all_pairs_do():
     rng = np.random.default_rng(1)
     for _ in range(40):
