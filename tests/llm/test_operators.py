@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import plain
 from tallyvault.llm import (block_labeller, decontamination, html_blocks, html_extract, jaccard_join, license_scan, line_dedup,
-                            pii, quality_rules, sentencepieces, substring_dedup, token_files)
+                            pii, quality_rules, sentencepieces, shingles, substring_dedup, token_files)
 from tallyvault.llm import queries as Q
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -223,6 +223,15 @@ def test_op5_links_as_all_pairs_do(spark, docs, rows, odd):
     assert left.columns == odd.columns and as_set(r.doc_id for r in left.collect()) == [1, 3, 4, 5, 6, 7]
 
 
+def test_shingles_of_equal_fingerprint_under_a_fixed_key_stay_apart(spark):
+    """Words searched so that the first two of each pair have the fingerprint of the other two without a key."""
+    pairs = [("a1843969 b3435980", "a2552772 b1160978"), ("a1258775 b3836334", "a1187871 b3799049"), ("a1004087 b2618753", "a468135 b1247216")]
+    rows = [(10 * k + j, t) for k, (a, b) in enumerate(pairs) for j, t in enumerate((f"{a} z", f"{b} z", f"{a} z {b} z", f"{b} Z {a} z", f"{b}\tZ"))]
+    assert collected(jaccard_join.jaccard_report(spark.createDataFrame(rows, "doc_id long, text string"))) == as_set(plain.components(rows, 3, 90))
+    keys = {len(shingles.shingle_set(pairs[0][0] + " z " + pairs[0][1] + " z", 3, k)) for k in (1, 2, 1 << 63, (1 << 64) - 1)}
+    assert keys == {4} and len(shingles.shingle_set(pairs[0][0] + " z " + pairs[0][1] + " z", 3)) == 3
+
+
 def test_one_of_each_keeps_one_of_every_group_whatever_the_ids(spark):
     texts = [" ".join(f"t{n}w{k}" for k in range(40)) for n in range(6)]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " end"), (7, texts[2]), (7, texts[3]), (8, texts[3] + " end"),
@@ -255,7 +264,7 @@ def test_heads_and_texts_are_dealt_once(spark, monkeypatch):
         moved.setdefault(name, df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
         return real(df, name)
 
-    heads = jaccard_join.signatures(docs, 5, 80).where("size(head) > 0").groupBy("class_id").count().collect()
+    heads = jaccard_join.signatures(docs, 5, 80, 7).where("size(head) > 0").groupBy("class_id").count().collect()
     assert len(heads) == 12 and {r["count"] for r in heads} == {1}  # copies in one task give their head once
     monkeypatch.setattr(jaccard_join, "stored", told)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
