@@ -12,8 +12,11 @@
    stretches and streams them through it by backward search; the interval of a window gives
    the first document that has it.  The stretches of an anchor with more than ``HOT_BYTES`` of
    different ones fit no shard; their windows are combined map-side by 128-bit digests instead.
-4. What is found returns to the rows of the stretches by anchor and mark, and the words in the
-   intervals go.
+4. What is found, as runs of windows with the same first owner, returns to the rows of the
+   stretches by mark, and the words in the intervals go.
+
+Each step is stored on its own; its shuffle files go when it is written, and what later steps
+don't read goes with them, so the disk holds one step at a time.
 
 Defined results: a null text has no words; rows that repeat a doc_id are never repeats of each
 other; a null doc_id counts as larger than any other; an empty table gives an empty one.
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import remove, scratch_path
-from .common import map_frames, shuffle_partitions, ship, stored, whole_text
+from .common import map_frames, shuffle_files_dropped, shuffle_partitions, ship, stored, whole_text
 from .fm_index import FMIndex, least_in
 from .shingles import windows, word_hashes
 
@@ -43,6 +46,8 @@ HOT_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 #: Bytes of an anchor's hash that are sent; a clash only makes a stretch be looked at in vain.
 KEY_BYTES = 5
+#: Bytes of a stretch's mark, the first ones of its SHA-256.
+MARK_BYTES = 16
 
 
 def words_of(text: str) -> list[bytes]:
@@ -205,24 +210,36 @@ def first_owners(texts: list[list[bytes]], owners: np.ndarray, window: int = WIN
     return least, starts
 
 
+def _mark(words: bytes) -> bytes:
+    return hashlib.sha256(words).digest()[:MARK_BYTES]
+
+
 def _told(rows: pd.DataFrame) -> pd.DataFrame:
-    """(key, mark, at, holder) of the windows of different stretches that some owner has before another."""
+    """(mark, at, upto, holder) of the windows of different stretches that some owner has before another.
+
+    Neighbouring windows with the same holder are one row, from the window ``at`` to the window ``upto``.
+    """
     least, starts = first_owners([w.split(b" ") for w in rows["words"]], rows["least"].to_numpy(np.int64))
     counts = np.diff(starts)
     line = np.repeat(np.arange(len(rows)), counts)
     known = np.flatnonzero(least < rows["most"].to_numpy(np.int64)[line])
-    line = line[known]
-    return pd.DataFrame({"key": rows["key"].to_numpy(np.int64)[line], "mark": rows["mark"].to_numpy()[line],
-                         "at": (known - starts[:-1][line]).astype(np.int32), "holder": least[known]})
+    line, at, holder = line[known], known - starts[:-1][line[known]], least[known]
+    new = np.ones(len(known), bool)
+    new[1:] = (line[1:] != line[:-1]) | (at[1:] != at[:-1] + 1) | (holder[1:] != holder[:-1])
+    last = np.append(new[1:], True)[:len(known)]
+    words = rows["words"].to_numpy()
+    marks = {k: _mark(words[k]) for k in np.unique(line).tolist()}
+    return pd.DataFrame({"mark": [marks[k] for k in line[new].tolist()], "at": at[new].astype(np.int32), "upto": at[last].astype(np.int32),
+                         "holder": holder[new]})
 
 
 def different(parts: DataFrame) -> DataFrame:
-    """(key, mark, words, least, most): each anchor's different stretches with their least and greatest owner.
+    """(key, words, least, most): each anchor's different stretches with their least and greatest owner.
 
     Equal stretches meet before they are shuffled, so a passage that a third of the documents hold
     is a row per task from here on.
     """
-    return parts.groupBy("key", "mark", "words").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
+    return parts.groupBy("key", "words").agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
 
 
 def hot_anchors(each: DataFrame) -> DataFrame:
@@ -230,41 +247,42 @@ def hot_anchors(each: DataFrame) -> DataFrame:
     return each.groupBy(F.col("key").alias("h_key")).agg(F.sum(F.octet_length("words")).alias("size")).where(F.col("size") > HOT_BYTES).select("h_key")
 
 
-def repeated_intervals(parts: DataFrame) -> DataFrame:
-    """(row_id, begin, end): word intervals to remove."""
-    rows = parts.withColumn("mark", F.unhex(F.md5("words")))
-    each = stored(different(rows), "different")
-    hot, same = stored(hot_anchors(each), "hot"), F.col("key") == F.col("h_key")
-    found = sharded_intervals(each.join(hot, same, "left_anti")).unionByName(dealt_intervals(each.join(hot, same, "left_semi")))
-    found = found.groupBy(F.col("key").alias("t_key"), F.col("mark").alias("t_mark")).agg(F.collect_list(F.struct("at", "holder")).alias("found"))
-    return (rows.select("key", "mark", "owner", "row_id", "first")
-            .join(found, (F.col("key") == F.col("t_key")) & (F.col("mark") == F.col("t_mark")))
+def repeated_intervals(parts: DataFrame, work: str) -> DataFrame:
+    """(row_id, begin, end): word intervals to remove; ``work`` names the folder of what is stored on the way."""
+    each = stored(different(parts), f"{work}/different")
+    hot, same = stored(hot_anchors(each), f"{work}/hot"), F.col("key") == F.col("h_key")
+    found = sharded_intervals(each.join(hot, same, "left_anti")).unionByName(dealt_intervals(each.join(hot, same, "left_semi"), work))
+    # stored, so that the join below has plain shuffles on both sides and Spark can split the rows of a common stretch
+    found = stored(found.groupBy(F.col("mark").alias("t_mark")).agg(F.collect_list(F.struct("at", "upto", "holder")).alias("found")), f"{work}/found")
+    return (parts.select(F.substring(F.unhex(F.sha2("words", 256)), 1, MARK_BYTES).alias("mark"), "owner", "row_id", "first")
+            .join(found, F.col("mark") == F.col("t_mark"))
             .select("row_id", "owner", "first", F.explode("found").alias("x")).where("x.holder < owner")
-            .select("row_id", (F.col("first") + F.col("x.at")).alias("begin"), (F.col("first") + F.col("x.at") + WINDOW).alias("end")))
+            .select("row_id", (F.col("first") + F.col("x.at")).cast("int").alias("begin"), (F.col("first") + F.col("x.upto") + WINDOW).cast("int").alias("end")))
 
 
-FOUND = "key long, mark binary, at int, holder long"
+FOUND = "mark binary, at int, upto int, holder long"
 
 
-def dealt_intervals(each: DataFrame) -> DataFrame:
-    """(key, mark, at, holder) from anchors of any size: no task needs all stretches of an anchor, or of a window."""
+def dealt_intervals(each: DataFrame, work: str) -> DataFrame:
+    """(mark, at, upto, holder) from anchors of any size: no task needs all stretches of an anchor, or of a window."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list] = {"key": [], "mark": [], "least": [], "most": [], "at": [], "window": []}
-            for key, mark, words, least, most in zip(batch["key"], batch["mark"], batch["words"], batch["least"], batch["most"]):
-                w = words.split(b" ")
+            out: dict[str, list] = {"mark": [], "least": [], "most": [], "at": [], "window": []}
+            for words, least, most in zip(batch["words"], batch["least"], batch["most"]):
+                mark, w = _mark(words), words.split(b" ")
                 for at in range(len(w) - WINDOW + 1):
-                    for name, value in zip(out, (key, mark, least, most, at, hashlib.blake2b(b" ".join(w[at:at + WINDOW]), digest_size=16).digest())):
+                    for name, value in zip(out, (mark, least, most, at, hashlib.blake2b(b" ".join(w[at:at + WINDOW]), digest_size=16).digest())):
                         out[name].append(value)
             yield pd.DataFrame(out)
 
-    windows_ = stored(each.mapInPandas(run, "key long, mark binary, least long, most long, at int, window binary"), "windows")
+    windows_ = stored(each.mapInPandas(run, "mark binary, least long, most long, at int, window binary"), f"{work}/windows")
     first = windows_.groupBy(F.col("window").alias("f_window")).agg(F.min("least").alias("holder"))
-    return (windows_.join(first, F.col("window") == F.col("f_window")).where("holder < most").select("key", "mark", "at", "holder"))
+    return (windows_.join(first, F.col("window") == F.col("f_window")).where("holder < most")
+            .select("mark", "at", F.col("at").alias("upto"), "holder"))
 
 
 def sharded_intervals(each: DataFrame) -> DataFrame:
-    """(key, mark, at, holder) from shards of whole anchors."""
+    """(mark, at, upto, holder) from shards of whole anchors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, size = [], 0
         for batch in batches:
@@ -304,14 +322,12 @@ def _kept_words(words: list[bytes], begins, ends) -> list[bytes]:
     return [w for w, s in zip(words, stays) if s]
 
 
-def substring_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every document."""
+def _documents_and_hits(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
+    """Each document's counts and digests; (h_sha, h_id, begins, ends): the word intervals to remove from its words."""
     spark = docs.sparkSession
-    ship(spark)
-    docs = docs.select("doc_id", "text")
-    work = scratch_path(spark, "llm", f"anchors-{uuid.uuid4().hex[:12]}")
-    first_pass(docs, max(64, 2 * shuffle_partitions(spark))).write.parquet(work)
-    done = spark.read.schema(PASS).parquet(work)
+    passed = scratch_path(spark, "llm", work, "pass")
+    first_pass(docs, max(64, 2 * shuffle_partitions(spark))).write.parquet(passed)
+    done = spark.read.schema(PASS).parquet(passed)
     each = done.where("n_words is not null").select("row_id", "doc_id", "digest", "n_words", "words_sha")
     order = F.coalesce("doc_id", F.lit(LAST))
     first = each.groupBy("words_sha").agg(F.min(F.struct(order.alias("owner"), "row_id")).alias("first"))
@@ -325,13 +341,24 @@ def substring_report(docs: DataFrame) -> DataFrame:
     known = (done.where("n_words is null and bucket is null").groupBy(F.col("row_id").alias("k_row")).agg(F.collect_list("keys").alias("known")))
     live = (each.where("leads").join(told, F.col("row_id") == F.col("t_row"), "left").join(known, F.col("row_id") == F.col("k_row"), "left")
             .where("keys is not null or known is not null").select("row_id", "doc_id", "digest", "keys", "known"))
-    live = stored(live, "live")
-    remove(spark, work)  # all that is needed of it stands in the two stored tables
-    gone = (repeated_intervals(stored(stretches(docs, live), "stretches"))
+    live = stored(live, f"{work}/live")
+    remove(spark, passed)  # all that is needed of it stands in the two stored tables
+    gone = (repeated_intervals(stored(stretches(docs, live), f"{work}/stretches"), work)
             .groupBy(F.col("row_id").alias("g_row")).agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends")))
     # rows with the same id and words as a leading one lose the same words
     hits = stored(gone.join(each.select("row_id", "words_sha", "doc_id"), F.col("g_row") == F.col("row_id"))
                   .select(F.col("words_sha").alias("h_sha"), F.col("doc_id").alias("h_id"), "begins", "ends"), "repeats")
+    remove(spark, scratch_path(spark, "llm", work))
+    return each, hits
+
+
+def substring_report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every document."""
+    spark = docs.sparkSession
+    ship(spark)
+    docs = docs.select("doc_id", "text")
+    with shuffle_files_dropped(spark):
+        each, hits = _documents_and_hits(docs, f"anchors-{uuid.uuid4().hex[:12]}")
 
     same = (F.col("words_sha") == F.col("h_sha")) & F.col("doc_id").eqNullSafe(F.col("h_id"))
     each = each.withColumn("gone", F.col("copy") & (F.col("n_words") >= WINDOW))

@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -358,6 +359,43 @@ def test_op7_hot_anchors_are_dealt_out(spark, monkeypatch):
     assert seen[0] <= 500
 
 
+def test_op7_keeps_no_step_s_files(spark):
+    """When the operator returns, the shuffle files of its steps are gone, and so are the tables that nothing reads any more."""
+    from tallyvault.plans.storage import folders, scratch_path
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    r = random.Random(11)
+    line = " ".join(f"line{k}" for k in range(30))
+    rows = [(d, " ".join([*r.choices("abcdef", k=20), line, *r.choices("abcdef", k=20)])) for d in range(80)]
+    before, tables, setting = shuffles(), set(folders(spark, scratch_path(spark, "llm", "*"))), spark.conf.get(name)
+    report = substring_dedup.substring_report(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert not shuffles() - before
+    assert sorted(f.split("/")[-1].split("-")[0] for f in set(folders(spark, scratch_path(spark, "llm", "*"))) - tables) == ["documents", "repeats"]
+    assert spark.conf.get(name) == setting
+    assert collected(report) == as_set(plain.substrings(rows)) == collected(report)
+
+
+def test_op7_windows_in_a_row_with_one_holder_are_one_row():
+    w = [f"w{k}".encode() for k in range(40)]
+    texts = [w[:20], w[:30], [b"x", *w[5:25]], w[20:]]
+    rows = pd.DataFrame({"key": [1, 1, 1, 2], "words": [b" ".join(t) for t in texts], "least": [1, 2, 0, 5], "most": [3, 4, 0, 5]})
+    told = substring_dedup._told(rows)
+    windows = {t: [tuple(t[k:k + 13]) for k in range(len(t) - 12)] for t in map(tuple, texts)}
+    expected = []
+    for t, most in zip(texts, rows["most"]):
+        for k, x in enumerate(windows[tuple(t)]):
+            least = min(n for u, n in zip(texts, rows["least"]) if x in windows[tuple(u)])
+            if least < most:
+                expected.append((substring_dedup._mark(b" ".join(t)), k, least))
+    assert [(m, k, h) for m, a, b, h in zip(told["mark"], told["at"], told["upto"], told["holder"]) for k in range(a, b + 1)] == expected
+    assert len(told) < len(expected)
+    assert not len(substring_dedup._told(rows[:0])) and not len(substring_dedup._told(rows[3:].reset_index(drop=True)))
+
+
 def test_op7_index_gives_first_owners_whatever_fits_in_it():
     r = random.Random(4)
     for _ in range(20):
